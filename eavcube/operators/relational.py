@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eavcube.functions.numbers import normalised_difference
 from eavcube.operators.ordered import numbered
 from eavcube.operators.skew import HOT_ROWS, skew_join
 from eavcube.operators.window import keep_first
@@ -89,6 +90,21 @@ def latest_before(entities: DataFrame, observations: DataFrame, key: str, start:
     return joined.where(window).groupBy(key).agg(best).select(key, "__best.*")
 
 
+def latest_clear_indices(entities: DataFrame, bands: DataFrame, key: str, start: str, observed: str,
+                         indices: Mapping[str, Sequence[str]], clear: str, days: int = 30,
+                         hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Normalised-difference indices of the newest clear day before the start, as long rows.
+
+    `indices` maps a name to its two bands; a day is clear when the index `clear` is known.
+    """
+    values = [normalised_difference(F.col(a), F.col(b)).alias(name) for name, (a, b) in indices.items()]
+    measured = bands.select(key, observed, *values)
+    best = latest_before(entities, measured, key, start, observed, days, F.col(clear).isNotNull(),
+                         list(indices), hot_rows)
+    pairs = F.array(*[F.struct(F.lit(n).alias("variable"), F.col(n).alias("value")) for n in indices])
+    return best.select(key, F.to_date(observed).alias("obs_date"), F.inline(pairs))
+
+
 # Set operations and keyed writes ---------------------------------------------------------------
 
 

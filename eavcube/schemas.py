@@ -34,7 +34,19 @@ _DDL = {
     "resultado_numerico double",
 }
 
-SCHEMAS: dict[str, T.StructType] = {name: T.StructType.fromDDL(ddl) for name, ddl in _DDL.items()}
+_TYPES = {
+    "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(),
+    "date": T.DateType(),
+}
+
+
+def _schema(ddl: str) -> T.StructType:
+    """Schema from `name type, ...` without needing a running session."""
+    pairs = [column.split() for column in ddl.split(", ")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+SCHEMAS: dict[str, T.StructType] = {name: _schema(ddl) for name, ddl in _DDL.items()}
 
 # Logical keys: what identifies a row when duplicates are looked for.
 KEYS: dict[str, list[str]] = {
