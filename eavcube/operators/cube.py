@@ -53,7 +53,7 @@ def with_state_names(dimension: DataFrame, places: DataFrame, states: DataFrame,
     owner = places.groupBy(key).agg(F.max(state_key).alias(state_key))
     named = owner.join(states.select(state_key, F.col(state).alias("__s"), F.col(region).alias("__r")), state_key)
     wide = dimension if "region" in dimension.columns else dimension.withColumn("region", F.lit(None).cast("string"))
-    return update_from(wide, named, [key], {"state": F.col("__s"), "region": F.col("__r")})
+    return update_from(wide, named, [key], {"state": F.col("__s"), "region": F.col("__r")}, hot_rows=None)
 
 
 def vegetation_dimension(df: DataFrame, key: str, kind: str, regime: str,
@@ -125,7 +125,8 @@ def with_climate_risk(fact: DataFrame, climate: DataFrame, key: str, weights: Ma
             unknown = unknown & F.col(c).isNull()
         risk = F.when(~unknown, risk)
     target = fact if out in fact.columns else fact.withColumn(out, F.lit(None).cast("double"))
-    return update_from(target, climate, [key], {out: risk}, F.col(out).isNull() if only_missing else None)
+    missing = F.col(out).isNull() if only_missing else None
+    return update_from(target, climate, [key], {out: risk}, missing, hot_rows=None)
 
 
 # Views -----------------------------------------------------------------------------------------

@@ -40,11 +40,16 @@ def lag_features(series: DataFrame, entities: DataFrame, key: str, start: str, o
 
 def wide_table(entities: DataFrame, joins: Sequence[tuple[DataFrame, Sequence[str]]],
                hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Left-join feature frames in turn. Columns that clash get the suffix of their position (`_1`, `_2`)."""
+    """Left-join feature frames in turn. Columns that clash get the suffix of their position (`_1`, `_2`).
+
+    Hot keys are looked for in `entities`, so no join is computed twice.
+    """
     wide = entities
     for i, (frame, on) in enumerate(joins, 1):
         clash = [c for c in frame.columns if c in wide.columns and c not in on]
-        wide = skew_join(wide, frame.withColumnsRenamed({c: f"{c}_{i}" for c in clash}), list(on), "left", hot_rows)
+        renamed = frame.withColumnsRenamed({c: f"{c}_{i}" for c in clash})
+        probe = entities if set(on) <= set(entities.columns) else None
+        wide = skew_join(wide, renamed, list(on), "left", hot_rows, probe)
     return wide
 
 

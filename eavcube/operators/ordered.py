@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eavcube.session import shared_folder
+
 CHUNK = "__chunk"
 POSITION = "__position"
 
@@ -16,22 +17,12 @@ _INDEX_BITS = 33
 
 def checkpoint(df: DataFrame) -> DataFrame:
     """Write the frame to the shared checkpoint folder and go on from there."""
-    _ensure_checkpoint_dir(df.sparkSession)
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="eavcube-checkpoint-")
-    context.setCheckpointDir(folder)
-
-
 def positioned(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     """Add CHUNK (number of the sorted slice) and POSITION (0-based rank in the total order).
 

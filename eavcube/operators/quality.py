@@ -193,10 +193,19 @@ def dictionary_check(local: DataFrame, official: DataFrame, key: str, name: str,
 
 
 def schema_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """(table, column, type, class) of every column, taken from the schemas alone."""
-    rows = [
-        (name, f.name, f.dataType.simpleString(), column_class(f.dataType))
-        for name, df in tables.items() for f in df.schema.fields
-    ]
-    spark = next(iter(tables.values())).sparkSession
-    return spark.createDataFrame(rows, "`table` string, `column` string, `type` string, `class` string")
+    """(table, column, type, class, rows, nulls) of every column, one pass per table."""
+    report = None
+    for name, df in tables.items():
+        types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+        classes = {f.name: column_class(f.dataType) for f in df.schema.fields}
+        part = null_counts(df).select(
+            F.lit(name).alias("table"), "column", X.map_labels(F.col("column"), types).alias("type"),
+            X.map_labels(F.col("column"), classes).alias("class"), "rows", "nulls",
+        )
+        report = part if report is None else report.unionByName(part)
+    return report
+
+
+def text_samples(df: DataFrame, n: int = 5) -> DataFrame:
+    """A short preview of the text columns."""
+    return df.select(*[f.name for f in df.schema.fields if column_class(f.dataType) == "text"]).limit(n)

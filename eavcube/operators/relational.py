@@ -49,11 +49,11 @@ def _key_set(parent: DataFrame, parent_key: str, key: str) -> DataFrame:
 
 
 def update_from(target: DataFrame, source: DataFrame, on: Sequence[str], values: Mapping[str, Column],
-                where: Column | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+                where: Column | None = None, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Set columns of the rows that match `source` (unique on the keys); other rows keep their values.
 
     `values` maps target columns to expressions over source columns, `where` restricts the matched target
-    rows.
+    rows. Pass `hot_rows=None` when the keys are unique in the target too.
     """
     on = list(on)
     new = {name: f"__new_{i}" for i, name in enumerate(values)}

@@ -17,16 +17,31 @@ HOT_ROWS = 1_000_000
 # The hottest keys that are treated apart; every other key then holds under 1/MAX_HOT of the rows.
 MAX_HOT = 10_000
 
+# A key of HOT_ROWS rows cannot fit in a frame that is estimated at less than this per row.
+_BYTES_PER_ROW = 64
+
 _SALT = "__salt"
 _SALTS = "__salts"
 
 
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate, or None where it is not available."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except AttributeError:
+        return None
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """Keys with about `hot_rows` rows or more and their estimated count, or None when there are none.
 
-    About 1,000 sampled rows stand for one hot key. At most MAX_HOT short rows reach the driver; they
-    come back as a literal frame, so that every use of it sees the same keys.
+    About 1,000 sampled rows stand for one hot key, and only the key columns are read. At most MAX_HOT
+    short rows reach the driver; they come back as a literal frame, so that every use of it sees the same
+    keys. Frames too small to hold a hot key are not read at all.
     """
+    size = estimated_bytes(df)
+    if size is not None and size < hot_rows * _BYTES_PER_ROW:
+        return None
     fraction = min(1.0, 1000.0 / hot_rows)
     sample = df.select(*keys)
     if fraction < 1.0:
@@ -55,16 +70,24 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataF
 
 
 def skew_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", hot_rows: int = HOT_ROWS
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    hot_rows: int | None = HOT_ROWS,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join whose left side may be dominated by a few keys.
 
     Without hot keys this is an ordinary join: the optimizer broadcasts the right side when its measured
     size allows and shuffles both otherwise. With hot keys, their left rows are spread over salts by a
     hash of the row and only the matching right rows are repeated, once per salt.
+
+    `probe` is a cheaper frame with the same key distribution to look for hot keys in, for a left side
+    that is itself the result of joins. `hot_rows=None` states that no left key can repeat much.
     """
     on = list(on)
-    hot = hot_keys(left, on, hot_rows)
+    hot = None if hot_rows is None else hot_keys(left if probe is None else probe, on, hot_rows)
     if hot is None:
         return left.join(right, on, how)
     salts = F.broadcast(hot.select(*on, F.ceil(F.col("rows") / F.lit(hot_rows)).cast("int").alias(_SALTS)))

@@ -1 +1,114 @@
-"""Placeholder."""
+"""Parsing of JSON responses, dictionary maintenance and incremental ingestion."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from eavcube.operators import relational as R
+from eavcube.plans.registry import Tables, query
+from eavcube.session import shared_folder
+from eavcube.sources import responses as S
+from eavcube.streaming.incremental import SeriesLog, start_ingest
+
+
+def series_bodies(t: Tables) -> DataFrame:
+    """One nested response per event user, built from the event table."""
+    daily = t.raw("events").groupBy(
+        F.col("user_id").alias("entity_id"), "event_type", F.date_format("ts", "yyyyMMdd").alias("day")
+    ).agg(F.max("value").alias("value"))
+    days = daily.groupBy("entity_id", "event_type").agg(
+        F.map_from_entries(F.collect_list(F.struct("day", "value"))).alias("days")
+    )
+    variables = days.groupBy("entity_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("event_type", "days"))).alias("parameter")
+    )
+    body = F.to_json(F.struct(F.struct("parameter").alias("properties")))
+    return variables.select("entity_id", body.alias("body"))
+
+
+_SERIES = """
+SELECT user_id AS entity_id, event_type AS variable, CAST(ts AS DATE) AS obs_date, max(value) AS value
+FROM events GROUP BY 1, 2, 3"""
+
+
+@query(_SERIES)
+def json_series(t: Tables) -> DataFrame:
+    return S.parse_series(series_bodies(t), "body", ["entity_id"])
+
+
+@query("""
+SELECT event_id AS entity_id, CAST(ts AS DATE) AS day, value AS ndvi,
+    CASE WHEN event_id % 7 = 0 THEN NULL ELSE round(value * 2, 6) END AS ndwi FROM events""")
+def json_matrix(t: Tables) -> DataFrame:
+    number = F.col("event_id")
+    second = F.when(number % 7 == 0, F.lit(None).cast("string")).otherwise((F.col("value") * 2).cast("string"))
+    header = F.array(F.lit("id"), F.lit("time"), F.lit("NDVI"), F.lit("NDWI"))
+    millis = F.unix_millis(F.col("ts").cast("timestamp")).cast("string")
+    row = F.array(number.cast("string"), millis, F.col("value").cast("string"), second)
+    bodies = t.raw("events").select(number.alias("entity_id"), F.to_json(F.array(header, row)).alias("body"))
+    parsed = S.parse_matrix(
+        bodies, "body", ["entity_id"], {"time": "epoch_ms", "NDVI": "double", "NDWI": "double"}
+    )
+    return parsed.withColumnsRenamed({"time": "day", "NDVI": "ndvi", "NDWI": "ndwi"})
+
+
+@query("""
+SELECT p_name || CAST(p_partkey AS VARCHAR) AS variable, CASE WHEN p_partkey % 5 = 0 THEN 'n/a' ELSE p_type END AS unit
+FROM part""")
+def json_units(t: Tables) -> DataFrame:
+    key = F.concat("p_name", F.col("p_partkey").cast("string"))
+    unit = F.when(F.col("p_partkey") % 5 != 0, F.col("p_type"))
+    info = F.create_map(key, F.struct(unit.alias("units")))
+    empty = F.create_map().cast("map<string,struct<units:string>>")
+    first = F.to_json(F.struct(info.alias("parameters")))
+    second = F.to_json(F.struct(empty.alias("parameters"), F.struct(info.alias("parameter")).alias("header")))
+    body = F.when(F.col("p_partkey") % 2 == 0, first).otherwise(second)
+    return S.parse_units(t.raw("part").select(body.alias("body")), "body")
+
+
+@query("""
+SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS nombre, CASE WHEN p_partkey % 3 = 0 THEN 'NASA' ELSE p_brand END AS fuente,
+    'Por definir' AS unidades, CASE WHEN p_partkey % 4 = 0 THEN 0 ELSE 1 END AS limits FROM part""")
+def descriptor_shape(t: Tables) -> DataFrame:
+    key = F.col("p_partkey")
+    sources = F.when(key % 3 != 0, F.array("p_brand", "p_type")).when(key % 2 == 0, F.array().cast("array<string>"))
+    limits = F.when(key % 4 != 0, F.create_map(F.lit("min"), F.col("p_size").cast("string")))
+    text = F.to_json(F.struct(
+        key.cast("string").alias("id"), F.col("p_name").alias("name"), sources.alias("sources"), limits.alias("range")
+    ))
+    rows = t.raw("part").select(F.from_json(text, S.DESCRIPTORS).alias("d")).select("d.*")
+    shaped = S.shape_descriptors(rows)
+    return shaped.select("id", "nombre", "fuente", "unidades", F.size("rango").alias("limits"))
+
+
+@query("""
+, verified AS (SELECT p_partkey, p_name FROM part WHERE p_size > 5)
+SELECT CAST(p.p_partkey AS VARCHAR) AS id_variable, 'NASA' AS fuente, p.p_name AS nombre_completo,
+    CASE WHEN p.p_partkey % 2 = 0 THEN p.p_type ELSE 'N/A' END AS unidad_de_medida
+FROM part p JOIN verified v ON p.p_partkey = v.p_partkey""")
+def dictionary_update(t: Tables) -> DataFrame:
+    parts = t.raw("part")
+    catalogue = parts.select(
+        F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("nombre"),
+        F.lit(None).cast("string").alias("unidades"),
+    )
+    rows = S.dictionary_rows(catalogue)
+    units = parts.where(F.col("p_partkey") % 2 == 0).select(
+        F.col("p_partkey").cast("string").alias("id_variable"), F.col("p_type").alias("unit")
+    )
+    updated = R.update_from(rows, units, ["id_variable"], {"unidad_de_medida": F.col("unit")})
+    verified = parts.where(F.col("p_size") > 5).select(F.col("p_partkey").cast("string").alias("id_variable"))
+    return R.with_parent(updated, verified, "id_variable")
+
+
+@query(_SERIES)
+def series_incremental(t: Tables) -> DataFrame:
+    """Responses landed as files and taken in by the streaming job, then read back."""
+    folder = f"{shared_folder(t.spark)}/ingest-{uuid.uuid4()}"
+    series_bodies(t).write.json(f"{folder}/landing")
+    log = SeriesLog(t.spark, f"{folder}/log")
+    start_ingest(t.spark, f"{folder}/landing", log, f"{folder}/state").awaitTermination()
+    return log.read().withColumn("entity_id", F.col("entity_id").cast("bigint"))

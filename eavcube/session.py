@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Runtime settings; each can also be changed on a session that already runs.
@@ -33,3 +35,15 @@ def make_session(app: str = "eavcube", master: str | None = None, **extra: str)
     for name, value in {**RUNTIME, **{k.replace("__", "."): v for k, v in extra.items()}}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Folder that all executors share, from `spark.checkpoint.dir`; a temporary one in local mode only."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    folder = tempfile.mkdtemp(prefix="eavcube-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
