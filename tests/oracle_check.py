@@ -1,6 +1,6 @@
 """Compare every query with its SQL on one folder of driver tables.
 
-Usage: python tests/check_oracles.py [folder] [name ...]
+Usage: python tests/oracle_check.py [folder] [name ...]
 """
 
 from __future__ import annotations
