@@ -21,9 +21,17 @@ DAY_FIRST = ("d/M/yyyy",)
 
 
 def parse_date(c: Column, formats: Sequence[str] = ISO_THEN_DAY_FIRST) -> Column:
-    """First format that fits the part before the first space; NULL when none does."""
-    text = trim_whitespace(first_token(trim_whitespace(c)))
-    return F.coalesce(*[F.try_to_date(text, f) for f in formats])
+    """First format that fits the part before the first space; NULL when none does.
+
+    The shape is tested first: a failed parse costs far more than a pattern that does not match.
+    """
+    text = first_token(trim_whitespace(c))
+    return F.coalesce(*[F.when(text.rlike(_shape(f)), F.try_to_date(text, f)) for f in formats])
+
+
+def _shape(pattern: str) -> str:
+    body = pattern.replace("yyyy", "{Y}").replace("M", "{D}").replace("d", "{D}")
+    return "^" + body.format(Y=r"\d{4}", D=r"\d{1,2}") + "$"
 
 
 def clock_seconds(c: Column) -> Column:

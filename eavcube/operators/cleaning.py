@@ -174,8 +174,8 @@ def remove_unreferenced(dimension: DataFrame, key: str, facts: Sequence[DataFram
 
 def purge_series(df: DataFrame, variable: str, value: str, limit: float = N.SENTINEL) -> DataFrame:
     """The deleting policy: no variable that only holds the code, no row at or below it."""
-    spans = df.groupBy(variable).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    only_code = spans.where((F.col("lo") == limit) & (F.col("hi") == limit))
+    spans = df.groupBy(variable).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
+    only_code = spans.where((F.col("__lo") == limit) & (F.col("__hi") == limit))
     dead = bounded_list(only_code, variable)
     kept = df.where(~F.col(variable).isin(dead)) if dead else df
     return kept.where(F.col(value).isNull() | (F.col(value) > limit))

@@ -134,25 +134,25 @@ def with_climate_risk(fact: DataFrame, climate: DataFrame, key: str, weights: Ma
 
 def _partial(fact: DataFrame, key: str) -> DataFrame:
     return fact.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("severity").alias("s"),
-        F.count("severity").alias("k"),
-        F.sum("total_area").alias("a"),
+        F.count(F.lit(1)).alias("__n"),
+        F.sum("severity").alias("__s"),
+        F.count("severity").alias("__k"),
+        F.sum("total_area").alias("__a"),
     )
 
 
 def _mean_severity() -> Column:
-    return F.try_divide(F.sum("s"), F.sum("k")).alias("severity")
+    return F.try_divide(F.sum("__s"), F.sum("__k")).alias("severity")
 
 
 def _over_time(fact: DataFrame, time: DataFrame, date: str, levels: Sequence[str], *measures: Column) -> DataFrame:
     joined = _partial(fact, date).join(time, F.col(date) == F.col("date"))
-    return joined.groupBy(*levels).agg(F.sum("n").alias("fires"), *measures)
+    return joined.groupBy(*levels).agg(F.sum("__n").alias("fires"), *measures)
 
 
 def annual_summary(fact: DataFrame, time: DataFrame, date: str) -> DataFrame:
     """Fires, mean severity and burned area per year."""
-    return _over_time(fact, time, date, ["year"], _mean_severity(), F.sum("a").alias("area"))
+    return _over_time(fact, time, date, ["year"], _mean_severity(), F.sum("__a").alias("area"))
 
 
 def time_hierarchy(fact: DataFrame, time: DataFrame, date: str) -> DataFrame:
@@ -163,14 +163,14 @@ def time_hierarchy(fact: DataFrame, time: DataFrame, date: str) -> DataFrame:
 def time_cube(fact: DataFrame, time: DataFrame, date: str) -> DataFrame:
     """Fires, severity and area per year, quarter, month and month name."""
     levels = ["year", "quarter", "month", "month_name"]
-    return _over_time(fact, time, date, levels, _mean_severity(), F.sum("a").alias("area"))
+    return _over_time(fact, time, date, levels, _mean_severity(), F.sum("__a").alias("area"))
 
 
 def geographic_cube(fact: DataFrame, places: DataFrame, key: str) -> DataFrame:
     """Fires, severity and area per state and place."""
     joined = _partial(fact, key).join(places, key)
-    area = F.sum(F.coalesce("a", F.lit(0.0))).alias("area")
-    return joined.groupBy("state", "place").agg(F.sum("n").alias("fires"), _mean_severity(), area)
+    area = F.sum(F.coalesce("__a", F.lit(0.0))).alias("area")
+    return joined.groupBy("state", "place").agg(F.sum("__n").alias("fires"), _mean_severity(), area)
 
 
 def climate_buckets(fact: DataFrame, climate: DataFrame, key: str, how: str = "left") -> DataFrame:
@@ -189,15 +189,15 @@ def population_impact(fact: DataFrame, places: DataFrame, population: DataFrame,
     the product is formed from per-place counts instead of repeated rows. With `pre_aggregate` a fire
     counts once.
     """
-    fires = fact.groupBy(key).agg(F.count(fire).alias("f"), F.count(F.lit(1)).alias("r"))
+    fires = fact.groupBy(key).agg(F.count(fire).alias("__f"), F.count(F.lit(1)).alias("__r"))
     people_per_place = population.groupBy(key).agg(
-        F.count(F.lit(1)).alias("d"), F.sum(F.col(people).cast("double")).alias("p"), F.count(people).alias("k")
+        F.count(F.lit(1)).alias("__d"), F.sum(F.col(people).cast("double")).alias("__p"), F.count(people).alias("__k")
     )
     joined = fires.join(places, key).join(people_per_place, key, "left")
-    copies = F.lit(1) if pre_aggregate else F.greatest(F.coalesce("d", F.lit(1)), F.lit(1))
+    copies = F.lit(1) if pre_aggregate else F.greatest(F.coalesce("__d", F.lit(1)), F.lit(1))
     grouped = joined.groupBy("place").agg(
-        F.sum(F.col("f") * copies).alias("fires"),
-        F.try_divide(F.sum(F.col("p") * F.col("r")), F.sum(F.col("k") * F.col("r"))).alias("population"),
+        F.sum(F.col("__f") * copies).alias("fires"),
+        F.try_divide(F.sum(F.col("__p") * F.col("__r")), F.sum(F.col("__k") * F.col("__r"))).alias("population"),
     )
     return grouped.withColumn("impact", safe_ratio(F.col("fires") * F.lit(scale), F.col("population")))
 
@@ -207,11 +207,11 @@ def critical_places(fact: DataFrame, places: DataFrame, climate: DataFrame, fire
     """Places with more than a number of fires, their mean severity and temperature."""
     rows = fact.select(fire, key, "severity").join(climate.select(fire, "temperature"), fire, "left")
     partial = rows.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("severity").alias("s"), F.count("severity").alias("k"),
-        F.sum("temperature").alias("t"), F.count("temperature").alias("kt"),
+        F.count(F.lit(1)).alias("__n"), F.sum("severity").alias("__s"), F.count("severity").alias("__k"),
+        F.sum("temperature").alias("__t"), F.count("temperature").alias("__kt"),
     )
     joined = partial.join(places, key).groupBy("place").agg(
-        F.sum("n").alias("fires"), _mean_severity(), F.try_divide(F.sum("t"), F.sum("kt")).alias("temperature")
+        F.sum("__n").alias("fires"), _mean_severity(), F.try_divide(F.sum("__t"), F.sum("__kt")).alias("temperature")
     )
     return joined.where(F.col("fires") > more_than)
 

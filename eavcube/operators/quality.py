@@ -92,9 +92,11 @@ def reference_audit(tables: Mapping[str, DataFrame], references: Sequence[Refere
     report = None
     for ref in references:
         orphans = without_parent(tables[ref.child], tables[ref.parent], ref.column, ref.parent_column, hot_rows)
-        missing = orphans.groupBy(F.col(ref.column).cast("string").alias("id")).agg(F.count(F.lit(1)).alias("n"))
-        total = missing.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select("n", F.lit(None).cast("string").alias("id"))
-        examples = missing.orderBy("id").limit(samples).select(F.lit(0).cast("bigint").alias("n"), "id")
+        missing = orphans.groupBy(F.col(ref.column).cast("string").alias("__id")).agg(F.count(F.lit(1)).alias("__n"))
+        total = missing.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("n")).select("n", F.lit(None).cast("string").alias("id"))
+        examples = missing.orderBy("__id").limit(samples).select(
+            F.lit(0).cast("bigint").alias("n"), F.col("__id").alias("id")
+        )
         part = total.unionByName(examples).select(F.lit(ref.label).alias("reference"), "n", "id")
         report = part if report is None else report.unionByName(part)
     # At most samples + 1 rows per reference are collected into one array.

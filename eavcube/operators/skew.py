@@ -20,18 +20,33 @@ MAX_HOT = 10_000
 # A key of HOT_ROWS rows cannot fit in a frame that is estimated at less than this per row.
 _BYTES_PER_ROW = 64
 
+ROWS = "__rows"
 _SALT = "__salt"
 _SALTS = "__salts"
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate, or None where it is not available."""
+def input_bytes(df: DataFrame) -> int | None:
+    """Estimated size of the inputs a frame is computed from, or None where it is not available.
+
+    The estimate for a join is the product of its sides, so the inputs say more about the row count.
+    """
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     except AttributeError:
         return None
 
 
+def will_broadcast(df: DataFrame) -> bool:
+    """The optimizer's size estimate is within its broadcast threshold, so a join side is broadcast."""
+    try:
+        conf = df.sparkSession._jsparkSession.sessionState().conf()
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(str(size)) <= conf.autoBroadcastJoinThreshold()
+    except AttributeError:
+        return False
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """Keys with about `hot_rows` rows or more and their estimated count, or None when there are none.
 
@@ -39,7 +54,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     short rows reach the driver; they come back as a literal frame, so that every use of it sees the same
     keys. Frames too small to hold a hot key are not read at all.
     """
-    size = estimated_bytes(df)
+    size = input_bytes(df)
     if size is not None and size < hot_rows * _BYTES_PER_ROW:
         return None
     fraction = min(1.0, 1000.0 / hot_rows)
@@ -48,9 +63,9 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
         sample = sample.sample(fraction, seed=17)
     found = (
         sample.groupBy(*keys)
-        .agg((F.count(F.lit(1)) / F.lit(fraction)).cast("bigint").alias("rows"))
-        .where(F.col("rows") >= (hot_rows if fraction == 1.0 else hot_rows // 2))
-        .orderBy(F.desc("rows"))
+        .agg((F.count(F.lit(1)) / F.lit(fraction)).cast("bigint").alias(ROWS))
+        .where(F.col(ROWS) >= (hot_rows if fraction == 1.0 else hot_rows // 2))
+        .orderBy(F.desc(ROWS))
         .limit(MAX_HOT)
     )
     rows = found.collect()
@@ -79,18 +94,19 @@ def skew_join(
 ) -> DataFrame:
     """Equi-join whose left side may be dominated by a few keys.
 
-    Without hot keys this is an ordinary join: the optimizer broadcasts the right side when its measured
-    size allows and shuffles both otherwise. With hot keys, their left rows are spread over salts by a
-    hash of the row and only the matching right rows are repeated, once per salt.
+    When the right side is small enough to be broadcast, or no key is hot, this is an ordinary join and
+    the optimizer decides by the sizes it measures. With hot keys, their left rows are spread over salts
+    by a hash of the row and only the matching right rows are repeated, once per salt.
 
     `probe` is a cheaper frame with the same key distribution to look for hot keys in, for a left side
     that is itself the result of joins. `hot_rows=None` states that no left key can repeat much.
     """
     on = list(on)
-    hot = None if hot_rows is None else hot_keys(left if probe is None else probe, on, hot_rows)
+    safe = hot_rows is None or (hot_rows >= HOT_ROWS and will_broadcast(right))
+    hot = None if safe else hot_keys(left if probe is None else probe, on, hot_rows)
     if hot is None:
         return left.join(right, on, how)
-    salts = F.broadcast(hot.select(*on, F.ceil(F.col("rows") / F.lit(hot_rows)).cast("int").alias(_SALTS)))
+    salts = F.broadcast(hot.select(*on, F.ceil(F.col(ROWS) / F.lit(hot_rows)).cast("int").alias(_SALTS)))
     names = left.columns
     spread = left.alias("l").join(salts.alias("s"), _aliased(on), "left").select(
         "l.*",

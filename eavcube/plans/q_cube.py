@@ -267,9 +267,9 @@ def drill_top_places(t: Tables) -> DataFrame:
         count(f.fire_id) * CAST(1000 AS DOUBLE) / nullif(avg(d.pop_total), 0) AS impact
     FROM fire f JOIN place p ON f.place_id = p.place_id LEFT JOIN demo d ON f.place_id = d.place_id GROUP BY p.place
 )
-SELECT place, round(impact, 6) AS impact FROM impact WHERE population > 9
+SELECT place, round(impact, 6) AS impact FROM impact WHERE population > 1.3
 ORDER BY round(impact, 6) DESC, place LIMIT 10""", "fire place demo")
 def drill_top_impact(t: Tables) -> DataFrame:
     impact = C.population_impact(t.fire, places(t), t.demo, "fire_id", "place_id", "pop_total", 1000.0)
     ranked = impact.withColumn("impact", F.round("impact", 6))
-    return C.top_k(ranked, "impact", 10, ["place"], F.col("population") > 9).select("place", "impact")
+    return C.top_k(ranked, "impact", 10, ["place"], F.col("population") > 1.3).select("place", "impact")

@@ -13,6 +13,9 @@ from pyspark.sql import types as T
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+# Schemas read so far: a file footer is opened once per table, as a catalogue would.
+_SCHEMAS: dict[str, T.StructType] = {}
+
 # What each adapter stands for, over the raw tables. The Spark twins are in `Tables`.
 ADAPTERS = {
     "obs": """SELECT event_id AS obs_id, event_type AS variable, user_id AS entity_id, CAST(ts AS DATE) AS obs_date,
@@ -34,7 +37,7 @@ ADAPTERS = {
         FROM lineitem GROUP BY l_orderkey""",
     "ops": """SELECT l_orderkey AS fire_id, max(CAST(l_shipdate AS DATE)) AS end_date,
         CAST(date_diff('day', min(CAST(l_shipdate AS DATE)), max(CAST(l_shipdate AS DATE))) AS BIGINT) AS duration_days,
-        (l_orderkey * 37) % 86400 AS detected_s, (l_orderkey * 53) % 86400 AS arrived_s
+        (l_orderkey * 3701) % 86400 AS detected_s, (l_orderkey * 5303) % 86400 AS arrived_s
         FROM lineitem GROUP BY l_orderkey""",
     "demo": """SELECT CAST(c_nationkey AS BIGINT) AS place_id, c_mktsegment AS segment, count(*) AS pop_total
         FROM customer GROUP BY c_nationkey, c_mktsegment""",
@@ -51,7 +54,10 @@ class Tables:
         self.folder = folder.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     @cached_property
     def obs(self) -> DataFrame:
@@ -104,7 +110,7 @@ class Tables:
         )
         return rows.select(
             "fire_id", "end_date", F.datediff("end_date", "first_date").cast("bigint").alias("duration_days"),
-            ((F.col("fire_id") * 37) % 86400).alias("detected_s"), ((F.col("fire_id") * 53) % 86400).alias("arrived_s"),
+            ((F.col("fire_id") * 3701) % 86400).alias("detected_s"), ((F.col("fire_id") * 5303) % 86400).alias("arrived_s"),
         )
 
     @cached_property

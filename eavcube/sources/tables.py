@@ -25,17 +25,25 @@ class TableStore:
         version = self._latest(name)
         if version is None:
             raise KeyError(f"no table {name} under {self.root}")
-        return self.spark.read.parquet(self._path(name, version))
+        reader = self.spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else self.spark.read
+        return reader.parquet(self._path(name, version))
 
     def exists(self, name: str) -> bool:
         return self._latest(name) is not None
 
-    def replace(self, name: str, df: DataFrame) -> DataFrame:
-        """Create or replace the table with the rows of a frame and return what was written."""
+    def replace(self, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
+        """Create or replace the table with the rows of a frame and return what was written.
+
+        With `partition_by`, filters on that column skip files. The rebalance hint gathers each value into
+        few files and splits values that are too large for one task.
+        """
         if self.read_only:
             raise PermissionError(f"{self.root} is read-only")
         version = (self._latest(name) or 0) + 1
-        df.write.mode("overwrite").parquet(self._path(name, version))
+        rows = df.hint("rebalance", partition_by) if partition_by else df
+        writer = rows.write.mode("overwrite")
+        writer = writer.partitionBy(partition_by) if partition_by else writer
+        writer.parquet(self._path(name, version))
         return self.read(name)
 
     def append(self, name: str, rows: DataFrame) -> DataFrame:

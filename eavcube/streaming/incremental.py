@@ -37,6 +37,12 @@ class SeriesLog:
         newest = rows.groupBy(*self.keys).agg(F.max(BATCH).alias(BATCH))
         return skew_join(rows, newest, [*self.keys, BATCH], "left_semi", hot_rows).drop(BATCH)
 
+    def compact_to(self, path: str) -> SeriesLog:
+        """Write the current rows as the first batch of a log elsewhere, without what was replaced."""
+        compacted = SeriesLog(self.spark, path, self.keys)
+        compacted.write_batch(self.read(), -1)
+        return compacted
+
 
 def start_ingest(spark: SparkSession, landing: str, log: SeriesLog, checkpoint: str,
                  max_files: int = 1000) -> StreamingQuery:

@@ -114,3 +114,22 @@ def test_incremental_ingest_resumes_and_replaces_by_key(spark, tmp_path, rows):
     log.write_batch(log.read(), 7)
     log.write_batch(spark.read.parquet(f"{log.path}/batch=7"), 8)
     assert log.read().count() == 2
+
+
+def test_compaction_keeps_the_newest_rows(spark, tmp_path, rows):
+    log = SeriesLog(spark, str(tmp_path / "log"))
+    kind = "entity_id string, variable string, value double"
+    log.write_batch(spark.createDataFrame([("f1", "T2M", 1.0), ("f2", "T2M", 2.0)], kind), 0)
+    log.write_batch(spark.createDataFrame([("f1", "T2M", 3.0)], kind), 1)
+    small = log.compact_to(str(tmp_path / "small"))
+    assert rows(small.read()) == rows(log.read()) == [("f1", "T2M", 3.0), ("f2", "T2M", 2.0)]
+
+
+def test_partitioned_tables_skip_files_and_keep_types(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    data = [(i, v, "15-01", dt.date(2025, 1, 1), 1.0) for i, v in enumerate(["007", "T2M", "T2M"])]
+    store.replace("climatologia", spark.createDataFrame(data, SCHEMAS["climatologia"]), "id_variable")
+    back = store.read("climatologia")
+    assert sorted(r["id_variable"] for r in back.collect()) == ["007", "T2M", "T2M"]
+    plan = back.where("id_variable = 'T2M'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(id_variable" in plan
