@@ -23,6 +23,7 @@ _BYTES_PER_ROW = 64
 ROWS = "__rows"
 _SALT = "__salt"
 _SALTS = "__salts"
+_COPIES = "__copies"
 
 
 def input_bytes(df: DataFrame) -> int | None:
@@ -96,21 +97,30 @@ def skew_join(
 
     When the right side is small enough to be broadcast, or no key is hot, this is an ordinary join and
     the optimizer decides by the sizes it measures. With hot keys, their left rows are spread over salts
-    by a hash of the row and only the matching right rows are repeated, once per salt.
+    by a hash of the row and only the matching right rows are repeated, once per salt. A hash keeps a
+    retried task's rows where they were; a random salt would not.
 
     `probe` is a cheaper frame with the same key distribution to look for hot keys in, for a left side
     that is itself the result of joins. `hot_rows=None` states that no left key can repeat much.
     """
     on = list(on)
+    # A lowered hot_rows asks for the split even where a broadcast would do.
     safe = hot_rows is None or (hot_rows >= HOT_ROWS and will_broadcast(right))
     hot = None if safe else hot_keys(left if probe is None else probe, on, hot_rows)
     if hot is None:
         return left.join(right, on, how)
+    # Copies of one row share their hash, so many copies are counted before and repeated after the join.
+    if hot_keys(left, left.columns, hot_rows) is None:
+        return _salted_join(left, right, on, how, hot, hot_rows)
+    counted = left.groupBy(*left.columns).agg(F.count(F.lit(1)).alias(_COPIES))
+    return repeat_rows(_salted_join(counted, right, on, how, hot, hot_rows), _COPIES, hot_rows)
+
+
+def _salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str, hot: DataFrame, hot_rows: int) -> DataFrame:
     salts = F.broadcast(hot.select(*on, F.ceil(F.col(ROWS) / F.lit(hot_rows)).cast("int").alias(_SALTS)))
-    names = left.columns
     spread = left.alias("l").join(salts.alias("s"), _aliased(on), "left").select(
         "l.*",
-        F.pmod(F.xxhash64(*[F.col(f"l.{c}") for c in names]), F.coalesce(F.col(f"s.{_SALTS}"), F.lit(1)))
+        F.pmod(F.xxhash64(*[F.col(f"l.{c}") for c in left.columns]), F.coalesce(F.col(f"s.{_SALTS}"), F.lit(1)))
         .cast("int")
         .alias(_SALT),
     )
@@ -121,5 +131,18 @@ def skew_join(
     return spread.join(repeated, [*on, _SALT], how).drop(_SALT)
 
 
+def repeat_rows(df: DataFrame, copies: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Repeat every row as often as its `copies` column says; a very large count is spread over tasks."""
+    size, count = F.lit(hot_rows), F.col(copies)
+    parts = df.withColumn("__part", F.explode(F.sequence(F.lit(0), F.floor((count - 1) / size))))
+    # With a stated number the small counted rows are not coalesced into one task before they are repeated.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = parts.repartition(tasks, F.xxhash64(*df.columns), "__part")
+    here = F.least(size, count - F.col("__part") * size).cast("int")
+    return spread.withColumn("__copy", F.explode(F.sequence(F.lit(1), here))).select(
+        *[c for c in df.columns if c != copies]
+    )
+
+
 def _aliased(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys])

@@ -19,6 +19,8 @@ RUNTIME = {
     "spark.sql.codegen.maxFields": "1000",
 }
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a running session."""
@@ -42,8 +44,9 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="eavcube-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="eavcube-")
+    return _LOCAL_FOLDERS[context.applicationId]

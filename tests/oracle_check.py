@@ -37,9 +37,8 @@ def rows_of(columns, rows):
     return sorted(tuple(norm(r[i]) for i in order) for r in rows)
 
 
-def compare(spark, con, name, folder):
+def compare(df, con, name):
     """None when equal, otherwise what differs."""
-    df = contract.queries()[name](spark, folder)
     got = [tuple(r) for r in df.collect()]
     sql = contract.oracle_sql().get(name)
     if sql is None:
@@ -76,7 +75,7 @@ if __name__ == "__main__":
     for q in wanted:
         begin = time.time()
         try:
-            problem = compare(session, connect(where), q, where)
+            problem = compare(contract.queries()[q](session, where), connect(where), q)
         except Exception as error:  # noqa: BLE001
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         bad += problem is not None

@@ -44,6 +44,15 @@ def test_skew_join_equals_plain_join(spark, rows, how):
     assert rows(skew_join(left, right, ["key"], how, 20)) == rows(left.join(right, "key", how))
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_skew_join_with_many_copies_of_one_row(spark, rows, how):
+    left = spark.createDataFrame([(0,)] * 200 + [(1,)] * 150 + [(k % 7,) for k in range(70)] + [(None,)] * 90, "key int")
+    right = spark.createDataFrame([(0, "a"), (0, "b"), (3, "c")], "key int, name string")
+    got = skew_join(left, right, ["key"], how, 30)
+    assert skew._COPIES in got._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(got) == rows(left.join(right, "key", how))
+
+
 def test_skew_join_spreads_the_hot_key(spark):
     left = skewed(spark)
     right = spark.createDataFrame([(k, k) for k in range(40)], "key int, v int")
