@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 ACCENTED = "áÁéÉíÍóÓúÚüÜñÑ"
 FOLDED = "aaeeiioouuuunn"
 UNSPECIFIED = "no especificado"
+WHITESPACE = " \t\n\r\f\v\u00a0"
 
 # Wording of a size class and the midpoint in hectares that stands for it.
 SIZE_MIDPOINTS = {
@@ -39,7 +40,7 @@ def strip_whitespace(c: Column) -> Column:
 
 def trim_whitespace(c: Column) -> Column:
     """Remove outer whitespace of any kind (`trim` alone removes spaces only)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def first_token(c: Column, separator: str = " ") -> Column:

@@ -102,9 +102,14 @@ def is_mislocated(key: Column, lat: Column, lon: Column, box: Mapping[str, Seque
 def purge_mislocated(entities: DataFrame, series: DataFrame, id_col: str, flag: Column, lat: str, lon: str,
                      hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
     """Blank the coordinates of flagged entities and drop their series; the entities stay."""
-    blank = [F.when(~flag, F.col(c)).alias(c) if c in (lat, lon) else F.col(c) for c in entities.columns]
     flagged = entities.where(flag).select(id_col)
-    return entities.select(*blank), not_in(series, flagged, [id_col], hot_rows)
+    return blank_coordinates(entities, flag, lat, lon), not_in(series, flagged, [id_col], hot_rows)
+
+
+def blank_coordinates(entities: DataFrame, flag: Column, lat: str, lon: str) -> DataFrame:
+    """Both coordinates NULL where the flag is true."""
+    blank = [F.when(~flag, F.col(c)).alias(c) if c in (lat, lon) else F.col(c) for c in entities.columns]
+    return entities.select(*blank)
 
 
 def clamp_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:

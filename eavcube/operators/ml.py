@@ -59,9 +59,12 @@ def hash_split(df: DataFrame, key: str, train: float = 0.8, seed: int = 42) -> t
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weight per class: rows / (classes * rows of the class)."""
     counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("rows"))
-    totals = counts.agg(F.sum("rows").alias("n"), F.count(F.lit(1)).alias("k")).select(F.struct("n", "k"))
-    t = totals.scalar()
-    return counts.select(label, "rows", (t.n / (t.k * F.col("rows"))).alias(WEIGHT))
+    # One entry per class is gathered, so that the totals need no second pass.
+    row = counts.agg(
+        F.sum("rows").alias("__n"), F.count(F.lit(1)).alias("__k"), F.collect_list(F.struct(label, "rows")).alias("__all")
+    )
+    weight = F.col("__n") / (F.col("__k") * F.col("rows"))
+    return row.select("__n", "__k", F.inline("__all")).select(label, "rows", weight.alias(WEIGHT))
 
 
 def with_class_weights(df: DataFrame, label: str, limit: int = 1000) -> DataFrame:

@@ -88,16 +88,21 @@ def text_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 def reference_audit(tables: Mapping[str, DataFrame], references: Sequence[Reference], samples: int = 3,
                     hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Orphan rows per declared reference and the lowest missing ids as an example."""
+    """Orphan rows per declared reference and the lowest missing ids with their rows (`id:rows`).
+
+    Orphans are counted per missing id first; total and examples both read that one shuffle.
+    """
     report = None
     for ref in references:
         orphans = without_parent(tables[ref.child], tables[ref.parent], ref.column, ref.parent_column, hot_rows)
         missing = orphans.groupBy(F.col(ref.column).cast("string").alias("__id")).agg(F.count(F.lit(1)).alias("__n"))
-        total = missing.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("n")).select("n", F.lit(None).cast("string").alias("id"))
-        examples = missing.orderBy("__id").limit(samples).select(
-            F.lit(0).cast("bigint").alias("n"), F.col("__id").alias("id")
+        total = missing.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("n"))
+        lowest = missing.orderBy("__id").limit(samples)
+        example = F.concat_ws(":", "__id", F.col("__n").cast("string"))
+        part = total.select("n", F.lit(None).cast("string").alias("id")).unionByName(
+            lowest.select(F.lit(0).cast("bigint").alias("n"), example.alias("id"))
         )
-        part = total.unionByName(examples).select(F.lit(ref.label).alias("reference"), "n", "id")
+        part = part.select(F.lit(ref.label).alias("reference"), "n", "id")
         report = part if report is None else report.unionByName(part)
     # At most samples + 1 rows per reference are collected into one array.
     return report.groupBy("reference").agg(

@@ -73,8 +73,8 @@ FROM fire f LEFT JOIN lags l ON f.entity_id = l.entity_id LEFT JOIN cat c ON f.c
        "obs entity fire cat demo damage")
 def wide_features(t: Tables) -> DataFrame:
     wide = FE.wide_table(t.fire, [
-        (lags(t), ["entity_id"]), (t.cat.withColumnRenamed("id", "cat_id"), ["cat_id"]), (t.demo, ["place_id"]),
-        (t.damage.withColumn("hit", F.lit(True)), ["fire_id"]),
+        (t.damage.withColumn("hit", F.lit(True)), ["fire_id"]), (lags(t), ["entity_id"]),
+        (t.cat.withColumnRenamed("id", "cat_id"), ["cat_id"]), (t.demo, ["place_id"]),
     ])
     return wide.select(
         "fire_id", "place_id", "view_0d", "error_7d", "kind", "segment", "pop_total", "tree",

@@ -25,9 +25,10 @@ def _known(t: Tables) -> DataFrame:
     UNION ALL SELECT 'fire.place_id -> place.place_id', CAST(place_id AS VARCHAR) FROM fire
     WHERE place_id NOT IN (SELECT place_id FROM place)
 ), samples AS (
-    SELECT reference, string_agg(id, ',' ORDER BY id) AS samples FROM (
-        SELECT DISTINCT reference, id, dense_rank() OVER (PARTITION BY reference ORDER BY id) AS n FROM orphans)
-    WHERE n <= 3 GROUP BY reference
+    SELECT reference, string_agg(id || ':' || n, ',' ORDER BY id || ':' || n) AS samples FROM (
+        SELECT reference, id, count(*) AS n, row_number() OVER (PARTITION BY reference ORDER BY id) AS k
+        FROM orphans GROUP BY reference, id)
+    WHERE k <= 3 GROUP BY reference
 ), refs AS (SELECT 'line.fire_id -> parent.fire_id' AS reference UNION ALL SELECT 'fire.place_id -> place.place_id')
 SELECT r.reference, count(o.id) AS orphans, coalesce(max(s.samples), '') AS samples
 FROM refs r LEFT JOIN orphans o ON r.reference = o.reference LEFT JOIN samples s ON r.reference = s.reference

@@ -153,15 +153,16 @@ def migrate(inputs: MigrationInputs, work: TableStore, box: Mapping[str, Sequenc
     """Clean the raw tables into the working store and return (phase, table, rows) counters.
 
     Each phase reads the stored tables and writes new versions, so a failed phase can be run again and the
-    plans stay short.
+    plans stay short. The large series is written twice: cleaned, then interpolated.
     """
     phases = [
         ("catalogues", lambda: _catalogues(inputs.raw)),
         ("geography", lambda: _geography(inputs.raw)),
         ("keys and duplicates", lambda: _keys_and_duplicates(work)),
         ("children", lambda: _children(inputs, work)),
+        ("series", lambda: {"climatologia": _series(inputs.raw, work, box)}),
+        ("interpolation", lambda: {"climatologia": _interpolated(work.read("climatologia"))}),
         ("text and coordinates", lambda: _text_and_coordinates(work, box)),
-        ("series", lambda: {"climatologia": _series(work.read("climatologia"))}),
         ("integrity", lambda: _integrity(work)),
     ]
     report = None
@@ -202,15 +203,10 @@ def _keys_and_duplicates(work: TableStore) -> dict[str, DataFrame]:
 
 def _children(inputs: MigrationInputs, work: TableStore) -> dict[str, DataFrame]:
     fires = work.read("incendios")
-    raw = inputs.raw
-    series = raw.read("climatologia").withColumns({
-        c: X.strip_whitespace(F.col(c)) for c in ("id_variable", "id_clave_inc")
-    })
-    damage = raw.read("danos").withColumn("id_clave_inc", X.strip_whitespace(F.col("id_clave_inc")))
+    damage = inputs.raw.read("danos").withColumn("id_clave_inc", X.strip_whitespace(F.col("id_clave_inc")))
     places, people = load_demography(inputs.demography, work.read("municipios"))
     order = [c for c in damage.columns if c != "id_clave_inc"]
     return {
-        "climatologia": R.with_parent(series, fires, "id_clave_inc"),
         "danos": keep_first(R.with_parent(damage, fires, "id_clave_inc"), ["id_clave_inc"], order),
         "operaciones": load_operations(inputs.operations, fires),
         "municipios": places,
@@ -218,30 +214,47 @@ def _children(inputs: MigrationInputs, work: TableStore) -> dict[str, DataFrame]
     }
 
 
-def _text_and_coordinates(work: TableStore, box: Mapping[str, Sequence[float]]) -> dict[str, DataFrame]:
-    tables = CL.normalise_tables({n: work.read(n) for n in TEXT_COLUMNS}, TEXT_COLUMNS)
-    flag = CL.is_mislocated(F.col("id_cvegeo"), F.col("latitud"), F.col("longitud"), box)
-    fires, series = CL.purge_mislocated(
-        tables["incendios"], work.read("climatologia"), "id_clave_inc", flag, "latitud", "longitud"
-    )
-    damage = CL.clamp_columns(tables["danos"], DAMAGE_PARTS)
-    return {**tables, "danos": damage, "climatologia": series, "incendios": fires}
+def _mislocated(box: Mapping[str, Sequence[float]]) -> Column:
+    return CL.is_mislocated(F.col("id_cvegeo"), F.col("latitud"), F.col("longitud"), box)
 
 
-def _series(series: DataFrame) -> DataFrame:
-    known = CL.neutralise_sentinel(series, "resultado_numerico")
+def _series(raw: TableStore, work: TableStore, box: Mapping[str, Sequence[float]]) -> DataFrame:
+    """Known and well located fires in one semi-join, then codes, dead variables and duplicates."""
+    series = raw.read("climatologia").withColumns({
+        c: X.strip_whitespace(F.col(c)) for c in ("id_variable", "id_clave_inc")
+    })
+    fires = work.read("incendios").where(~_mislocated(box))
+    known = CL.neutralise_sentinel(R.with_parent(series, fires, "id_clave_inc"), "resultado_numerico")
     alive = CL.remove_dead_variables(known, "id_variable", "resultado_numerico")
-    unique = CL.deduplicate_series(alive, KEYS["climatologia"], "id_registro")
+    return CL.deduplicate_series(alive, KEYS["climatologia"], "id_registro")
+
+
+def _interpolated(series: DataFrame) -> DataFrame:
     return CL.interpolate_rescuable(
-        unique, "id_variable", "id_clave_inc", ["fecha_de_observacion", "id_registro"], "resultado_numerico"
+        series, "id_variable", "id_clave_inc", ["fecha_de_observacion", "id_registro"], "resultado_numerico"
     )
 
 
+def _text_and_coordinates(work: TableStore, box: Mapping[str, Sequence[float]]) -> dict[str, DataFrame]:
+    tables = CL.normalise_tables({n: work.read(n) for n in TEXT_COLUMNS}, TEXT_COLUMNS)
+    return {
+        **tables,
+        "danos": CL.clamp_columns(tables["danos"], DAMAGE_PARTS),
+        "incendios": CL.blank_coordinates(tables["incendios"], _mislocated(box), "latitud", "longitud"),
+    }
+
+
 def _integrity(work: TableStore) -> dict[str, DataFrame]:
+    """Child tables that still have orphans, without them, and the places that are used."""
     fires = work.read("incendios")
     children = {n: work.read(n) for n in ("danos", "operaciones", "climatologia")}
+    torn = {
+        n: c for n, c in children.items()
+        if not c.where(F.col("id_clave_inc").isNull()).isEmpty()
+        or not R.without_parent(c, fires, "id_clave_inc").isEmpty()
+    }
     places = CL.remove_unreferenced(work.read("municipios"), "id_cvegeo", [fires, work.read("demografia")])
-    return {**CL.remove_orphans(children, fires, "id_clave_inc"), "municipios": places}
+    return {**CL.remove_orphans(torn, fires, "id_clave_inc"), "municipios": places}
 
 
 # Cube ------------------------------------------------------------------------------------------
@@ -341,8 +354,9 @@ def lag_model_table(work: TableStore, variables: Sequence[str]) -> DataFrame:
         "resultado_numerico", variables,
     )
     wide = FE.wide_table(fires, [
-        (lags, ["id_clave_inc"]), (work.read("vegetacion"), ["id_vegetacion"]), (work.read("causa"), ["id_causa"]),
-        (work.read("demografia"), ["id_cvegeo"]), (work.read("danos"), ["id_clave_inc"]),
+        # Frames with one row per fire first; population repeats fires, so it comes last.
+        (lags, ["id_clave_inc"]), (work.read("danos"), ["id_clave_inc"]), (work.read("vegetacion"), ["id_vegetacion"]),
+        (work.read("causa"), ["id_causa"]), (work.read("demografia"), ["id_cvegeo"]),
     ])
     wide = wide.withColumns({
         "temp_combustible": FE.fuel_temperature_sum(F.col("TSOIL6_0d"), F.col("T2M_0d")),

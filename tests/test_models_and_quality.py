@@ -123,7 +123,7 @@ def test_reference_audit_counts_rows_and_lists_ids(spark):
     child = spark.createDataFrame([("a",), ("x",), ("x",), ("w",), ("y",), ("z",), (None,)], "k string")
     parent = spark.createDataFrame([("a",)], "k string")
     got = Q.reference_audit({"c": child, "p": parent}, [Reference("c", "k", "p", "k")]).first()
-    assert (got["reference"], got["orphans"], got["samples"]) == ("c.k -> p.k", 5, "w,x,y")
+    assert (got["reference"], got["orphans"], got["samples"]) == ("c.k -> p.k", 5, "w:1,x:2,y:1")
 
 
 @pytest.mark.parametrize("once", [False, True])
