@@ -12,8 +12,12 @@ SENTINEL = -999.0
 
 
 def to_number(c: Column) -> Column:
-    """Text with a decimal comma or point to double; anything else, NaN included, to NULL."""
-    value = F.trim(F.replace(c, F.lit(","), F.lit("."))).try_cast("double")
+    """Text with a decimal comma or point to double; anything else, NaN included, to NULL.
+
+    A cast would also accept a type suffix (`12d`), which is not a number in a text file.
+    """
+    text = F.trim(F.replace(c, F.lit(","), F.lit(".")))
+    value = F.when(~text.rlike("[0-9.][dDfF]$"), text.try_cast("double"))
     return F.when(~F.isnan(value), value)
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eavcube.functions import dates as D
@@ -28,6 +28,12 @@ OTHER_VEGETATION_RISK = 0.5
 # Dimensions ------------------------------------------------------------------------------------
 
 
+def calendar(spark: SparkSession, first: str, last: str) -> DataFrame:
+    """Every date of a closed range, for a time dimension that does not depend on observations."""
+    days = F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    return spark.range(1).select(F.explode(days).alias("date"))
+
+
 def time_dimension(df: DataFrame, date: str) -> DataFrame:
     """Distinct dates with year, month, quarter, month and season name and weekend flag."""
     d = F.col("date")

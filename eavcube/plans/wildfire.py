@@ -116,8 +116,9 @@ def load_demography(rows: DataFrame, places: DataFrame,
     keyed = rows.withColumn("id_cvegeo", K.zero_fill(F.col("CLAVE")))
     bands = dict(zip(POPULATION_BANDS, AGE_BANDS))
     shaped = keyed.select(
-        "id_cvegeo", F.col("Fecha").cast("int").alias("anio"), F.col("SEXO").alias("sexo"),
-        F.col("POB_TOTAL").cast("int").alias("pob_total"), *[F.col(a).cast("int").alias(b) for a, b in bands.items()],
+        "id_cvegeo", F.col("Fecha").try_cast("int").alias("anio"), F.col("SEXO").alias("sexo"),
+        F.col("POB_TOTAL").try_cast("int").alias("pob_total"),
+        *[F.col(a).try_cast("int").alias(b) for a, b in bands.items()],
     )
     missing = shaped.select("id_cvegeo").distinct().select(
         "id_cvegeo", F.lit(HOME_STATE_KEY).alias("id_clave_ent"), F.lit(FROM_CSV_LABEL).alias("nombre_municipio")

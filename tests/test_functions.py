@@ -80,8 +80,8 @@ def test_seasons_months_and_weekends(spark):
 
 
 def test_numbers_from_text(spark):
-    assert apply(spark, ["19,35", " -99.2 ", "nan", "x", "", None], "string", N.to_number) == [
-        19.35, -99.2, None, None, None, None,
+    assert apply(spark, ["19,35", " -99.2 ", "nan", "x", "", "12d", "1.f", None], "string", N.to_number) == [
+        19.35, -99.2, None, None, None, None, None, None,
     ]
     assert apply(spark, ["3.7", "2", "x"], "string", N.to_integer) == [4, 2, None]
 

@@ -141,3 +141,11 @@ def test_population_views_equal_the_row_by_row_join(spark, once):
         want = {r["place"]: (r["n"], r["p"]) for r in joined.collect()}
         assert {k: v[:2] for k, v in got.items()} == want
     assert got["r"][1:] == (None, None)
+
+
+def test_time_dimension_over_a_calendar(spark):
+    time = C.time_dimension(C.calendar(spark, "2024-02-27", "2024-03-02"), "date").orderBy("date").collect()
+    assert [r["date"].day for r in time] == [27, 28, 29, 1, 2]
+    assert (time[-1]["quarter"], time[-1]["month_name"], time[-1]["season"], time[-1]["is_weekend"]) == (
+        1, "Marzo", "Primavera", True,
+    )

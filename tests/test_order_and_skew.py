@@ -64,6 +64,7 @@ def test_numbering_is_consecutive_over_slices(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v"))
     got = numbered(df, ["v"], "n", 11).collect()
     assert sorted((r["v"], r["n"]) for r in got) == [(i, i + 11) for i in range(1000)]
+    assert numbered(df.where("v < 0"), ["v"], "n").count() == 0
 
 
 def expected_interpolation(pdf):

@@ -200,3 +200,23 @@ def test_register_is_conformed_and_split(spark, rows):
     assert rows(out["causa"]) == [(7, "Fogata", "Paseantes"), (8, "Quema", "Paseantes")]
     assert rows(out["incendios"], "id_clave_inc", "id_causa", "id_vegetacion") == [("15-01-0001", 7, 1), ("15-02", 8, 1)]
     assert out["danos"].count() == 2 and rows(out["estado"]) == [(15, "Centro", "México")]
+
+
+def test_jobs_run_from_the_command_line(spark, raw, tmp_path):
+    from eavcube.plans import jobs
+
+    people = tmp_path / "people.csv"
+    people.write_text("CLAVE,Fecha,SEXO,POB_TOTAL," + ",".join(WF.POPULATION_BANDS) + "\n15102,2020,Mujeres,100," + ",".join("1" * 18))
+    operations = tmp_path / "operations.csv"
+    operations.write_text(",".join(WF.OPERATIONS) + "\n15-01,02/04/2025,12:30,13:05,36:10:00,2\n")
+    folders = {n: str(tmp_path / n) for n in ("work", "cube", "features", "loaded")}
+    jobs.main(["migrate", "--raw", raw.root, "--work", folders["work"], "--demography", str(people), "--operations", str(operations)])
+    jobs.main(["cube", "--work", folders["work"], "--cube", folders["cube"]])
+    jobs.main(["features", "--work", folders["work"], "--out", folders["features"]])
+    assert TableStore(spark, folders["cube"]).read("vw_resumen_anual").first()["total_incendios"] == 5
+    assert TableStore(spark, folders["features"]).read("propagation").count() == 5
+    register = tmp_path / "register"
+    register_rows(spark).coalesce(1).write.option("header", True).csv(str(register))
+    for _ in range(2):
+        jobs.main(["load", "--work", folders["loaded"], "--register", str(register)])
+    assert TableStore(spark, folders["loaded"]).read("incendios").count() == 2
