@@ -12,13 +12,14 @@ SENTINEL = -999.0
 
 
 def to_number(c: Column) -> Column:
-    """Text with a decimal comma or point to double; anything else, NaN included, to NULL.
+    """Text with a decimal comma or point to double; anything else, `nan` and `inf` included, to NULL.
 
-    A cast would also accept a type suffix (`12d`), which is not a number in a text file.
+    Other characters are looked for first: a failed cast costs far more, and a successful one would also
+    accept a type suffix (`12d`).
     """
     text = F.trim(F.replace(c, F.lit(","), F.lit(".")))
-    value = F.when(~text.rlike("[0-9.][dDfF]$"), text.try_cast("double"))
-    return F.when(~F.isnan(value), value)
+    numeric = (F.translate(text, "0123456789+-.eE", "") == "") & (text != "")
+    return F.when(numeric, text.try_cast("double"))
 
 
 def to_integer(c: Column) -> Column:

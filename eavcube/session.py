@@ -17,6 +17,8 @@ RUNTIME = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Wide pivots (143 variables x 4 windows) exceed the default of 100 fields.
     "spark.sql.codegen.maxFields": "1000",
+    # HotSpot interprets methods over 8000 bytes; generate split code for those stages instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 _LOCAL_FOLDERS: dict[str, str] = {}
