@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,20 +78,30 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None, chunk: int = 400) -> DataFrame:
+def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None, tile: int = 20) -> DataFrame:
     """Pearson correlation of every pair on the rows where both are known, as (var_a, var_b, r).
 
-    Constant columns give NULL. All pairs of a chunk come from one aggregation pass.
+    Constant columns give NULL. The pairs of two blocks of `tile` columns come from one aggregation pass,
+    which reads those columns only.
     """
     columns = list(columns or numeric_columns(df))
-    pairs = list(combinations(columns, 2))
-    parts = [_correlate(df, pairs[i:i + chunk]) for i in range(0, len(pairs), chunk)]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
+    result = None
+    for pairs in _tiles(columns, tile):
+        part = _correlate(df, pairs)
+        result = part if result is None else result.unionByName(part)
     return result
 
 
+def _tiles(columns: list[str], tile: int) -> list[list[tuple[str, str]]]:
+    place = {c: i for i, c in enumerate(columns)}
+    blocks = [columns[i:i + tile] for i in range(0, len(columns), tile)]
+    tiles = [
+        [(a, b) for a in left for b in right if place[a] < place[b]]
+        for i, left in enumerate(blocks) for right in blocks[i:]
+    ]
+    return [pairs for pairs in tiles if pairs]
+
+
 def correlation_with(df: DataFrame, target: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Correlation of every other column with the target, highest first."""
     columns = [c for c in (columns or numeric_columns(df)) if c != target]

@@ -152,7 +152,8 @@ def interpolate_rescuable(df: DataFrame, variable: str, entity: str, order: Sequ
                           max_pct: float = 10.0, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Interpolate only the rescuable variables, per (variable, entity), all in one job.
 
-    Other variables pass by without a shuffle.
+    Other variables pass by without a shuffle. The frame is read three times (counts, chosen, others), so
+    it should be a stored table, best partitioned by variable.
     """
     names = bounded_list(rescuable_variables(df, variable, value, max_pct), variable)
     if not names:

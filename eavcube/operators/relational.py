@@ -174,7 +174,8 @@ def surrogate_keys(new: DataFrame, name: str, order: Sequence[str], stored: Data
 
 def fixed_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """`n` uniformly chosen rows; the same rows for the same seed, whatever the partitioning."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    draw = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
+    return df.orderBy(draw, key).limit(n)
 
 
 # Work still to be fetched ----------------------------------------------------------------------

@@ -25,7 +25,8 @@ def load(spark: SparkSession, args: argparse.Namespace) -> None:
     """Conform the register and add its rows to the stored tables."""
     store = TableStore(spark, args.work)
     stored = store.create_all()
-    register = WF.conform_register(read_text_columns(spark, args.register), args.state)
+    # Stored once, since every catalogue and fact is derived from it.
+    register = store.replace("register", WF.conform_register(read_text_columns(spark, args.register), args.state))
     for name, table in WF.split_register(register, stored).items():
         store.replace(name, table)
     store.row_counts().show()

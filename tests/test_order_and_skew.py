@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eavcube.operators import skew
-from eavcube.operators.ordered import bounded_list, numbered
+from eavcube.operators.ordered import CHUNK, bounded_list, numbered, positioned
 from eavcube.operators.quantile import EDGES, quantile_list, quantiles
 from eavcube.operators.skew import hot_keys, skew_join
 from eavcube.operators.window import (
@@ -19,6 +19,15 @@ from eavcube.operators.window import (
 )
 
 
+@pytest.fixture(autouse=True)
+def several_slices(spark):
+    """Keep the slices of tiny sorted frames apart, so that values are carried from one to the next."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.set(name, "true")
+
+
 def skewed(spark, n=600, seed=3):
     """A third of the rows have the same key; values have gaps."""
     rnd = random.Random(seed)
@@ -62,6 +71,7 @@ def test_skew_join_spreads_the_hot_key(spark):
 
 def test_numbering_is_consecutive_over_slices(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v"))
+    assert positioned(df, ["v"]).select(CHUNK).distinct().count() > 3
     got = numbered(df, ["v"], "n", 11).collect()
     assert sorted((r["v"], r["n"]) for r in got) == [(i, i + 11) for i in range(1000)]
     assert numbered(df.where("v < 0"), ["v"], "n").count() == 0
@@ -84,6 +94,15 @@ def test_interpolation_matches_pandas_on_both_paths(spark, hot_rows):
     assert {r["id"]: None if r["value"] is None else round(r["value"], 9) for r in got} == want
 
 
+def test_interpolation_carries_values_over_slices_without_any(spark):
+    """One hot group whose middle slices are empty: only the summaries of the outer ones can fill it."""
+    data = [(1, i, {2: 10.0, 397: 405.0}.get(i)) for i in range(400)]
+    df = spark.createDataFrame(data, "key int, pos int, value double").repartition(5)
+    assert positioned(df, ["key", "pos"]).select(CHUNK).distinct().count() > 3
+    got = interpolate_linear(df, ["key"], ["pos"], "value", 20).orderBy("pos").collect()
+    assert [r["value"] for r in got] == [float(min(max(i, 2), 397) + 8) for i in range(400)]
+
+
 def test_interpolation_ends_and_empty_groups(spark):
     data = [(1, i, v) for i, v in enumerate([None, 2.0, None, None, 8.0, None])] + [(2, 0, None), (2, 1, None)]
     df = spark.createDataFrame(data, "key int, pos int, value double")

@@ -27,10 +27,10 @@ def test_query_equals_its_sql_without_cross_join_python_or_global_window(spark,
     assert compare(df, con, name) is None
 
 
-def test_only_models_and_samples_lack_sql():
+def test_only_models_lack_sql():
     missing = set(contract.queries()) - set(contract.oracle_sql())
     assert missing == {
-        "cluster_profile", "forest_importance", "importance_groups", "kmeans_places", "sample_fixed", "tree_report",
+        "cluster_profile", "forest_importance", "importance_groups", "kmeans_places", "tree_report",
     }
 
 

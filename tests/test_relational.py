@@ -109,7 +109,9 @@ def test_correlation_is_pairwise_and_null_for_constants(spark):
     df = spark.createDataFrame(
         [(1.0, 2.0, 5.0), (2.0, None, 5.0), (3.0, 6.0, 5.0), (4.0, 7.0, 5.0)], "a double, b double, c double"
     )
-    got = {(r["var_a"], r["var_b"]): r["r"] for r in A.correlation_matrix(df, chunk=1).collect()}
+    got = {(r["var_a"], r["var_b"]): r["r"] for r in A.correlation_matrix(df, tile=1).collect()}
+    assert got == {(r["var_a"], r["var_b"]): r["r"] for r in A.correlation_matrix(df, tile=2).collect()}
+    assert set(got) == {("a", "b"), ("a", "c"), ("b", "c")}
     assert got[("a", "b")] == pytest.approx(df.toPandas()["a"].corr(df.toPandas()["b"]))
     assert got[("a", "c")] is None
     ranked = A.correlation_with(df, "a").collect()
