@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from eavcube.functions import keys as K
 from eavcube.functions import numbers as N
 from eavcube.functions.text import normalise_text
-from eavcube.operators.ordered import bounded_list
+from eavcube.operators.ordered import small_list
 from eavcube.operators.quantile import quantile_list
 from eavcube.operators.relational import insert_if_absent, not_in, remap_ids, with_parent
 from eavcube.operators.skew import HOT_ROWS
@@ -129,10 +129,22 @@ def dead_variables(df: DataFrame, variable: str, value: str) -> DataFrame:
     return counts.where(F.col("__known") == 0).select(variable)
 
 
+def split_by_values(df: DataFrame, column: str, chosen: DataFrame,
+                    hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Rows whose value is listed in `chosen` and the others (a NULL value is among the others).
+
+    A short list becomes a literal filter that reaches the scan, a long one is joined.
+    """
+    values = small_list(chosen, column)
+    if values is None:
+        return with_parent(df, chosen, column, hot_rows=hot_rows), not_in(df, chosen, [column], hot_rows)
+    listed = F.coalesce(F.col(column).isin(values), F.lit(False))
+    return df.where(listed), df.where(~listed)
+
+
 def remove_dead_variables(df: DataFrame, variable: str, value: str) -> DataFrame:
-    """Series without its dead variables; the dictionary-sized id list is checked for size."""
-    dead = bounded_list(dead_variables(df, variable, value), variable)
-    return df.where(~F.col(variable).isin(dead)) if dead else df
+    """Series without its dead variables."""
+    return split_by_values(df, variable, dead_variables(df, variable, value))[1]
 
 
 def deduplicate_series(df: DataFrame, keys: Sequence[str], id_col: str) -> DataFrame:
@@ -155,12 +167,9 @@ def interpolate_rescuable(df: DataFrame, variable: str, entity: str, order: Sequ
     Other variables pass by without a shuffle. The frame is read three times (counts, chosen, others), so
     it should be a stored table, best partitioned by variable.
     """
-    names = bounded_list(rescuable_variables(df, variable, value, max_pct), variable)
-    if not names:
-        return df
-    chosen = F.coalesce(F.col(variable).isin(names), F.lit(False))
-    filled = interpolate_linear(df.where(chosen), [variable, entity], order, value, hot_rows)
-    return df.where(~chosen).unionByName(filled)
+    rescuable = rescuable_variables(df, variable, value, max_pct).select(variable)
+    chosen, others = split_by_values(df, variable, rescuable, hot_rows)
+    return others.unionByName(interpolate_linear(chosen, [variable, entity], order, value, hot_rows))
 
 
 def remove_orphans(children: Mapping[str, DataFrame], parent: DataFrame, key: str,
@@ -182,8 +191,7 @@ def purge_series(df: DataFrame, variable: str, value: str, limit: float = N.SENT
     """The deleting policy: no variable that only holds the code, no row at or below it."""
     spans = df.groupBy(variable).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
     only_code = spans.where((F.col("__lo") == limit) & (F.col("__hi") == limit))
-    dead = bounded_list(only_code, variable)
-    kept = df.where(~F.col(variable).isin(dead)) if dead else df
+    kept = split_by_values(df, variable, only_code.select(variable))[1]
     return kept.where(F.col(value).isNull() | (F.col(value) > limit))
 
 

@@ -10,7 +10,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eavcube.operators.ordered import bounded_list
+from eavcube.operators.ordered import small_list
+from eavcube.operators.skew import skew_join
 
 FEATURES = "__features"
 WEIGHT = "weight"
@@ -68,10 +69,11 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label: str, limit: int = 1000) -> DataFrame:
-    """Rows with the weight of their class; the class list is checked for size and read as literals."""
-    bounded_list(df, label, limit)
-    weights = {r[label]: r[WEIGHT] for r in class_weights(df, label).collect()}
-    pairs = [F.lit(x) for item in weights.items() for x in item]
+    """Rows with the weight of their class: a literal lookup for a short class list, else a join."""
+    table = class_weights(df, label).select(label, WEIGHT)
+    if small_list(table, label, limit) is None:
+        return skew_join(df, table, [label], "left")
+    pairs = [F.lit(x) for row in table.collect() for x in row]
     return df.withColumn(WEIGHT, F.try_element_at(F.create_map(*pairs), F.col(label)))
 
 

@@ -52,12 +52,18 @@ def numbered(df: DataFrame, order: Sequence[Column | str], name: str, start: int
     return positioned(df, order).withColumn(name, (F.col(POSITION) + first).cast("bigint")).drop(CHUNK, POSITION)
 
 
-def bounded_list(df: DataFrame, column: str, limit: int = 1000) -> list:
-    """Sorted distinct non-null values of a column that is known to be small; fails beyond `limit`."""
+def small_list(df: DataFrame, column: str, limit: int = 1000) -> list | None:
+    """Sorted distinct non-null values of a column, or None when there are more than `limit`."""
     rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
+    return sorted(r[0] for r in rows) if len(rows) <= limit else None
+
+
+def bounded_list(df: DataFrame, column: str, limit: int = 1000) -> list:
+    """`small_list` where the values shape a schema, so that more of them is an error."""
+    values = small_list(df, column, limit)
+    if values is None:
         raise ValueError(f"{column} has more than {limit} distinct values")
-    return sorted(r[0] for r in rows)
+    return values
 
 
 def last_known(value: Column, keys: Sequence[str], order: Column) -> Column:

@@ -49,7 +49,6 @@ POPULATION_BANDS = [
 HOME_STATE = "México"
 HOME_STATE_KEY = 15
 STATE_BOX = {"lat": (18.35, 20.25), "lon": (-100.6, -98.55)}
-MIGRATED_LABEL = "MUNICIPIO POR REVISAR"
 # The series is filtered by variable far more often than by anything else.
 PARTITIONED = {"climatologia": "id_variable"}
 FROM_CSV_LABEL = "MUNICIPIO DESDE CSV POR REVISAR"
@@ -187,7 +186,7 @@ def _geography(raw: TableStore) -> dict[str, DataFrame]:
     home = F.lit(HOME_STATE_KEY)
     places = CL.unify_dimension(
         raw.read("municipios"), fires, "id_cvegeo",
-        {"id_clave_ent": home, "nombre_municipio": F.lit(MIGRATED_LABEL)}, {"id_clave_ent": home},
+        {"id_clave_ent": home, "nombre_municipio": F.lit(CL.REVIEW_LABEL)}, {"id_clave_ent": home},
     )
     return {"municipios": places, "incendios": CL.migrate_facts(fires, "id_clave_inc", "id_cvegeo")}
 

@@ -149,3 +149,15 @@ def test_time_dimension_over_a_calendar(spark):
     assert (time[-1]["quarter"], time[-1]["month_name"], time[-1]["season"], time[-1]["is_weekend"]) == (
         1, "Marzo", "Primavera", True,
     )
+
+
+def test_long_value_lists_are_joined(spark, rows):
+    df = spark.createDataFrame([(f"v{i % 1500}", i) for i in range(3000)] + [(None, -1)], "var string, i int")
+    few = spark.createDataFrame([("v1",), ("v2",)], "var string")
+    many = df.where("i < 1200").select("var")
+    assert CL.split_by_values(df, "var", few)[0].count() == 4
+    for chosen, size in ((few, 4), (many, 2400)):
+        hit, rest = CL.split_by_values(df, "var", chosen)
+        assert (hit.count(), rest.count()) == (size, 3001 - size) and rest.where("var is null").count() == 1
+    labels = df.dropna().withColumnRenamed("var", "label")
+    assert M.with_class_weights(labels, "label").select("weight").distinct().collect()[0][0] == 1.0

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from eavcube.operators import quality as Q
 from eavcube.plans import wildfire as WF
