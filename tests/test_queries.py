@@ -6,6 +6,8 @@ import __spark_entry__ as contract
 import pytest
 from oracle_check import compare, connect
 
+from eavcube.plans.registry import ORACLES, QUERIES
+
 FOLDER = "/root/testdata/sf0.001"
 # Ranks over a handful of rows (slices, clusters) may share one task; rows of the tables may not.
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonMapInArrow"]
@@ -16,7 +18,7 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql_without_cross_join_python_or_global_window(spark, con, name):
     df = contract.queries()[name](spark, FOLDER)
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -28,7 +30,7 @@ def test_query_equals_its_sql_without_cross_join_python_or_global_window(spark,
 
 
 def test_only_models_lack_sql():
-    missing = set(contract.queries()) - set(contract.oracle_sql())
+    missing = set(QUERIES) - set(ORACLES)
     assert missing == {
         "cluster_profile", "forest_importance", "importance_groups", "kmeans_places", "tree_report",
     }
