@@ -116,8 +116,9 @@ def shared_line_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
         raise ValueError("keep is none or first")
     lines = docs.select("doc_id", text_hash("text").alias("row"), F.posexplode(split_lines(F.col("text"))).alias("pos", "line"))
     key = line_key(F.col("line"))
-    hashed = lines.where(F.char_length(key) >= min_chars).select(
-        F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(1), key).alias("h2"), F.col("doc_id").cast("long"), "row", "pos")
+    # Staged, because sampling the range bounds reads the hashes once more than the sort does.
+    hashed = staged(lines.where(F.char_length(key) >= min_chars).select(
+        F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(1), key).alias("h2"), F.col("doc_id").cast("long"), "row", "pos"))
     ordered = hashed.repartitionByRange(parts(docs.sparkSession), "h1", "h2", "doc_id").sortWithinPartitions(
         "h1", "h2", "doc_id", "row", "pos")
     runs = staged(ordered.mapInArrow(_runs(min_docs, keep == "first"), _RUNS))
