@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eavcube.llm import decontaminate, lines, maxscore, mixing, warc
+from eavcube.llm import decontaminate, licenses, lines, maxscore, mixing, pii, quality, warc
 from eavcube.llm.common import table
 from eavcube.session import shared_folder
 
@@ -81,6 +81,18 @@ def op2_find_leaks(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find_contained(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query(r"""
+SELECT doc_id, CAST(i - 1 AS INTEGER) AS line, name AS license FROM (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
+JOIN (VALUES ('MIT', 'Released under the MIT License.'), ('Apache-2.0', 'Licensed under the Apache License, Version 2.0.'),
+    ('GPL-3.0', 'This work is licensed under the GNU General Public License, version 3.'),
+    ('CC-BY-NC-4.0', 'Licensed under CC BY-NC 4.0.')) AS t(name, notice) ON contains(line, notice)""")
+def op3_scan_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Confirmed license notices of all documents."""
+    found = licenses.scan_licenses(table(spark, folder, "documents"))
+    return found.where("confirmed").select("doc_id", "line", "license")
+
+
 @query("""
 WITH v AS (
     SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
@@ -133,3 +145,25 @@ def op10_drop_shared_lines(spark: SparkSession, folder: str) -> DataFrame:
     kept = lines.apply_bitmaps(docs, lines.shared_line_bitmaps(docs, min_docs=10, min_chars=1), text="kept")
     return kept.select("doc_id", F.size(lines.split_lines(F.col("text"))).cast("long").alias("n_lines"), "n_dropped",
                        F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+@query()
+def op8_quality_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's quality score, learned from labels that are not held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, folder, "labels"))
+    scored = docs.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"),
+                         quality.quality_score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query()
+def op9_find_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data and revealing terms of every document as spans."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    spans = pii.find_spans(docs).select("doc_id", "spans")
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
+              for k, name in enumerate(pii.KINDS[:4])]
+    return spans.select("doc_id", *counts,
+                        F.sha2(pii.span_list(F.col("spans"), base_only=True).cast("binary"), 256).alias("base_sha256"),
+                        pii.span_list(F.col("spans")).alias("spans"))
