@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eavcube.llm import decontaminate, licenses, lines, maxscore, mixing, pii, quality, warc
+from eavcube.llm import decontaminate, licenses, lines, maxscore, mixing, pii, quality, suffixes, warc
 from eavcube.llm.common import table
 from eavcube.session import shared_folder
 
@@ -167,3 +167,12 @@ def op9_find_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return spans.select("doc_id", *counts,
                         F.sha2(pii.span_list(F.col("spans"), base_only=True).cast("binary"), 256).alias("base_sha256"),
                         pii.span_list(F.col("spans")).alias("spans"))
+
+
+@query()
+def op7_remove_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without the 50-byte strings that start in a document with a smaller id."""
+    found = suffixes.remove_repeats(table(spark, folder, "documents"), length=50)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
