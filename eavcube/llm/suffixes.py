@@ -6,16 +6,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eavcube.llm.common import mix, pack, parts, slices, text_bytes, text_hash, unpack
+from eavcube.llm.common import mix, pack, parts, slices, staged, text_bytes, text_hash, unpack
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LAST = 2**63 - 1
-# Window starts that are hashed at a time.
-_SLICE = 1 << 19
+# Window starts that are hashed at a time; places inside a piece fit the low bits of a hash.
+_SLICE, _PLACE = 1 << 16, np.uint64(17)
 _PACKED = "slot int, kind int, a binary, b binary, c binary, d binary, e binary"
 _NAMES = [f.split()[0] for f in _PACKED.split(", ")]
 _TYPES = [pa.int32(), pa.int32()] + [pa.binary()] * 5
@@ -48,26 +49,32 @@ def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, length: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Place, text and 48-bit hash of every anchor: of the k-byte strings inside a window of `length` bytes, those with
-    the smallest hash. Equal windows have equal anchors at equal places."""
+def anchors(data: np.ndarray, offsets: np.ndarray, length: int, k: int) -> tuple[np.ndarray, ...]:
+    """Runs of window starts with one anchor: text, 47-bit hash of the anchor, first and last window start.
+
+    The anchor of a window of `length` bytes is the leftmost of its k-byte strings with the smallest hash, so equal
+    windows have equal anchors. Every window inside a text is in exactly one run.
+    """
     width, found = length - k + 1, []
     for at in range(0, len(data) - length + 1, _SLICE):
         h = _rolling(data[at : at + _SLICE + length - 1], k)
+        h = (h >> _PLACE << _PLACE) | np.arange(len(h), dtype=np.uint64)
         least = _sliding(h, width, np.minimum)
-        edge = np.zeros(width - 1, np.uint64)
-        most = _sliding(np.concatenate((edge, least, edge)), width, np.maximum)
-        own = np.flatnonzero(most == h)
-        found.append((own + at, h[own] >> np.uint64(16)))
+        start = np.arange(at, at + len(least))
+        text = np.searchsorted(offsets, start, "right") - 1
+        inside = np.flatnonzero(start + length <= offsets[text + 1])
+        if not len(inside):
+            continue
+        least, start, text = least[inside], start[inside], text[inside]
+        new = np.ones(len(start), bool)
+        new[1:] = (least[1:] != least[:-1]) | (text[1:] != text[:-1])
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(start)) - 1
+        found.append((text[first], least[first] >> _PLACE, start[first], start[last]))
     if not found:
         none = np.zeros(0, np.int64)
-        return none, none, none.astype(np.uint64)
-    place, h = np.concatenate([p for p, _ in found]), np.concatenate([x for _, x in found])
-    place, first = np.unique(place, return_index=True)
-    h = h[first]
-    text = np.searchsorted(offsets, place, "right") - 1
-    inside = (place + k <= offsets[text + 1]) & (offsets[text + 1] - offsets[text] >= length)
-    return place[inside], text[inside], h[inside]
+        return none, none.astype(np.uint64), none, none
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 # ---- rows that carry packed arrays to a slot
@@ -99,31 +106,46 @@ def _reply(slot: int, kind: int, arrays: list) -> tuple:
     return slot, kind, pack(doc), pack(h), pack(wide), None, None
 
 
+class _Texts:
+    """The documents of a slot as bytes, without those that are copies of a document with a smaller id."""
+
+    def __init__(self, docs: pa.Table, copies: pa.Table):
+        gone = _copies(copies)
+        keep = [i for i, x in enumerate(zip(docs.column("ord").to_pylist(), docs.column("row").to_pylist())) if x not in gone]
+        docs = docs.take(keep).combine_chunks()
+        self.ids, self.rows = docs.column("ord").to_numpy(), docs.column("row").to_numpy()
+        texts = docs.column("text").combine_chunks() if docs.num_rows else pa.array([], pa.string())
+        self.data, self.offsets = text_bytes(texts)
+
+
+def _copies(rows: pa.Table) -> set[tuple[int, int]]:
+    """Copies are told as rows of kind 2: document and row as decimal text."""
+    return {(int(a), int(b)) for k, a, b in zip(*(rows.column(c).to_pylist() for c in ("kind", "a", "b"))) if k == 2}
+
+
 def _send_anchors(length: int, k: int, slots: int):
-    """Phase 1, each batch: one document for every anchor goes to the anchor's slot (kind 0). Where several documents
-    of the batch share an anchor, that is told to all of them at once (kind 1)."""
-
-    def send(batches):
-        for batch in batches:
-            data, offsets = text_bytes(batch.column("text"))
-            docs = batch.column("ord").to_numpy(zero_copy_only=False)
-            _, text, h = anchors(data, offsets, length, k)
-            if not len(h):
-                continue
-            doc = docs[text]
-            order = np.lexsort((doc, h))
-            h, doc = h[order], doc[order]
-            new = np.ones(len(h), bool)
-            new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-            h, doc = h[new], doc[new]
-            start, end = slices(h)
-            rows = list(_cut((h[start] % np.uint64(slots)).astype(np.int64), [h[start], doc[start]],
-                             lambda s, x: (s, 0, pack(x[0], True), pack(x[1]), None, None, None)))
-            several = np.repeat(end - start > 1, end - start)
-            if several.any():
-                own = doc[several], h[several], np.zeros(int(several.sum()), np.uint8)
-                rows += _cut(_doc_slot(own[0], slots), list(own), lambda s, x: _reply(s, 1, x))
-            yield from _rows(rows).to_batches()
+    """Phase 1, each slot of documents: one document for every anchor goes to the anchor's slot (kind 0). Where several
+    documents of the slot share an anchor, that is told to all of them at once (kind 1)."""
+
+    def send(key, docs, copies):
+        texts = _Texts(docs, copies)
+        text, h, _, _ = anchors(texts.data, texts.offsets, length, k)
+        if not len(h):
+            return _rows([])
+        doc = texts.ids[text]
+        order = np.lexsort((doc, h))
+        h, doc = h[order], doc[order]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+        h, doc = h[new], doc[new]
+        start, end = slices(h)
+        rows = list(_cut((h[start] % np.uint64(slots)).astype(np.int64), [h[start], doc[start]],
+                         lambda s, x: (s, 0, pack(x[0], True), pack(x[1]), None, None, None)))
+        several = np.repeat(end - start > 1, end - start)
+        if several.any():
+            own = doc[several], h[several], np.zeros(int(several.sum()), np.uint8)
+            rows += _cut(_doc_slot(own[0], slots), list(own), lambda s, x: _reply(s, 1, x))
+        return _rows(rows)
 
     return send
 
@@ -153,9 +175,9 @@ def _answer_anchors(slots: int, hot: int):
 
 
 def _entries(slot: int, arrays: list) -> tuple:
-    context, doc, row, place, low, high = arrays
+    context, doc, row, place, count = arrays
     return (slot, 0, zstandard.ZstdCompressor(level=1).compress(context.tobytes()), pack(doc), pack(row), pack(place),
-            pack(np.concatenate((low, high)).astype(np.uint8 if len(low) and high.max() < 256 else np.uint16)))
+            pack(count.astype(np.uint16)))
 
 
 def _spans(slot: int, arrays: list) -> tuple:
@@ -164,75 +186,62 @@ def _spans(slot: int, arrays: list) -> tuple:
 
 
 def _send_contexts(length: int, k: int, slots: int):
-    """Phase 2, each slot of documents: the bytes around every shared anchor go to the anchor's slot, equal contexts
-    once with their smallest document; of the others all windows repeat, which is told at once (kind 1).
+    """Phase 2, each slot of documents: the bytes of the windows around every shared anchor go to the anchor's slot,
+    equal contexts once with their smallest document; of the others all windows repeat, which is told at once (kind 1).
 
-    A context of 2 * length - k bytes holds all windows that contain the anchor. The windows of a hot anchor go out one
-    by one to a slot of their own content, so no slot gathers all texts that share a frequent string.
+    The windows of a hot anchor go out one by one to a slot of their own content, so no slot gathers all texts that
+    share a frequent string.
     """
-    side = length - k
     size = 2 * length - k
 
     def send(key, docs, replies):
-        if not docs.num_rows or not replies.num_rows:
+        told_rows = replies.filter(pa.compute.equal(replies.column("kind"), 1))
+        if not docs.num_rows or not told_rows.num_rows:
             return _rows([])
-        docs = docs.combine_chunks()
-        data, offsets = text_bytes(docs.column("text").combine_chunks() if docs.num_rows else pa.array([], pa.string()))
-        ids, rows_ = docs.column("ord").to_numpy(), docs.column("row").to_numpy()
-        told = [np.concatenate([unpack(b, t) for b in replies.column(c).to_pylist()])
+        texts = _Texts(docs, replies)
+        told = [np.concatenate([unpack(b, t) for b in told_rows.column(c).to_pylist()])
                 for c, t in (("a", np.int64), ("b", np.uint64), ("c", np.uint8))]
-        place, text, h = anchors(data, offsets, length, k)
-        # Anchors that were told of, as (document, hash) pairs in one sorted array.
+        text, h, first, last = anchors(texts.data, texts.offsets, length, k)
+        # Anchors that were told of, as hashed (document, anchor) pairs in one sorted array.
         pair = mix(told[0].view(np.uint64)) ^ told[1]
         order = np.argsort(pair, kind="stable")
-        pair, wide = pair[order], told[2][order]
-        wanted = mix(ids.view(np.uint64))[text] ^ h
+        pair = pair[order]
+        wanted = mix(texts.ids.view(np.uint64))[text] ^ h
         left, right = np.searchsorted(pair, wanted, "left"), np.searchsorted(pair, wanted, "right")
         hit = np.flatnonzero(right > left)
-        if not len(hit):
-            return _rows([])
-        counts = np.concatenate(([0], np.cumsum(wide)))
-        hot = counts[right[hit]] > counts[left[hit]]
-        place, text, h = place[hit], text[hit], h[hit]
-        begin = place - side
-        low = np.maximum(0, offsets[text] - begin)
-        high = np.minimum(side, offsets[text + 1] - length - begin)
-        padded = np.concatenate((np.zeros(size, np.uint8), data, np.zeros(size, np.uint8)))
-        out = []
-        for at in range(0, len(place), 100_000):
-            s = slice(at, at + 100_000)
-            context = padded[(begin[s] + size)[:, None] + np.arange(size)]
-            column = np.arange(size)
-            context[(column < low[s][:, None]) | (column >= (high[s] + length)[:, None])] = 0
-            doc, row, local = ids[text[s]], rows_[text[s]], begin[s] - offsets[text[s]]
-            lo, hi, slot = low[s], high[s], (h[s] % np.uint64(slots)).astype(np.int64)
-            if hot[s].any():
-                own = np.flatnonzero(hot[s])
-                n = hi[own] - lo[own] + 1
-                each = np.repeat(own, n)
-                o = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + lo[each]
-                single = context[each]
-                single[(column < o[:, None]) | (column >= (o + length)[:, None])] = 0
-                windows = np.ascontiguousarray(single[np.arange(len(o))[:, None], o[:, None] + np.arange(length)])
-                powers = np.multiply.accumulate(np.full(length, _BASE))
-                content = mix((windows.astype(np.uint64) * powers).sum(axis=1))
-                cold = np.flatnonzero(~hot[s])
-                context = np.concatenate((context[cold], single))
-                doc, row, local = (np.concatenate((x[cold], x[each])) for x in (doc, row, local))
-                lo, hi = np.concatenate((lo[cold], o)), np.concatenate((hi[cold], o))
-                slot = np.concatenate((slot[cold], (content % np.uint64(slots)).astype(np.int64)))
-            # Equal contexts with equal limits: the smallest document stands for all, with all places it has them at.
-            same = np.ascontiguousarray(np.column_stack((context, lo.astype(np.uint16).view(np.uint8).reshape(-1, 2),
-                                                         hi.astype(np.uint16).view(np.uint8).reshape(-1, 2))))
-            _, group = np.unique(same.view(f"V{same.shape[1]}").reshape(-1), return_inverse=True)
+        text, h, first, last = text[hit], h[hit], first[hit], last[hit]
+        # One document of the slot was told that an anchor is hot; it is hot for all of them.
+        hot = np.isin(h, told[1][told[2] == 1])
+        padded = np.concatenate((texts.data, np.zeros(size, np.uint8)))
+        slot = (h % np.uint64(slots)).astype(np.int64)
+        if hot.any():
+            own, cold = np.flatnonzero(hot), np.flatnonzero(~hot)
+            n = last[own] - first[own] + 1
+            each = np.repeat(own, n)
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + first[each]
+            powers = np.multiply.accumulate(np.full(length, _BASE))
+            content = np.concatenate([
+                mix((padded[at[i : i + 50_000][:, None] + np.arange(length)].astype(np.uint64) * powers).sum(axis=1))
+                for i in range(0, len(at), 50_000)])
+            text = np.concatenate((text[cold], text[each]))
+            first, last = np.concatenate((first[cold], at)), np.concatenate((last[cold], at))
+            slot = np.concatenate((slot[cold], (content % np.uint64(slots)).astype(np.int64)))
+        out, column = [], np.arange(size)
+        for at in range(0, len(text), 100_000):
+            t, a, z, to = (x[at : at + 100_000] for x in (text, first, last, slot))
+            context = padded[a[:, None] + column]
+            context[column >= (z - a + length)[:, None]] = 0
+            doc, row, local, count = texts.ids[t], texts.rows[t], a - texts.offsets[t], z - a + 1
+            # Equal contexts: the smallest document stands for all, with all places it has them at.
+            same = np.column_stack((context, count.astype(np.uint16).view(np.uint8).reshape(-1, 2)))
+            _, group = np.unique(np.ascontiguousarray(same).view(f"V{same.shape[1]}").reshape(-1), return_inverse=True)
             order = np.lexsort((doc, group))
-            first = np.ones(len(order), bool)
-            first[1:] = group[order][1:] != group[order][:-1]
-            least = np.repeat(doc[order][first], np.diff(np.append(np.flatnonzero(first), len(order))))
+            begin = np.flatnonzero(np.concatenate(([True], group[order][1:] != group[order][:-1])))
+            least = np.repeat(doc[order][begin], np.diff(np.append(begin, len(order))))
             later, keep = order[doc[order] > least], order[doc[order] == least]
-            out += _cut(slot[keep], [x[keep] for x in (context, doc, row, local, lo, hi)], _entries)
+            out += _cut(to[keep], [x[keep] for x in (context, doc, row, local, count)], _entries)
             if len(later):
-                found = merge_spans(doc[later], row[later], (local + lo)[later], (local + hi)[later] + length)
+                found = merge_spans(doc[later], row[later], local[later], (local + count)[later] + length - 1)
                 out += _cut(_doc_slot(found[0], slots), list(found), _spans)
         return _rows(out)
 
@@ -324,11 +333,9 @@ def _find_repeats(length: int, k: int, slots: int):
         if own:
             context = np.concatenate([np.frombuffer(zstandard.ZstdDecompressor().decompress(columns[0][i]), np.uint8) for i in own]).reshape(-1, size)
             doc, row, place = (np.concatenate([unpack(columns[j][i], np.int64) for i in own]) for j in (1, 2, 3))
-            limits = [unpack(columns[4][i], np.uint8 if size < 256 else np.uint16).reshape(2, -1) for i in own]
-            low, high = (np.concatenate([x[j] for x in limits]).astype(np.int64) for j in (0, 1))
-            n = high - low + 1
+            n = np.concatenate([unpack(columns[4][i], np.uint16) for i in own]).astype(np.int64)
             entry = np.repeat(np.arange(len(context)), n)
-            start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + low[entry]
+            start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             i, first = equal_windows(context, entry, start, length)
             if len(i):
                 ids = doc[entry[i]]
@@ -349,6 +356,8 @@ _RESULT = "doc_id long, n_bytes long, spans array<struct<start: long, end: long>
 def _apply_spans(key, docs, found):
     """Remove the spans of every document of a slot."""
     own: dict = {}
+    copies = _copies(found)
+    found = found.filter(pa.compute.equal(found.column("kind"), 1))
     if found.num_rows:
         arrays = [np.concatenate([unpack(b, np.int64) for b in found.column(c).to_pylist()]) for c in "abcd"]
         doc, row, start, end = merge_spans(*arrays)
@@ -357,7 +366,7 @@ def _apply_spans(key, docs, found):
     out = []
     for doc_id, d, r, text in zip(*(docs.column(c).to_pylist() for c in ("doc_id", "ord", "row", "text"))):
         data, kept, last = (text or "").encode(), [], 0
-        spans = own.get((d, r), [])
+        spans = [(0, len(data))] if (d, r) in copies else own.get((d, r), [])
         for a, b in spans:
             kept.append(data[last:a])
             last = b
@@ -375,10 +384,11 @@ def remove_repeats(docs: DataFrame, length: int = 50, hot: int = 50_000, slots:
     A suffix array of all bytes would shuffle each byte `length` times. Only suffixes that can have an equal are
     sorted: every window of `length` bytes has an anchor, an inner string picked by content alone, so equal windows
     share one. Phase 1 finds the anchors that two documents have; phase 2 sorts the windows around those by deep-shallow
-    sorting. Texts are shuffled once, by document, and both phases use that shuffle.
+    sorting. Texts are shuffled once, by document, and all phases use that shuffle. Copies of a whole document are found
+    by their hash before and take no part.
 
-    In each batch or slot equal anchors and equal contexts are sent once, so copies do not pile up in a slot; anchors
-    of more than `hot` senders are split by window content. Results do not depend on `hot` or `slots`.
+    In each slot equal anchors and equal contexts are sent once, so near copies do not pile up; anchors of more than
+    `hot` senders are split by window content. Results do not depend on `hot` or `slots`.
 
     Null text is empty. A null doc_id comes after all others. Rows with equal doc_id do not repeat each other; repeated
     rows get the same result. Texts shorter than `length` stay. Other columns are not looked at.
@@ -392,8 +402,25 @@ def remove_repeats(docs: DataFrame, length: int = 50, hot: int = 50_000, slots:
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("ord"),
         text_hash("text").alias("row"), "text")
     rows = rows.withColumn("slot", _doc_slot_column(F.col("ord"), slots))
-    told = rows.select("ord", "text").mapInArrow(_send_anchors(length, k, slots), _PACKED).groupBy("slot").applyInArrow(
-        _answer_anchors(slots, hot), _PACKED)
-    contexts = rows.groupBy("slot").cogroup(told.groupBy("slot")).applyInArrow(_send_contexts(length, k, slots), _PACKED)
-    spans = contexts.groupBy("slot").applyInArrow(_find_repeats(length, k, slots), _PACKED)
-    return rows.groupBy("slot").cogroup(spans.groupBy("slot")).applyInArrow(_apply_spans, _RESULT)
+    copies = _whole_copies(rows, length)
+    none = F.lit(None).cast("binary")
+    copies = copies.select(
+        _doc_slot_column(F.col("ord"), slots).alias("slot"), F.lit(2).alias("kind"),
+        F.col("ord").cast("string").cast("binary").alias("a"), F.col("row").cast("string").cast("binary").alias("b"),
+        none.alias("c"), none.alias("d"), none.alias("e"))
+    texts = rows.groupBy("slot")
+    told = texts.cogroup(copies.groupBy("slot")).applyInArrow(_send_anchors(length, k, slots), _PACKED)
+    told = told.groupBy("slot").applyInArrow(_answer_anchors(slots, hot), _PACKED).union(copies)
+    contexts = texts.cogroup(told.groupBy("slot")).applyInArrow(_send_contexts(length, k, slots), _PACKED)
+    spans = contexts.groupBy("slot").applyInArrow(_find_repeats(length, k, slots), _PACKED).union(copies)
+    return texts.cogroup(spans.groupBy("slot")).applyInArrow(_apply_spans, _RESULT)
+
+
+def _whole_copies(rows: DataFrame, length: int) -> DataFrame:
+    """Rows whose whole text, of `length` bytes or more, is also that of a document with a smaller id: ord, row."""
+    thin = staged(rows.where(F.octet_length("text") >= length).select(
+        "ord", "row", F.xxhash64(F.lit(1), "text").alias("again"), F.octet_length("text").alias("bytes")))
+    least = staged(thin.groupBy("row", "again", "bytes").agg(F.min("ord").alias("least"), F.max("ord").alias("most"))
+                   .where("most > least").select(F.col("row").alias("_row"), F.col("again").alias("_again"), "bytes", "least"))
+    same = (thin["row"] == least["_row"]) & (thin["again"] == least["_again"]) & (thin["bytes"] == least["bytes"])
+    return staged(thin.join(least, same).where("ord > least").select("ord", "row").distinct())
