@@ -397,7 +397,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, hot: int = 50_000, slots:
         raise ValueError("length is 2 at least")
     spark = docs.sparkSession
     k = length // 2
-    slots = slots or 8 * parts(spark) + 1
+    slots = slots or parts(spark) | 1
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("ord"),
         text_hash("text").alias("row"), "text")
