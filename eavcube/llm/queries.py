@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eavcube.llm import decontaminate, licenses, lines, maxscore, mixing, pii, quality, suffixes, warc
+from eavcube.llm import decontaminate, jaccard, licenses, lines, maxscore, mixing, pii, quality, suffixes, warc
 from eavcube.llm.common import table
 from eavcube.session import shared_folder
 
@@ -176,3 +176,18 @@ def op7_remove_repeats(spark: SparkSession, folder: str) -> DataFrame:
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
     return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
                         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query(f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, {_shingles(4)} AS s FROM (SELECT doc_id, {_WORDS.format(_FOLDED)} AS w FROM documents)),
+flat AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM d),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS c
+    FROM flat a JOIN flat b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (SELECT x, y FROM pairs WHERE 100 * c >= 85 * (n + m - c)),
+both_ AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(x, y) AS (SELECT x, y FROM both_ UNION SELECT r.x, b.y FROM reach r JOIN both_ b ON r.y = b.x)
+SELECT d.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(min(reach.y), d.doc_id)) AS component_id
+FROM d LEFT JOIN reach ON d.doc_id = reach.x GROUP BY d.doc_id, len(s)""")
+def op4_similar_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents that share 85 % of their four-word shingles."""
+    return jaccard.similar_documents(table(spark, folder, "documents"), words=4, percent=85).drop("row")
