@@ -52,23 +52,25 @@ def fill_targets(sources: DataFrame, share: float, max_epochs: float) -> DataFra
     return leveled.select("source", "source_size", "weight", target.cast("double").alias("target"))
 
 
-def mix_sources(docs: DataFrame, weights: DataFrame | None = None, share: float = 1.5, max_epochs: float = 2.0,
-                seed: str = "mix") -> DataFrame:
-    """How often the mix takes each document: doc_id, source, size, source_size, target, copies, taken.
+def _key(seed: str) -> Column:
+    return F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string")))
 
-    Every document is taken floor(target / source_size) times. What is left of the target goes, once more each, to
-    the documents that come first by md5(seed, doc_id), up to the one whose middle passes it, so that a source misses
-    its target by half a document at most. Reruns agree. Sizes are summed by source and hash bucket before they are
-    shuffled; only the one bucket that holds the cut is ordered row by row.
 
-    `weights` (source, weight) defaults to 3, 1, 2 in turn. A null source is a source. A null doc_id is hashed as an
-    empty string; rows with equal doc_id and source are cut together. Null or wordless texts have size 0 and are taken
-    0 words. An empty table gives an empty mix. Further columns are not looked at.
-    """
-    key = F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string")))
-    rows = staged(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("key")))
-    bucket = F.conv(F.substring("key", 1, 3), 16, 10).cast("int")
-    bucket = F.floor(bucket * BUCKETS / 4096).cast("int")
+def _bucket(key: str) -> Column:
+    return F.floor(F.conv(F.substring(key, 1, 3), 16, 10).cast("int") * BUCKETS / 4096).cast("int")
+
+
+def _copies(key: str) -> Column:
+    """Repetitions of a document, from its key and the cut of its source."""
+    bucket = _bucket(key)
+    first = (bucket < F.col("_end")) | ((bucket == F.col("_end")) & F.coalesce(F.col(key) <= F.col("_cut"), F.lit(False)))
+    return F.col("_whole") + F.coalesce((F.col("_rest") > 0) & first, F.lit(False)).cast("long")
+
+
+def _cuts(rows: DataFrame, weights: DataFrame | None, share: float, max_epochs: float) -> DataFrame:
+    """One row for each source: _s, _source_size, _target, _whole repetitions, _rest of the target, and the bucket _end
+    and key _cut where the rest is reached."""
+    bucket = _bucket("key")
     buckets = staged(rows.groupBy("source", bucket.alias("bucket")).agg(F.sum("size").alias("words")))
     totals = buckets.groupBy("source").agg(F.sum("words").alias("source_size"))
     weights = cycled_weights(totals) if weights is None else weights
@@ -94,9 +96,36 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, share: float
         F.col("source").alias("_c")).agg(F.max("key").alias("cut"))
     ready = plan.join(ends.select(F.col("_s").alias("_e"), "end"), F.col("_s").eqNullSafe(F.col("_e")), "left").join(
         cuts, F.col("_s").eqNullSafe(F.col("_c")), "left")
-    ready = staged(ready.select("_s", "source_size", "target", "whole", "rest", "end", "cut"))
-    first = (bucket < F.col("end")) | ((bucket == F.col("end")) & F.coalesce(F.col("key") <= F.col("cut"), F.lit(False)))
-    copies = F.col("whole") + F.coalesce((F.col("rest") > 0) & first, F.lit(False)).cast("long")
-    out = rows.join(ready, F.col("source").eqNullSafe(F.col("_s")))
-    return out.select("doc_id", "source", "size", F.col("source_size").cast("long"), "target", copies.alias("copies"),
-                      (F.col("size") * copies).cast("long").alias("taken"))
+    return staged(ready.select("_s", F.col("source_size").alias("_source_size"), F.col("target").alias("_target"),
+                               F.col("whole").alias("_whole"), F.col("rest").alias("_rest"), F.col("end").alias("_end"),
+                               F.col("cut").alias("_cut")))
+
+
+def mix_sources(docs: DataFrame, weights: DataFrame | None = None, share: float = 1.5, max_epochs: float = 2.0,
+                seed: str = "mix") -> DataFrame:
+    """How often the mix takes each document: doc_id, source, size, source_size, target, copies, taken.
+
+    Every document is taken floor(target / source_size) times. What is left of the target goes, once more each, to
+    the documents that come first by md5(seed, doc_id), up to the one whose middle passes it, so that a source misses
+    its target by half a document at most. Reruns agree. Sizes are summed by source and hash bucket before they are
+    shuffled; only the one bucket that holds the cut is ordered row by row.
+
+    `weights` (source, weight) defaults to 3, 1, 2 in turn. A null source is a source. A null doc_id is hashed as an
+    empty string; rows with equal doc_id and source are cut together. Null or wordless texts have size 0 and are taken
+    0 words. An empty table gives an empty mix. Further columns are not looked at.
+    """
+    rows = staged(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), _key(seed).alias("key")))
+    out = rows.join(_cuts(rows, weights, share, max_epochs), F.col("source").eqNullSafe(F.col("_s"))).withColumn("copies", _copies("key"))
+    return out.select("doc_id", "source", "size", F.col("_source_size").cast("long").alias("source_size"),
+                      F.col("_target").alias("target"), "copies", (F.col("size") * F.col("copies")).cast("long").alias("taken"))
+
+
+def repeat_documents(docs: DataFrame, weights: DataFrame | None = None, share: float = 1.5, max_epochs: float = 2.0,
+                     seed: str = "mix") -> DataFrame:
+    """The mix itself: every row of `docs` as often as `mix_sources` takes it, numbered from 1 in the column `copy`."""
+    rows = staged(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), _key(seed).alias("key")))
+    cuts = _cuts(rows, weights, share, max_epochs)
+    keyed = docs.withColumn("_mix_key", _key(seed))
+    mixed = keyed.join(cuts, docs["source"].eqNullSafe(F.col("_s"))).withColumn("_copies", _copies("_mix_key")).where("_copies > 0")
+    columns = [F.col(f"`{c}`") for c in docs.columns if c != "copy"]
+    return mixed.select(*columns, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("copy"))
