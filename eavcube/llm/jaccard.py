@@ -14,6 +14,8 @@ from eavcube.llm.components import components
 CELLS, PIECES = 1 << 20, 64
 # Pieces of the global order; overlaps are counted in each and summed.
 FRAGMENTS = 4
+# Pairs of one set that a block takes.
+HUB_PAIRS = 256
 _KEY_BITS = np.uint64(5)
 
 
@@ -268,11 +270,20 @@ def _count_overlaps(key, pairs, segments):
 
 
 def _linked(pairs: DataFrame, segments: DataFrame, percent: int, blocks: int) -> DataFrame:
-    """The pairs that link. The block of a pair is that of its set y; x is sent to every block that asks for it.
-    Each (block, fragment) counts its partial overlaps, which are summed for each pair."""
-    blocked = pairs.withColumn("block", F.pmod(F.xxhash64("y"), F.lit(blocks)).cast("int"))
+    """The pairs that link. A pair goes to the block of its hub, the set with more pairs, so small groups are sent once;
+    a hub with many pairs is dealt over several blocks by its partners. Each (block, fragment) counts its partial
+    overlaps, which are summed for each pair."""
+    ends = pairs.select(F.col("x").alias("end")).union(pairs.select("y"))
+    degrees = staged(ends.groupBy("end").agg(F.count(F.lit(1)).alias("degree")))
+    of = lambda end: degrees.select(F.col("end").alias(f"end_{end}"), F.col("degree").alias(f"degree_{end}"))
+    both = pairs.join(of("x"), F.col("x") == F.col("end_x")).join(of("y"), F.col("y") == F.col("end_y"))
+    hub = (F.col("degree_x") > F.col("degree_y")) | ((F.col("degree_x") == F.col("degree_y")) & (F.col("x") < F.col("y")))
+    dealt = F.pmod(F.xxhash64(F.when(hub, F.col("y")).otherwise(F.col("x"))), F.ceil(F.greatest("degree_x", "degree_y") / HUB_PAIRS))
+    block = F.pmod(F.xxhash64(F.when(hub, F.col("x")).otherwise(F.col("y")), dealt), F.lit(blocks)).cast("int")
+    blocked = staged(both.select("x", "n", "y", "m", block.alias("block")))
     asked = blocked.select(F.col("x").alias("s"), F.col("block").alias("to")).union(blocked.select("y", "block")).distinct()
-    sent = asked.join(segments, F.col("s") == F.col("set")).select("to", "fragment", "set", "segment")
+    # Segments and texts grow with the corpus: merge joins at every size.
+    sent = asked.hint("merge").join(segments, F.col("s") == F.col("set")).select("to", "fragment", "set", "segment")
     every = blocked.withColumn("fragment", F.explode(F.array(*[F.lit(f) for f in range(FRAGMENTS)])))
     partial = every.select("block", "fragment", "x", "y").groupBy("block", "fragment").cogroup(
         sent.groupBy("to", "fragment")).applyInArrow(_count_overlaps, "x long, y long, common long")
@@ -309,7 +320,7 @@ def similar_documents(docs: DataFrame, words: int = 4, percent: int = 85) -> Dat
     texts = members.join(candidates, "set", "left_semi").groupBy("set").agg(
         F.min(F.struct("doc_id", "row")).alias("one")).select("set", F.col("one.doc_id").alias("_d"), F.col("one.row").alias("_r"))
     # Repeated rows give the same segments again, of which a block keeps one.
-    wanted = rows.join(staged(texts), rows["doc_id"].eqNullSafe(F.col("_d")) & (rows["row"] == F.col("_r")))
+    wanted = rows.hint("merge").join(staged(texts), rows["doc_id"].eqNullSafe(F.col("_d")) & (rows["row"] == F.col("_r")))
     segments = staged(wanted.select("set", "text").mapInArrow(_segments(order, words), _SEGMENTS))
     blocks = parts(spark)
     links = staged(_linked(stars, segments, percent, blocks))
@@ -340,4 +351,4 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     found = similar_documents(docs, words, percent)
     gone = staged(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         F.col("doc_id").alias("_d"), F.col("row").alias("_r")).distinct())
-    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(F.col("_d")) & (text_hash(docs["text"]) == F.col("_r")), "left_anti")
+    return docs.hint("merge").join(gone, docs["doc_id"].cast("long").eqNullSafe(F.col("_d")) & (text_hash(docs["text"]) == F.col("_r")), "left_anti")
