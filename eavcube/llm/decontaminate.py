@@ -80,21 +80,23 @@ class _Index:
         return pairs[0], pairs[1]
 
 
-def _scan(index, words: int, percent: int):
+def _scan(parts, words: int, percent: int):
     def scan(batches):
+        index = _Index.__new__(_Index)
+        index.__dict__.update(parts.value)
         for batch in batches:
             h, at = shingle_sets(batch.column("text"), words)
             doc = np.repeat(np.arange(batch.num_rows), np.diff(at))
-            rows, items = index.value.candidates(h, doc)
+            rows, items = index.candidates(h, doc)
             ids = batch.column("doc_id").to_pylist()
             out = []
             for d, i in zip(rows, items):
-                own = index.value.shingles[index.value.starts[i] : index.value.starts[i] + index.value.sizes[i]]
+                own = index.shingles[index.starts[i] : index.starts[i] + index.sizes[i]]
                 here = h[at[d] : at[d + 1]]
                 place = np.searchsorted(here, own)
                 n = int((here[np.minimum(place, len(here) - 1)] == own).sum())
                 if 100 * n >= percent * len(own):
-                    out.append((int(index.value.ids[i]), ids[d], len(own), n))
+                    out.append((int(index.ids[i]), ids[d], len(own), n))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)],
                                                  [f.split()[0] for f in _HITS.split(", ")])
@@ -118,8 +120,8 @@ def find_contained(docs: DataFrame, items: DataFrame, words: int = 5, percent: i
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     spark, found = docs.sparkSession, None
     for held in _blocks(items, words, block):
-        index = spark.sparkContext.broadcast(_Index(held, percent))
-        part = docs.mapInArrow(_scan(index, words, percent), _HITS)
+        parts = spark.sparkContext.broadcast(vars(_Index(held, percent)))
+        part = docs.mapInArrow(_scan(parts, words, percent), _HITS)
         found = part if found is None else found.union(part)
     if found is None:
         found = spark.createDataFrame([], _HITS)

@@ -44,13 +44,16 @@ class Order:
             cuts.append((level << 59) + min(int(inside * 2**59), 2**59 - 1))
         self.cuts = np.array(cuts, np.uint64)
 
-    def keys(self, h: np.ndarray) -> np.ndarray:
-        """A shingle's place in the order, which also identifies it."""
-        cell = (h & np.uint64(CELLS - 1)).astype(np.int64)
-        return (self.level[cell].astype(np.uint64) << np.uint64(59)) | (h >> _KEY_BITS)
 
+def order_keys(level: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """A shingle's place in the order, which also identifies it."""
+    cell = (h & np.uint64(CELLS - 1)).astype(np.int64)
+    return (level[cell].astype(np.uint64) << np.uint64(59)) | (h >> _KEY_BITS)
 
-_FACTS = "kind int, doc_id long, row long, n long, set long, again long, cell int, counts binary"
+
+# Bits of the parity sketch of a set, 64 in each long.
+PARITY = 1024
+_FACTS = "kind int, doc_id long, row long, n long, set long, again long, parity array<long>, cell int, counts binary"
 
 
 def _digests(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -62,10 +65,22 @@ def _digests(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
+def _parities(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """For each set, PARITY bits: whether an odd number of its shingles fall on the bit. The bits in which two sets
+    differ are no more than the shingles in which they differ."""
+    bit = (h >> np.uint64(20)) % np.uint64(PARITY)
+    words = np.concatenate((np.zeros(1, np.uint64), np.uint64(1) << (bit % np.uint64(64))))
+    column = (bit // np.uint64(64)).astype(np.int64)
+    doc = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    out = np.zeros((len(at) - 1) * (PARITY // 64), np.uint64)
+    np.bitwise_xor.at(out, doc * (PARITY // 64) + column, words[1:])
+    return out.view(np.int64)
+
+
 def _facts(words: int):
     """A row for each document with its set's size and digest (kind 0), and the counts of a task by cell (kind 1)."""
     names = [f.split()[0] for f in _FACTS.split(", ")]
-    types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    types = [pa.int32(), *[pa.int64()] * 5, pa.list_(pa.int64()), pa.int32(), pa.binary()]
 
     def facts(batches):
         counts = np.zeros(CELLS, np.int64)
@@ -77,9 +92,10 @@ def _facts(words: int):
             none = pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(rows, np.int32)), batch.column("doc_id"), batch.column("row"), pa.array(np.diff(at)),
-                 pa.array(one), pa.array(two), *none], names)
+                 pa.array(one), pa.array(two),
+                 pa.ListArray.from_arrays(np.arange(rows + 1, dtype=np.int32) * (PARITY // 64), pa.array(_parities(h, at))), *none], names)
         width = CELLS // PIECES
-        rows = [(1, None, None, None, None, None, i, pack(counts[i * width : (i + 1) * width])) for i in range(PIECES)
+        rows = [(1, None, None, None, None, None, None, i, pack(counts[i * width : (i + 1) * width])) for i in range(PIECES)
                 if counts[i * width : (i + 1) * width].any()]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
@@ -118,7 +134,7 @@ def _send_prefixes(order, words: int, percent: int, slots: int):
             chosen[first] = True
             doc = np.repeat(np.arange(len(n)), n)
             own = chosen[doc]
-            key, doc = order.value.keys(h)[own], doc[own]
+            key, doc = order_keys(order.value[0], h)[own], doc[own]
             place = np.lexsort((key, doc))
             key, doc = key[place], doc[place]
             start, end = slices(doc)
@@ -242,8 +258,8 @@ def _segments(order, words: int):
             h, at = shingle_sets(batch.column("text"), words)
             sets, rows = batch.column("set").to_pylist(), []
             for i, s in enumerate(sets):
-                key = np.sort(order.value.keys(h[at[i] : at[i + 1]]))
-                cuts = np.concatenate(([0], np.searchsorted(key, order.value.cuts), [len(key)]))
+                key = np.sort(order_keys(order.value[0], h[at[i] : at[i + 1]]))
+                cuts = np.concatenate(([0], np.searchsorted(key, order.value[1]), [len(key)]))
                 rows += [(s, f, pack(key[cuts[f] : cuts[f + 1]], True)) for f in range(FRAGMENTS) if cuts[f + 1] > cuts[f]]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.binary()))],
@@ -269,20 +285,39 @@ def _count_overlaps(key, pairs, segments):
     return pa.table({"x": x[own], "y": y[own], "common": common[own]})
 
 
-def _linked(pairs: DataFrame, segments: DataFrame, percent: int, blocks: int) -> DataFrame:
-    """The pairs that link. A pair goes to the block of its hub, the set with more pairs, so small groups are sent once;
-    a hub with many pairs is dealt over several blocks by its partners. Each (block, fragment) counts its partial
-    overlaps, which are summed for each pair."""
+def _linked(pairs: DataFrame, sets: DataFrame, rows: DataFrame, order, words: int, percent: int, blocks: int) -> DataFrame:
+    """The pairs that link.
+
+    Pairs whose parity sketches differ in more bits than linked sets can differ in shingles go first. The texts of the
+    others are cut into fragments. In a pair the set with more pairs is the hub. Pairs go to the block of their other
+    set's largest hub, so most sets are sent once; a hub with many pairs is dealt over several blocks by its partners.
+    Each (block, fragment) counts its partial overlaps, which are summed for each pair. Everything here grows with the
+    corpus: large sides meet by merge joins at every size.
+    """
+    of = lambda end: sets.select(F.col("set").alias(f"set_{end}"), F.col("parity").alias(f"parity_{end}"))
+    sketched = pairs.join(of("x"), F.col("x") == F.col("set_x")).join(of("y"), F.col("y") == F.col("set_y"))
+    differ = F.aggregate(F.zip_with("parity_x", "parity_y", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda t, b: t + b)
+    most = F.col("n") + F.col("m") - 2 * F.ceil(percent * (F.col("n") + F.col("m")) / (100 + percent))
+    pairs = staged(sketched.where(differ <= most).select("x", "n", "y", "m"))
+    wanted = pairs.select(F.col("x").alias("_set")).union(pairs.select("y")).distinct()
+    wanted = staged(wanted.join(sets, F.col("_set") == F.col("set")).select("set", F.col("doc_id").alias("_d"), F.col("row").alias("_r")))
+    # Repeated rows give the same segments again, of which a block keeps one.
+    texts = rows.hint("merge").join(wanted, rows["doc_id"].eqNullSafe(F.col("_d")) & (rows["row"] == F.col("_r")))
+    segments = staged(texts.select("set", "text").mapInArrow(_segments(order, words), _SEGMENTS))
     ends = pairs.select(F.col("x").alias("end")).union(pairs.select("y"))
     degrees = staged(ends.groupBy("end").agg(F.count(F.lit(1)).alias("degree")))
-    of = lambda end: degrees.select(F.col("end").alias(f"end_{end}"), F.col("degree").alias(f"degree_{end}"))
-    both = pairs.join(of("x"), F.col("x") == F.col("end_x")).join(of("y"), F.col("y") == F.col("end_y"))
+    deg = lambda end: degrees.select(F.col("end").alias(f"end_{end}"), F.col("degree").alias(f"degree_{end}"))
+    both = pairs.join(deg("x"), F.col("x") == F.col("end_x")).join(deg("y"), F.col("y") == F.col("end_y"))
     hub = (F.col("degree_x") > F.col("degree_y")) | ((F.col("degree_x") == F.col("degree_y")) & (F.col("x") < F.col("y")))
-    dealt = F.pmod(F.xxhash64(F.when(hub, F.col("y")).otherwise(F.col("x"))), F.ceil(F.greatest("degree_x", "degree_y") / HUB_PAIRS))
-    block = F.pmod(F.xxhash64(F.when(hub, F.col("x")).otherwise(F.col("y")), dealt), F.lit(blocks)).cast("int")
-    blocked = staged(both.select("x", "n", "y", "m", block.alias("block")))
+    ends = both.select("x", "n", "y", "m", F.when(hub, F.col("x")).otherwise(F.col("y")).alias("hub"),
+                       F.when(hub, F.col("y")).otherwise(F.col("x")).alias("other"), F.greatest("degree_x", "degree_y").alias("degree"))
+    ends = staged(ends)
+    # All pairs of a set meet in the block of its largest hub.
+    main = staged(ends.groupBy(F.col("other").alias("_other")).agg(F.max(F.struct("degree", "hub")).alias("main")))
+    dealt = F.pmod(F.xxhash64("other"), F.ceil(F.col("main.degree") / HUB_PAIRS))
+    block = F.pmod(F.xxhash64("main.hub", dealt), F.lit(blocks)).cast("int")
+    blocked = staged(ends.join(main, F.col("other") == F.col("_other")).select("x", "n", "y", "m", block.alias("block")))
     asked = blocked.select(F.col("x").alias("s"), F.col("block").alias("to")).union(blocked.select("y", "block")).distinct()
-    # Segments and texts grow with the corpus: merge joins at every size.
     sent = asked.hint("merge").join(segments, F.col("s") == F.col("set")).select("to", "fragment", "set", "segment")
     every = blocked.withColumn("fragment", F.explode(F.array(*[F.lit(f) for f in range(FRAGMENTS)])))
     partial = every.select("block", "fragment", "x", "y").groupBy("block", "fragment").cogroup(
@@ -309,21 +344,17 @@ def similar_documents(docs: DataFrame, words: int = 4, percent: int = 85) -> Dat
     slots = parts(spark) | 1
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash("text").alias("row"), "text")
     facts = staged(rows.mapInArrow(_facts(words), _FACTS))
-    order = spark.sparkContext.broadcast(_order(facts))
+    order = _order(facts)
+    order = spark.sparkContext.broadcast((order.level, order.cuts))
     members = facts.where("kind = 0").select("doc_id", "row", "n", "set", "again")
     sent = rows.select("text").mapInArrow(_send_prefixes(order, words, percent, slots), _PREFIX)
     found = staged(sent.groupBy("slot").applyInArrow(_stars(percent), _MEMBERS))
     stars = staged(found.where("kind = 0").select(F.col("set").alias("x"), "n", F.col("other").alias("y"), "m").distinct())
     groups = found.where("kind = 1").select("key", "set", "n", "pos")
-    # One text of each set that is in a pair or a group, cut into fragments.
-    candidates = groups.select("set").union(stars.select("x")).union(stars.select("y")).distinct()
-    texts = members.join(candidates, "set", "left_semi").groupBy("set").agg(
-        F.min(F.struct("doc_id", "row")).alias("one")).select("set", F.col("one.doc_id").alias("_d"), F.col("one.row").alias("_r"))
-    # Repeated rows give the same segments again, of which a block keeps one.
-    wanted = rows.hint("merge").join(staged(texts), rows["doc_id"].eqNullSafe(F.col("_d")) & (rows["row"] == F.col("_r")))
-    segments = staged(wanted.select("set", "text").mapInArrow(_segments(order, words), _SEGMENTS))
+    sets = staged(facts.where("kind = 0").groupBy("set").agg(
+        F.min(F.struct("doc_id", "row")).alias("one"), F.first("parity").alias("parity")).select("set", "one.doc_id", "one.row", "parity"))
     blocks = parts(spark)
-    links = staged(_linked(stars, segments, percent, blocks))
+    links = staged(_linked(stars, sets, rows, order, words, percent, blocks))
     label = components(links).select(F.col("node").alias("_node"), "component")
     labelled = staged(groups.join(label, F.col("set") == F.col("_node"), "left").select(
         "key", "set", "n", "pos", F.coalesce("component", "set").alias("component")))
@@ -333,7 +364,7 @@ def similar_documents(docs: DataFrame, words: int = 4, percent: int = 85) -> Dat
     rest = open_.withColumn("slot", slot).groupBy("slot").applyInArrow(_remaining(percent), _PAIRS).distinct()
     rest = staged(rest.join(stars, ["x", "y"], "left_anti"))
     if not rest.isEmpty():
-        links = staged(links.union(_linked(rest, segments, percent, blocks)))
+        links = staged(links.union(_linked(rest, sets, rows, order, words, percent, blocks)))
         label = components(links).select(F.col("node").alias("_node"), "component")
     # Rows of one set, or without any shingle, and what their component is.
     label = staged(label)
