@@ -129,7 +129,7 @@ def load_demography(rows: DataFrame, places: DataFrame,
 def load_operations(raw: DataFrame, fires: DataFrame) -> DataFrame:
     """Operations of known fires with tolerant date, time and duration parsing, one row per fire."""
     parse = {
-        "id_clave_inc": F.trim, "fecha_termino": lambda c: D.parse_date(c, D.DAY_FIRST),
+        "id_clave_inc": X.strip_whitespace, "fecha_termino": lambda c: D.parse_date(c, D.DAY_FIRST),
         "hora_deteccion_s": D.clock_seconds, "hora_llegada_s": D.clock_seconds,
         "duracion_s": D.duration_seconds, "duracion_dias": N.to_integer,
     }

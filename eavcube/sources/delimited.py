@@ -8,9 +8,13 @@ from pyspark.sql import types as T
 BOM = "﻿"
 
 
-def read_text_columns(spark: SparkSession, path: str, separator: str = ",") -> DataFrame:
-    """Every column as text, header names without byte-order mark and outer whitespace."""
-    raw = spark.read.option("header", True).option("sep", separator).csv(path)
+def read_text_columns(spark: SparkSession, path: str, separator: str = ",", multi_line: bool = True) -> DataFrame:
+    """Every column as text, header names without byte-order mark and outer whitespace.
+
+    A doubled quote inside a quoted field is a quote. With `multi_line` quoted fields may hold line breaks, and each
+    file is read by one task; turn it off for large files without such fields.
+    """
+    raw = spark.read.option("header", True).option("sep", separator).option("escape", '"').option("multiLine", multi_line).csv(path)
     return raw.toDF(*[c.replace(BOM, "").strip() for c in raw.columns])
 
 

@@ -133,3 +133,11 @@ def test_partitioned_tables_skip_files_and_keep_types(spark, tmp_path):
     assert sorted(r["id_variable"] for r in back.collect()) == ["007", "T2M", "T2M"]
     plan = back.where("id_variable = 'T2M'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(id_variable" in plan
+
+
+def test_quoted_fields_keep_quotes_and_line_breaks(spark, tmp_path):
+    (tmp_path / "quoted.csv").write_text('a,b\n"x ""y"" z, w",1\n"two\nlines",2\n', encoding="utf-8")
+    from eavcube.sources.delimited import read_text_columns
+
+    got = sorted(tuple(r) for r in read_text_columns(spark, str(tmp_path / "quoted.csv")).collect())
+    assert got == [("two\nlines", "2"), ('x "y" z, w', "1")]
