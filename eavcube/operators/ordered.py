@@ -58,8 +58,10 @@ def small_list(df: DataFrame, column: str, limit: int = 1000) -> list | None:
     return sorted(r[0] for r in rows) if len(rows) <= limit else None
 
 
-def bounded_list(df: DataFrame, column: str, limit: int = 1000) -> list:
-    """`small_list` where the values shape a schema, so that more of them is an error."""
+def bounded_list(df: DataFrame, column: str, limit: int | None = None) -> list:
+    """Sorted distinct non-null values that shape a schema; more than a `limit` set by the caller is an error."""
+    if limit is None:
+        return sorted(r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().collect())
     values = small_list(df, column, limit)
     if values is None:
         raise ValueError(f"{column} has more than {limit} distinct values")

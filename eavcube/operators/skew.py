@@ -12,13 +12,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eavcube.operators.ordered import checkpoint
+
 # A key with more rows than this is worth splitting.
 HOT_ROWS = 1_000_000
-# The hottest keys that are treated apart; every other key then holds under 1/MAX_HOT of the rows.
-MAX_HOT = 10_000
-
-# A key of HOT_ROWS rows cannot fit in a frame that is estimated at less than this per row.
-_BYTES_PER_ROW = 64
+# Up to so many hot keys are broadcast; more of them are joined as the optimizer sees fit.
+BROADCAST_KEYS = 100_000
 
 ROWS = "__rows"
 _SALT = "__salt"
@@ -26,18 +25,6 @@ _SALTS = "__salts"
 _COPIES = "__copies"
 
 
-def input_bytes(df: DataFrame) -> int | None:
-    """Estimated size of the inputs a frame is computed from, or None where it is not available.
-
-    The estimate for a join is the product of its sides, so the inputs say more about the row count.
-    """
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    except AttributeError:
-        return None
-
-
 def will_broadcast(df: DataFrame) -> bool:
     """The optimizer's size estimate is within its broadcast threshold, so a join side is broadcast."""
     try:
@@ -51,13 +38,10 @@ def will_broadcast(df: DataFrame) -> bool:
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """Keys with about `hot_rows` rows or more and their estimated count, or None when there are none.
 
-    About 1,000 sampled rows stand for one hot key, and only the key columns are read. At most MAX_HOT
-    short rows reach the driver; they come back as a literal frame, so that every use of it sees the same
-    keys. Frames too small to hold a hot key are not read at all.
+    About 1,000 sampled rows stand for one hot key, and only the key columns are read. All hot keys are
+    kept, in a checkpointed frame, so that every use of it sees the same keys; only their number reaches
+    the driver, which decides whether they are broadcast.
     """
-    size = input_bytes(df)
-    if size is not None and size < hot_rows * _BYTES_PER_ROW:
-        return None
     fraction = min(1.0, 1000.0 / hot_rows)
     sample = df.select(*keys)
     if fraction < 1.0:
@@ -66,11 +50,11 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
         sample.groupBy(*keys)
         .agg((F.count(F.lit(1)) / F.lit(fraction)).cast("bigint").alias(ROWS))
         .where(F.col(ROWS) >= (hot_rows if fraction == 1.0 else hot_rows // 2))
-        .orderBy(F.desc(ROWS))
-        .limit(MAX_HOT)
     )
-    rows = found.collect()
-    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
+    if found.isEmpty():
+        return None
+    found = checkpoint(found)
+    return F.broadcast(found) if found.count() <= BROADCAST_KEYS else found
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -79,8 +63,8 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of ordinary keys and rows of hot keys. `hot` has at most MAX_HOT rows, so it is broadcast."""
-    flags = F.broadcast(hot.select(*keys))
+    """Rows of ordinary keys and rows of hot keys (`hot` as `hot_keys` returns it)."""
+    flags = hot.select(*keys)
     cond = same_keys(df, flags, keys)
     return df.join(flags, cond, "left_anti"), df.join(flags, cond, "left_semi")
 
@@ -117,7 +101,7 @@ def skew_join(
 
 
 def _salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str, hot: DataFrame, hot_rows: int) -> DataFrame:
-    salts = F.broadcast(hot.select(*on, F.ceil(F.col(ROWS) / F.lit(hot_rows)).cast("int").alias(_SALTS)))
+    salts = hot.select(*on, F.ceil(F.col(ROWS) / F.lit(hot_rows)).cast("int").alias(_SALTS))
     spread = left.alias("l").join(salts.alias("s"), _aliased(on), "left").select(
         "l.*",
         F.pmod(F.xxhash64(*[F.col(f"l.{c}") for c in left.columns]), F.coalesce(F.col(f"s.{_SALTS}"), F.lit(1)))

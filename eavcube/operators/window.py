@@ -25,8 +25,8 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
 
 
 def first_n(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: int) -> DataFrame:
-    """The first `n` rows per key in `order`."""
-    group = Window.partitionBy(*keys).orderBy(*order)
+    """The first `n` rows per key in `order`; of the columns given by name, unknown values come last."""
+    group = Window.partitionBy(*keys).orderBy(*[F.asc_nulls_last(c) if isinstance(c, str) else c for c in order])
     return df.withColumn(_RANK, F.row_number().over(group)).where(F.col(_RANK) <= n).drop(_RANK)
 
 

@@ -477,6 +477,10 @@ def operations_load(t: Tables) -> DataFrame:
         "Duración días": F.when(k % 11 > 0, F.format_string("%d.7", k % 30)).otherwise(""),
     }
     raw = t.fire.select(*[c.alias(n) for n, c in text.items()])
+    # Unreadable repetitions with a tab in the key: the row with known values is kept.
+    torn = t.fire.where(k % 4 == 0).select(*[
+        (F.concat(F.lit("\t"), k.cast("string")) if n == "Clave del incendio" else F.lit("?")).alias(n) for n in text])
+    raw = torn.unionByName(raw)
     known = t.parent.select(F.col("fire_id").cast("string").alias("id_clave_inc"))
     return WF.load_operations(raw, known).drop("hora_llegada_s")
 

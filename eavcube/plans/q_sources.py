@@ -15,16 +15,14 @@ from eavcube.streaming.incremental import SeriesLog, start_ingest
 
 
 def series_bodies(t: Tables) -> DataFrame:
-    """One nested response per event user, built from the event table."""
+    """One nested response per event user and variable, built from the event table; its size is bounded by the days."""
     daily = t.raw("events").groupBy(
         F.col("user_id").alias("entity_id"), "event_type", F.date_format("ts", "yyyyMMdd").alias("day")
     ).agg(F.max("value").alias("value"))
     days = daily.groupBy("entity_id", "event_type").agg(
         F.map_from_entries(F.collect_list(F.struct("day", "value"))).alias("days")
     )
-    variables = days.groupBy("entity_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("event_type", "days"))).alias("parameter")
-    )
+    variables = days.select("entity_id", F.create_map("event_type", "days").alias("parameter"))
     body = F.to_json(F.struct(F.struct("parameter").alias("properties")))
     return variables.select("entity_id", body.alias("body"))
 
@@ -106,9 +104,16 @@ def dictionary_update(t: Tables) -> DataFrame:
 
 @query(_SERIES)
 def series_incremental(t: Tables) -> DataFrame:
-    """Responses landed as files and taken in by the streaming job, then read back."""
+    """Responses landed as files and taken in by the streaming job, then read back.
+
+    Older responses and unreadable ones for the same keys land first, in the same batch.
+    """
     folder = f"{shared_folder(t.spark)}/ingest-{uuid.uuid4()}"
-    series_bodies(t).write.json(f"{folder}/landing")
+    bodies = series_bodies(t)
+    older = bodies.withColumn("body", F.regexp_replace("body", r":(-?[0-9])", ":1$1"))
+    torn = bodies.withColumn("body", F.substring("body", 1, 20))
+    older.unionByName(torn).write.json(f"{folder}/landing")
+    bodies.write.mode("append").json(f"{folder}/landing")
     log = SeriesLog(t.spark, f"{folder}/log")
     start_ingest(t.spark, f"{folder}/landing", log, f"{folder}/state").awaitTermination()
     return log.read().withColumn("entity_id", F.col("entity_id").cast("bigint"))

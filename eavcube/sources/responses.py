@@ -56,6 +56,11 @@ def parse_series(df: DataFrame, body: str, keep: Sequence[str], pattern: str = "
     return days.select(*keep, "variable", F.try_to_date("__day", pattern).alias("obs_date"), "value")
 
 
+def unreadable_series(df: DataFrame, body: str) -> DataFrame:
+    """Rows whose response `parse_series` cannot read, to be stored or asked for again."""
+    return df.where(F.from_json(body, SERIES)["properties"]["parameter"].isNull())
+
+
 def parse_units(df: DataFrame, body: str) -> DataFrame:
     """(variable, unit) from either place a response may keep its metadata in."""
     parsed = df.select(F.from_json(body, UNITS).alias("__r"))

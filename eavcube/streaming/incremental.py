@@ -2,7 +2,8 @@
 
 Each micro-batch writes its parsed rows to a folder of its own, so a replayed batch overwrites itself.
 Reading keeps, per (entity, variable), the rows of the newest batch: the same result as deleting the
-stored rows of a key and inserting the new ones, without rewriting the table.
+stored rows of a key and inserting the new ones, without rewriting the table. Within a batch the newest
+response per key counts, by file time, then file name. Responses that cannot be read are stored apart.
 """
 
 from __future__ import annotations
@@ -14,10 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eavcube.operators.skew import HOT_ROWS, skew_join
-from eavcube.sources.responses import parse_series
+from eavcube.sources.responses import parse_series, unreadable_series
 
 RESPONSE = "entity_id string, body string"
 BATCH = "batch"
+_RECEIVED = "__received"
 
 
 class SeriesLog:
@@ -31,6 +33,13 @@ class SeriesLog:
     def write_batch(self, rows: DataFrame, batch: int) -> None:
         rows.write.mode("overwrite").parquet(f"{self.path}/{BATCH}={batch}")
 
+    def write_rejected(self, bodies: DataFrame, batch: int) -> None:
+        bodies.write.mode("overwrite").parquet(f"{self.path}_rejected/{BATCH}={batch}")
+
+    def read_rejected(self) -> DataFrame:
+        """Responses that could not be read, with the batch they came in."""
+        return self.spark.read.schema(f"{RESPONSE}, {BATCH} bigint").parquet(f"{self.path}_rejected")
+
     def read(self, hot_rows: int = HOT_ROWS) -> DataFrame:
         """Rows of the newest batch per key; only (key, batch) pairs are aggregated."""
         rows = self.spark.read.parquet(self.path)
@@ -44,15 +53,29 @@ class SeriesLog:
         return compacted
 
 
+def newest_responses(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Rows of the response that was received last, per key."""
+    newest = rows.groupBy(*keys).agg(F.max(_RECEIVED).alias(_RECEIVED))
+    return skew_join(rows, newest, [*keys, _RECEIVED], "left_semi", hot_rows).drop(_RECEIVED)
+
+
 def start_ingest(spark: SparkSession, landing: str, log: SeriesLog, checkpoint: str,
                  max_files: int = 1000) -> StreamingQuery:
     """Process all responses that have landed since the last run, then stop."""
     landed = (
         spark.readStream.schema(RESPONSE).option("maxFilesPerTrigger", max_files).json(landing)
     )
-    rows = parse_series(landed, "body", ["entity_id"])
+    received = F.struct("_metadata.file_modification_time", "_metadata.file_name", F.xxhash64("body").alias("body"))
+
+    def store(batch: DataFrame, number: int) -> None:
+        # A response that is repeated in a file counts once.
+        rows = parse_series(batch.dropDuplicates(["entity_id", _RECEIVED]), "body", ["entity_id", _RECEIVED])
+        log.write_batch(newest_responses(rows, log.keys), number)
+        log.write_rejected(unreadable_series(batch, "body").drop(_RECEIVED), number)
+
     return (
-        rows.writeStream.foreachBatch(lambda batch, number: log.write_batch(batch, number))
+        landed.withColumn(_RECEIVED, received)
+        .writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -188,3 +188,13 @@ def test_bounded_list_refuses_large_columns(spark):
     assert bounded_list(spark.range(5), "id") == [0, 1, 2, 3, 4]
     with pytest.raises(ValueError):
         bounded_list(spark.range(20), "id", 10)
+
+
+def test_hot_keys_have_no_upper_number(spark):
+    df = spark.range(24_000).selectExpr("id % 12000 AS key")
+    assert hot_keys(df, ["key"], 2).count() == 12_000
+
+
+def test_known_values_come_before_unknown_ones(spark, rows):
+    df = spark.createDataFrame([(1, None, None), (1, "a", 5), (2, None, 7)], "key int, day string, id int")
+    assert rows(keep_first(df, ["key"], ["day", "id"])) == [(1, "a", 5), (2, None, 7)]

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 
 import pytest
 
@@ -141,3 +142,23 @@ def test_quoted_fields_keep_quotes_and_line_breaks(spark, tmp_path):
 
     got = sorted(tuple(r) for r in read_text_columns(spark, str(tmp_path / "quoted.csv")).collect())
     assert got == [("two\nlines", "2"), ('x "y" z, w', "1")]
+
+
+def test_newest_response_of_a_batch_counts_and_unreadable_ones_are_kept(spark, tmp_path, rows):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    log = SeriesLog(spark, str(tmp_path / "log"))
+
+    def land(name, when, *bodies):
+        lines = [json.dumps({"entity_id": "f1", "body": b if isinstance(b, str) else json.dumps(b)}) for b in bodies]
+        (landing / name).write_text("\n".join(lines) + "\n")
+        os.utime(landing / name, (when, when))
+
+    def series(value):
+        return {"properties": {"parameter": {"T2M": {"20250101": value}}}}
+
+    land("b.json", 1_000_000, series(1.0), "{torn")
+    land("a.json", 2_000_000, series(2.0), series(2.0))
+    start_ingest(spark, str(landing), log, str(tmp_path / "state")).awaitTermination()
+    assert rows(log.read(), "entity_id", "variable", "value") == [("f1", "T2M", 2.0)]
+    assert rows(log.read_rejected(), "entity_id", "body") == [("f1", "{torn")]
