@@ -17,6 +17,8 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LAST = 2**63 - 1
 # Window starts that are hashed at a time; places inside a piece fit the low bits of a hash.
 _SLICE, _PLACE = 1 << 16, np.uint64(17)
+# Entries of a slot are sorted in so many parts, one after the other, by further bits of the anchor's hash.
+_PARTS = 64
 _PACKED = "slot int, kind int, a binary, b binary, c binary, d binary, e binary"
 _NAMES = [f.split()[0] for f in _PACKED.split(", ")]
 _TYPES = [pa.int32(), pa.int32()] + [pa.binary()] * 5
@@ -175,9 +177,9 @@ def _answer_anchors(slots: int, hot: int):
 
 
 def _entries(slot: int, arrays: list) -> tuple:
-    context, doc, row, place, count = arrays
+    context, doc, row, place, count, part = arrays
     return (slot, 0, zstandard.ZstdCompressor(level=1).compress(context.tobytes()), pack(doc), pack(row), pack(place),
-            pack(count.astype(np.uint16)))
+            pack((count | part << 16).astype(np.uint32)))
 
 
 def _spans(slot: int, arrays: list) -> tuple:
@@ -213,7 +215,7 @@ def _send_contexts(length: int, k: int, slots: int):
         # One document of the slot was told that an anchor is hot; it is hot for all of them.
         hot = np.isin(h, told[1][told[2] == 1])
         padded = np.concatenate((texts.data, np.zeros(size, np.uint8)))
-        slot = (h % np.uint64(slots)).astype(np.int64)
+        key_of = h
         if hot.any():
             own, cold = np.flatnonzero(hot), np.flatnonzero(~hot)
             n = last[own] - first[own] + 1
@@ -225,10 +227,12 @@ def _send_contexts(length: int, k: int, slots: int):
                 for i in range(0, len(at), 50_000)])
             text = np.concatenate((text[cold], text[each]))
             first, last = np.concatenate((first[cold], at)), np.concatenate((last[cold], at))
-            slot = np.concatenate((slot[cold], (content % np.uint64(slots)).astype(np.int64)))
+            key_of = np.concatenate((h[cold], content))
+        slot = (key_of % np.uint64(slots)).astype(np.int64)
+        part = (key_of // np.uint64(slots) % np.uint64(_PARTS)).astype(np.int64)
         out, column = [], np.arange(size)
         for at in range(0, len(text), 100_000):
-            t, a, z, to = (x[at : at + 100_000] for x in (text, first, last, slot))
+            t, a, z, to, p = (x[at : at + 100_000] for x in (text, first, last, slot, part))
             context = padded[a[:, None] + column]
             context[column >= (z - a + length)[:, None]] = 0
             doc, row, local, count = texts.ids[t], texts.rows[t], a - texts.offsets[t], z - a + 1
@@ -239,7 +243,7 @@ def _send_contexts(length: int, k: int, slots: int):
             begin = np.flatnonzero(np.concatenate(([True], group[order][1:] != group[order][:-1])))
             least = np.repeat(doc[order][begin], np.diff(np.append(begin, len(order))))
             later, keep = order[doc[order] > least], order[doc[order] == least]
-            out += _cut(to[keep], [x[keep] for x in (context, doc, row, local, count)], _entries)
+            out += _cut(to[keep], [x[keep] for x in (context, doc, row, local, count, p)], _entries)
             if len(later):
                 found = merge_spans(doc[later], row[later], local[later], (local + count)[later] + length - 1)
                 out += _cut(_doc_slot(found[0], slots), list(found), _spans)
@@ -272,17 +276,14 @@ def equal_windows(context: np.ndarray, entry: np.ndarray, start: np.ndarray, len
     first that differs.
     """
     characters = (length + 7) // 8
-    wide = np.zeros((len(context), context.shape[1] + 8), np.uint8)
-    wide[:, : context.shape[1]] = context
     columns = context.shape[1]
-    words = np.zeros((len(context), columns), np.uint64)
-    for j in range(8):
-        words |= wide[:, j : j + columns].astype(np.uint64) << np.uint64(56 - 8 * j)
-    flat = words.reshape(-1)
+    data = np.concatenate((context.reshape(-1), np.zeros(8, np.uint8)))
+    # The eight bytes from every place on as a number, without a copy.
+    flat = np.ndarray((len(data) - 7,), ">u8", data, strides=(1,))
     base = entry * columns + start
 
     def character(i: np.ndarray, depth: int) -> np.ndarray:
-        c = flat[base[i] + 8 * depth]
+        c = flat[base[i] + 8 * depth].astype(np.uint64)
         extra = 8 * (depth + 1) - length
         return c >> np.uint64(8 * extra) if extra > 0 else c
 
@@ -333,17 +334,26 @@ def _find_repeats(length: int, k: int, slots: int):
         if own:
             context = np.concatenate([np.frombuffer(zstandard.ZstdDecompressor().decompress(columns[0][i]), np.uint8) for i in own]).reshape(-1, size)
             doc, row, place = (np.concatenate([unpack(columns[j][i], np.int64) for i in own]) for j in (1, 2, 3))
-            n = np.concatenate([unpack(columns[4][i], np.uint16) for i in own]).astype(np.int64)
-            entry = np.repeat(np.arange(len(context)), n)
-            start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            i, first = equal_windows(context, entry, start, length)
-            if len(i):
-                ids = doc[entry[i]]
-                least = np.repeat(np.minimum.reduceat(ids, first), np.diff(np.append(first, len(i))))
-                i = i[ids > least]
-            if len(i):
-                at = place[entry[i]] + start[i]
-                found = merge_spans(doc[entry[i]], row[entry[i]], at, at + length)
+            counts = np.concatenate([unpack(columns[4][i], np.uint32) for i in own]).astype(np.int64)
+            del columns
+            order = np.argsort(counts >> 16, kind="stable")
+            told = []
+            for a, z in zip(*slices((counts >> 16)[order])):
+                mine = order[a:z]
+                n = counts[mine] & 0xFFFF
+                entry = np.repeat(np.arange(len(mine)), n)
+                start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                i, first = equal_windows(context[mine], entry, start, length)
+                if len(i):
+                    ids = doc[mine[entry[i]]]
+                    least = np.repeat(np.minimum.reduceat(ids, first), np.diff(np.append(first, len(i))))
+                    i = i[ids > least]
+                if len(i):
+                    e = mine[entry[i]]
+                    at = place[e] + start[i]
+                    told.append(merge_spans(doc[e], row[e], at, at + length))
+            if told:
+                found = merge_spans(*(np.concatenate(c) for c in zip(*told)))
                 rows += _cut(_doc_slot(found[0], slots), list(found), _spans)
         return _rows(rows)
 
@@ -388,7 +398,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, hot: int = 50_000, slots:
     by their hash before and take no part.
 
     In each slot equal anchors and equal contexts are sent once, so near copies do not pile up; anchors of more than
-    `hot` senders are split by window content. Results do not depend on `hot` or `slots`.
+    `hot` senders are split by window content. The windows of a slot are sorted part by part, so a task holds the sorted
+    windows of one part only. Results do not depend on `hot` or `slots`.
 
     Null text is empty. A null doc_id comes after all others. Rows with equal doc_id do not repeat each other; repeated
     rows get the same result. Texts shorter than `length` stay. Other columns are not looked at.
