@@ -14,8 +14,9 @@ from pyspark.sql import types as T
 from eavcube.llm.common import staged
 
 LEVEL = 3
-# Bytes compressed at a time, so that the dictionary and not the text itself is what helps.
-BLOCK = 2048
+# Bytes compressed at a time, so that the dictionary and not the text itself is what helps: long texts compare with
+# short ones, whose sizes are those of one block.
+BLOCK = 512
 
 
 @dataclass(frozen=True)
@@ -24,6 +25,8 @@ class Model:
 
     good: bytes = b""
     bad: bytes = b""
+    low: tuple = ()
+    high: tuple = ()
     mean: tuple = ()
     scale: tuple = ()
     weights: tuple = ()
@@ -43,8 +46,8 @@ def _compressors(good: bytes, bad: bytes) -> list:
     return out
 
 
-def _features(text: str | None, tools: list) -> list[float]:
-    """Normalised difference of the two compressed sizes, compression without a dictionary, and their products."""
+def _sizes(text: str | None, tools: list) -> list[float]:
+    """Normalised difference of the two compressed sizes, and compression without a dictionary."""
     data = (text or "").encode()
     sizes = [0, 0, 0]
     for at in range(0, len(data) or 1, BLOCK):
@@ -52,8 +55,14 @@ def _features(text: str | None, tools: list) -> list[float]:
         for i, tool in enumerate(tools):
             sizes[i] += len(tool.compress(piece))
     plain, good, bad = sizes
-    d, r = (bad - good) / (bad + good), min(plain / max(len(data), 1), 2.0)
-    return [d, r, d * d, r * r, d * r]
+    return [(bad - good) / (bad + good), min(plain / max(len(data), 1), 2.0)]
+
+
+def _features(sizes: np.ndarray, low: tuple, high: tuple) -> np.ndarray:
+    """Both sizes and their products. Values beyond those of the calibration count as the nearest one, because the
+    squares mean nothing there."""
+    d, r = np.clip(sizes.reshape(-1, 2), low, high).T
+    return np.column_stack((d, r, d * d, r * r, d * r))
 
 
 def _sampled(labels: DataFrame, sample: int) -> tuple[DataFrame, dict]:
@@ -97,9 +106,9 @@ def _measure(good: bytes, bad: bytes):
     def measure(batches):
         tools = _compressors(good, bad)
         for batch in batches:
-            rows = [_features(t, tools) for t in batch.column("text").to_pylist()]
+            rows = [_sizes(t, tools) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("quality"), batch.column("hash"), pa.array(rows, pa.list_(pa.float64()))],
-                                             ["quality", "hash", "features"])
+                                             ["quality", "hash", "sizes"])
 
     return measure
 
@@ -149,14 +158,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 3000, pieces: int = 2,
     good, bad = (b"".join(bytes(r["piece"]) for r in cuts if r["quality"] == q)[-dictionary_bytes:] for q in (1, 0))
     if not good or not bad:
         return Model()
-    rows = texts.where(~into_dictionary).mapInArrow(_measure(good, bad), "quality int, hash long, features array<double>").collect()
-    rows.sort(key=lambda r: (r["hash"], r["features"]))
+    rows = texts.where(~into_dictionary).mapInArrow(_measure(good, bad), "quality int, hash long, sizes array<double>").collect()
+    rows.sort(key=lambda r: (r["hash"], r["sizes"]))
     y = np.array([float(r["quality"]) for r in rows])
     if len(set(y.tolist())) < 2:
         return Model()
     share = {q: sizes[int(q)] / (y == q).sum() for q in (0.0, 1.0)}
     weight = np.array([share[q] for q in y])
-    return Model(good, bad, *_logistic(np.array([r["features"] for r in rows]), y, weight * len(y) / weight.sum()))
+    measured = np.array([r["sizes"] for r in rows])
+    low, high = tuple(measured.min(axis=0).tolist()), tuple(measured.max(axis=0).tolist())
+    return Model(good, bad, low, high, *_logistic(_features(measured, low, high), y, weight * len(y) / weight.sum()))
 
 
 def quality_score(text: Column, model: Model) -> Column:
@@ -168,7 +179,7 @@ def quality_score(text: Column, model: Model) -> Column:
     def score(texts: pa.Array) -> pa.Array:
         if not held:
             held["tools"] = _compressors(model.good, model.bad)
-        x = np.array([_features(t.as_py(), held["tools"]) for t in texts]).reshape(-1, len(model.mean))
+        x = _features(np.array([_sizes(t.as_py(), held["tools"]) for t in texts]), model.low, model.high)
         z = model.weights[0] + ((x - np.array(model.mean)) / np.array(model.scale)) @ np.array(model.weights[1:])
         return pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
