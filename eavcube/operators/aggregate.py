@@ -22,12 +22,15 @@ def mean_per_variable(df: DataFrame, key: str, variable: str, value: str, out: s
 
 
 def pivot_mean(df: DataFrame, key: str, variable: str, value: str, variables: Sequence[str],
-               suffix: str = "") -> DataFrame:
-    """Long to wide: one averaged column per listed variable.
+               suffix: str = "", drop_empty: bool = False) -> DataFrame:
+    """Long to wide: one averaged column per listed variable; `drop_empty` leaves out those without any value.
 
     The averages are formed per (key, variable) first, so a key with very many rows spreads over its
     variables; the second step sees one row per pair.
     """
+    if drop_empty:
+        valued = {r[0] for r in df.where(F.col(value).isNotNull()).select(variable).distinct().collect()}
+        variables = [v for v in variables if v in valued]
     rows = df.where(F.col(variable).isin(list(variables)))
     pairs = mean_per_variable(rows, key, variable, value, "__mean")
     wide = [F.max(F.when(F.col(variable) == v, F.col("__mean"))).alias(f"{v}{suffix}") for v in variables]

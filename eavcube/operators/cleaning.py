@@ -195,6 +195,16 @@ def purge_series(df: DataFrame, variable: str, value: str, limit: float = N.SENT
     return kept.where(F.col(value).isNull() | (F.col(value) > limit))
 
 
+def purge_dictionary(dictionary: DataFrame, series: DataFrame, variable: str, value: str,
+                     limit: float = N.SENTINEL) -> DataFrame:
+    """Dictionary rows without the variables that hold nothing but the code or missing values."""
+    spans = series.groupBy(variable).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"))
+    code = F.lit(limit)
+    # One row per variable.
+    dead = spans.where(F.col("__lo").isNull() | ((F.col("__lo") == code) & (F.col("__hi") == code)))
+    return not_in(dictionary, dead.select(variable), [variable])
+
+
 def reset_coordinates(df: DataFrame, lat: str, lon: str, box: Mapping[str, Sequence[float]]) -> DataFrame:
     """Blank both coordinates when either is out of the box or both are zero."""
     a, b = F.col(lat), F.col(lon)

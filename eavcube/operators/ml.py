@@ -20,15 +20,24 @@ WEIGHT = "weight"
 ZONES = ["Bajo", "Medio-Bajo", "Medio", "Alto", "Crítico"]
 
 
+def complete(features: Sequence[str]) -> Column:
+    """Every feature of the row is a number."""
+    known = F.lit(True)
+    for c in features:
+        known = known & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    return known
+
+
 def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Rows with a vector of their features; all of them have to be complete."""
     doubles = df.withColumns({c: F.col(c).cast("double") for c in features})
-    return VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="skip").transform(doubles)
+    return VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="error").transform(doubles)
 
 
 def kmeans_clusters(df: DataFrame, features: Sequence[str], k: int = 5, seed: int = 42,
                     out: str = "cluster") -> DataFrame:
     """Complete rows with the number of their cluster."""
-    points = assemble(df.dropna(subset=list(features)), features)
+    points = assemble(df.where(complete(features)), features)
     model = KMeans(k=k, seed=seed, featuresCol=FEATURES, predictionCol=out).fit(points)
     return model.transform(points).drop(FEATURES)
 
@@ -95,15 +104,19 @@ def fit_forest(df: DataFrame, features: Sequence[str], label: str, trees: int =
 
 
 def _fit(estimator, df: DataFrame, features: Sequence[str], weighted: bool):
-    data = assemble(df, features)
+    data = assemble(df.where(complete(features)), features)
     if weighted:
         estimator = estimator.setWeightCol(WEIGHT)
     return estimator.fit(data)
 
 
 def predict(model, df: DataFrame, features: Sequence[str]) -> DataFrame:
-    scored = model.transform(assemble(df, features))
-    return scored.drop(FEATURES, "rawPrediction", "probability")
+    """All rows with their prediction, NULL where a feature is missing."""
+    filled = df.withColumns({f"__f{i}": F.when(complete([c]), F.col(c).cast("double")).otherwise(0.0) for i, c in enumerate(features)})
+    names = [f"__f{i}" for i in range(len(features))]
+    scored = model.transform(assemble(filled, names))
+    known = F.when(complete(features), F.col(model.getPredictionCol()))
+    return scored.withColumn(model.getPredictionCol(), known).drop(FEATURES, "rawPrediction", "probability", *names)
 
 
 def importances(model, features: Sequence[str], df: DataFrame) -> DataFrame:

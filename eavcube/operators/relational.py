@@ -205,10 +205,12 @@ def bundles(variables: Sequence[str], size: int) -> list[list[str]]:
 
 
 def request_plan(entities: DataFrame, series: DataFrame, key: str, start: str, variable: str,
-                 groups: Sequence[Sequence[str]], days: int) -> DataFrame:
+                 groups: Sequence[Sequence[str]], days: int, details: Sequence[str] = ()) -> DataFrame:
     """One row per entity and bundle that is not complete yet, with the inclusive window to ask for.
 
-    The bundle list is dictionary-sized and fixed, so it is exploded as a literal instead of joined.
+    `details` are further columns of the entities that a request needs, such as coordinates. The bundles an
+    entity already has become one array per entity, so the entities are joined once and only the missing
+    bundles are made rows.
     """
     number = {v: i for i, group in enumerate(groups) for v in group}
     if len(number) < sum(len(group) for group in groups):
@@ -217,19 +219,22 @@ def request_plan(entities: DataFrame, series: DataFrame, key: str, start: str, v
         F.struct(F.lit(i).alias("bundle"), F.lit(",".join(g)).alias("variables"), F.lit(len(g)).alias("__size"))
         for i, g in enumerate(groups)
     ])
-    wanted = entities.select(key, start, F.inline(plan))
     table = F.create_map(*[F.lit(x) for pair in number.items() for x in pair])
     present = (
         series.where(F.col(variable).isin(list(number)))
         .withColumn("bundle", F.try_element_at(table, F.col(variable)))
         .groupBy(key, "bundle")
         .agg(F.countDistinct(variable).alias("__present"))
+        .groupBy(key)
+        .agg(F.map_from_entries(F.collect_list(F.struct("bundle", "__present"))).alias("__counts"))
     )
+    open_ones = F.filter(plan, lambda b: F.coalesce(F.try_element_at("__counts", b["bundle"]), F.lit(0)) < b["__size"])
     return (
-        wanted.join(present, [key, "bundle"], "left")
-        .where(F.coalesce("__present", F.lit(0)) < F.col("__size"))
+        entities.select(key, start, *details).join(present, key, "left")
+        .select(key, start, *details, F.inline(open_ones))
         .select(
             key,
+            *details,
             "bundle",
             "variables",
             F.date_format(F.date_sub(start, days - 1), "yyyyMMdd").alias("window_start"),

@@ -5,6 +5,8 @@
     spark-submit --py-files eavcube.zip eavcube/plans/jobs.py load --work RAW --register REGISTER.csv
     spark-submit --py-files eavcube.zip eavcube/plans/jobs.py cube --work WORK --cube CUBE
     spark-submit --py-files eavcube.zip eavcube/plans/jobs.py features --work WORK --out FEATURES
+    spark-submit --py-files eavcube.zip eavcube/plans/jobs.py train --features FEATURES --out MODEL
+    spark-submit --py-files eavcube.zip eavcube/plans/jobs.py audit --work WORK --out AUDIT
 """
 
 from __future__ import annotations
@@ -57,11 +59,23 @@ def features(spark: SparkSession, args: argparse.Namespace) -> None:
     target.replace("propagation", WF.propagation_table(work, variables))
 
 
+def train(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Fit the risk model on the stored features and store its scores, report and importances."""
+    WF.train_model(TableStore(spark, args.features), TableStore(spark, args.out))["model_report"].show()
+
+
+def audit(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Audit the working store and store the reports."""
+    WF.audit(TableStore(spark, args.work), TableStore(spark, args.out))["audit_references"].show(100)
+
+
 JOBS = {
     "load": (load, ["work", "register"]),
     "migrate": (migrate, ["raw", "work", "demography", "operations"]),
     "cube": (cube, ["work", "cube"]),
     "features": (features, ["work", "out"]),
+    "train": (train, ["features", "out"]),
+    "audit": (audit, ["work", "out"]),
 }
 
 

@@ -313,6 +313,14 @@ def purge_policy(t: Tables) -> DataFrame:
     return CL.purge_series(t.obs, "variable", "value").select("obs_id", "variable", "value")
 
 
+@query("""
+SELECT variable, n FROM (SELECT variable, count(*) AS n, min(value) AS lo, max(value) AS hi FROM obs GROUP BY 1)
+WHERE lo IS NOT NULL AND NOT (lo = -999 AND hi = -999)""", "obs")
+def purge_dictionary(t: Tables) -> DataFrame:
+    dictionary = t.obs.groupBy("variable").agg(F.count(F.lit(1)).alias("n"))
+    return CL.purge_dictionary(dictionary, t.obs, "variable", "value")
+
+
 # Imputation ------------------------------------------------------------------------------------
 
 

@@ -38,7 +38,7 @@ def _mean(variable: str, cond: str = "true", name: str | None = None) -> str:
 SELECT entity_id, {', '.join(_mean(v) for v in VARIABLES)} FROM k
 WHERE variable IN ('click', 'error', 'purchase', 'view') GROUP BY entity_id""", "obs")
 def pivot_mean(t: Tables) -> DataFrame:
-    return A.pivot_mean(known(t), "entity_id", "variable", "value", VARIABLES)
+    return A.pivot_mean(known(t), "entity_id", "variable", "value", [*VARIABLES, "never seen"], drop_empty=True)
 
 
 @query(_KNOWN + """

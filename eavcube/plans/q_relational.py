@@ -153,14 +153,15 @@ groups AS (SELECT bundle, string_agg(variable, ',' ORDER BY variable) AS variabl
     FROM names GROUP BY bundle),
 present AS (SELECT o.entity_id, n.bundle, count(DISTINCT o.variable) AS k
     FROM obs o JOIN names n ON o.variable = n.variable WHERE o.value > 100 GROUP BY 1, 2)
-SELECT e.entity_id, g.bundle, g.variables, strftime(e.start_date - INTERVAL 9 DAY, '%Y%m%d') AS window_start,
+SELECT e.entity_id, CAST(e.entity_id AS DOUBLE) / 4 AS lat, g.bundle, g.variables, strftime(e.start_date - INTERVAL 9 DAY, '%Y%m%d') AS window_start,
     strftime(e.start_date, '%Y%m%d') AS window_end
 FROM entity e, groups g LEFT JOIN present p ON p.entity_id = e.entity_id AND p.bundle = g.bundle
 WHERE coalesce(p.k, 0) < g.size""", "obs entity")
 def request_plan(t: Tables) -> DataFrame:
     groups = R.bundles(bounded_list(t.obs, "variable"), 2)
     seen = t.obs.where(F.col("value") > 100)
-    return R.request_plan(t.entity, seen, "entity_id", "start_date", "variable", groups, 10)
+    places = t.entity.withColumn("lat", F.col("entity_id").cast("double") / 4)
+    return R.request_plan(places, seen, "entity_id", "start_date", "variable", groups, 10, ["lat"])
 
 
 _BANDS = """

@@ -18,11 +18,14 @@ from eavcube.functions import text as X
 from eavcube.operators import cleaning as CL
 from eavcube.operators import cube as C
 from eavcube.operators import features as FE
+from eavcube.operators import ml as M
+from eavcube.operators import quality as Q
 from eavcube.operators import relational as R
-from eavcube.operators.aggregate import pivot_mean
+from eavcube.operators.aggregate import pivot_mean, yearly_health
+from eavcube.operators.ordered import checkpoint
 from eavcube.operators.quantile import quantile_list
 from eavcube.operators.window import keep_first
-from eavcube.schemas import AGE_BANDS, DAMAGE_PARTS, KEYS, SCHEMAS, TEXT_COLUMNS
+from eavcube.schemas import AGE_BANDS, DAMAGE_PARTS, KEYS, REFERENCES, SCHEMAS, TEXT_COLUMNS
 from eavcube.sources.tables import TableStore
 
 # Headers of the register and the columns they become.
@@ -153,7 +156,8 @@ def migrate(inputs: MigrationInputs, work: TableStore, box: Mapping[str, Sequenc
     """Clean the raw tables into the working store and return (phase, table, rows) counters.
 
     Each phase reads the stored tables and writes new versions, so a failed phase can be run again and the
-    plans stay short. The large series is written twice: cleaned, then interpolated.
+    plans stay short. The large series is written twice: cleaned, then interpolated. In the end the fires and
+    series rows of each year are stored as `salud_anual`.
     """
     phases = [
         ("catalogues", lambda: _catalogues(inputs.raw)),
@@ -173,9 +177,34 @@ def migrate(inputs: MigrationInputs, work: TableStore, box: Mapping[str, Sequenc
             count = stored.agg(F.count(F.lit(1)).alias("rows"))
             line = count.select(F.lit(phase).alias("phase"), F.lit(name).alias("table"), "rows")
             report = line if report is None else report.unionByName(line)
+    health = yearly_health(work.read("incendios"), work.read("climatologia"), "id_clave_inc", F.year("fecha_inicio"))
+    work.replace("salud_anual", health)
     return report
 
 
+def audit(store: TableStore, report: TableStore) -> dict[str, DataFrame]:
+    """Write the audits of a store: schema and gaps, references, repeated keys, texts and the profile of the series."""
+    tables = {n: store.read(n) for n in SCHEMAS}
+    repeats = None
+    for name, keys in KEYS.items():
+        found = Q.duplicate_audit(tables[name], keys).agg(
+            F.count(F.lit(1)).alias("keys"), F.coalesce(F.sum("repeats"), F.lit(0)).alias("rows"))
+        line = found.select(F.lit(name).alias("table"), "keys", "rows")
+        repeats = line if repeats is None else repeats.unionByName(line)
+    texts = None
+    for name, columns in TEXT_COLUMNS.items():
+        line = Q.text_profile(tables[name], columns).withColumn("table", F.lit(name))
+        texts = line if texts is None else texts.unionByName(line)
+    audits = {
+        "audit_schema": Q.schema_report(tables),
+        "audit_references": Q.reference_audit(tables, REFERENCES),
+        "audit_duplicates": repeats,
+        "audit_texts": texts,
+        "audit_series": Q.variable_profile(tables["climatologia"], "id_variable", "resultado_numerico"),
+    }
+    return {name: report.replace(name, df) for name, df in audits.items()}
+
+
 def _catalogues(raw: TableStore) -> dict[str, DataFrame]:
     dictionary = raw.read("diccionario").withColumn("id_variable", X.strip_whitespace(F.col("id_variable")))
     return {"diccionario": dictionary, **{n: raw.read(n) for n in ("estado", "vegetacion", "causa")}}
@@ -245,9 +274,12 @@ def _text_and_coordinates(work: TableStore, box: Mapping[str, Sequence[float]])
 
 
 def _integrity(work: TableStore) -> dict[str, DataFrame]:
-    """Child tables that still have orphans, without them, and the places that are used."""
+    """Child tables that still have orphans, without them, and the places that are used.
+
+    The series was joined to the fires when it was written and no fire has gone since.
+    """
     fires = work.read("incendios")
-    children = {n: work.read(n) for n in ("danos", "operaciones", "climatologia")}
+    children = {n: work.read(n) for n in ("danos", "operaciones")}
     torn = {
         n: c for n, c in children.items()
         if not c.where(F.col("id_clave_inc").isNull()).isEmpty()
@@ -288,6 +320,25 @@ def build_cube(work: TableStore, cube: TableStore) -> dict[str, DataFrame]:
     return {"fact_clima": stored_climate, **{n: cube.replace(n, df) for n, df in tables.items()}}
 
 
+# Column names of the published tables of the cube.
+CUBE_COLUMNS = {
+    "dim_tiempo": {
+        "date": "fecha", "year": "anio", "month": "mes", "quarter": "trimestre", "month_name": "nombre_mes",
+        "season": "estacion", "is_weekend": "es_fin_semana",
+    },
+    "dim_ubicacion": {"place": "municipio", "state": "estado"},
+    "dim_vegetacion": {"vegetation_risk": "riesgo_vegetacion"},
+    "dim_tipo_incendio": {"type": "tipo"},
+    "fact_incendios": {
+        "duration_days": "duracion_dias", "n_fires": "num_incendios", "total_area": "superficie_total",
+        "tree_area": "superficie_arbolado", "herb_area": "superficie_herbacea", "severity": "indice_severidad",
+        "risk": "riesgo",
+    },
+    "fact_clima": {
+        "temperature": "temperatura_prom", "wind": "viento_prom", "humidity": "humedad_prom",
+        "radiation": "radiacion_prom",
+    },
+}
 # Column names of the published views.
 VIEW_COLUMNS = {
     "year": "anio", "quarter": "trimestre", "month": "mes", "month_name": "nombre_mes", "state": "estado",
@@ -330,9 +381,14 @@ def cube_views(tables: Mapping[str, DataFrame], population: DataFrame) -> dict[s
     }
 
 
+def published_tables(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The cube tables under their published column names."""
+    return {name: df.withColumnsRenamed(CUBE_COLUMNS.get(name, {})) for name, df in tables.items()}
+
+
 def register_views(tables: Mapping[str, DataFrame], population: DataFrame) -> list[str]:
     """Make the cube tables and views temporary views, so that they can be queried with SQL."""
-    frames = {**tables, **cube_views(tables, population)}
+    frames = {**published_tables(tables), **cube_views(tables, population)}
     for name, df in frames.items():
         df.createOrReplaceTempView(name)
     return list(frames)
@@ -364,7 +420,8 @@ def lag_model_table(work: TableStore, variables: Sequence[str]) -> DataFrame:
         "presion_humana": FE.human_pressure_by_location(F.col("pob_total"), F.col("latitud"), F.col("longitud")),
         "mes": F.month("fecha_inicio"), "estacion": D.season_number(F.col("fecha_inicio")),
     })
-    wide = FE.soil_vegetation_features(wide)
+    # The edges of the terciles and the result read the joins from here.
+    wide = checkpoint(FE.soil_vegetation_features(wide))
     trend: Column = F.col("NDVI_trend") - F.col("NDMI_trend") + F.col("TSOIL_trend")
     return FE.risk_terciles(wide.withColumn("__trend", trend), "__trend", "riesgo", drop_duplicates=True).drop("__trend")
 
@@ -372,7 +429,7 @@ def lag_model_table(work: TableStore, variables: Sequence[str]) -> DataFrame:
 def propagation_table(work: TableStore, variables: Sequence[str]) -> DataFrame:
     """Fires with mean climate, the propagation index, age groups and both kinds of labels."""
     means = pivot_mean(work.read("climatologia"), "id_clave_inc", "id_variable", "resultado_numerico", variables)
-    fires = work.read("incendios").join(means, "id_clave_inc", "left")
+    fires = checkpoint(work.read("incendios").join(means, "id_clave_inc", "left"))
     (median,) = quantile_list(fires, "TSOIL6", [0.5])
     indexed = FE.propagation_index(fires, median, out="indice_propagacion")
     people = FE.age_groups(work.read("demografia"), AGE_GROUPS, total="poblacion_total").drop("anio")
@@ -382,5 +439,36 @@ def propagation_table(work: TableStore, variables: Sequence[str]) -> DataFrame:
         "temp_combustible": FE.fuel_temperature_product(F.col("TSOIL6"), F.col("NDVI")),
         "estres_hidrico": FE.water_stress(F.col("TSOIL6"), F.col("NDMI")),
     })
-    labelled = FE.risk_terciles(wide, "indice_propagacion", "riesgo", drop_duplicates=True)
+    labelled = FE.risk_terciles(checkpoint(wide), "indice_propagacion", "riesgo", drop_duplicates=True)
     return FE.one_hot(labelled, "tipo_de_incendio")
+
+
+# Model -----------------------------------------------------------------------------------------
+
+
+# The published model columns.
+MODEL_FEATURES = [
+    "NDVI_mean", "NDMI_mean", "NDVI_trend", "NDMI_trend", "TSOIL_mean", "TSOIL_trend", "pob_total", "presion_humana",
+    "mes", "estacion", "id_vegetacion", "id_causa",
+]
+
+
+def train_model(features: TableStore, out: TableStore, trees: int = 150, max_depth: int = 12,
+                columns: Sequence[str] = MODEL_FEATURES) -> dict[str, DataFrame]:
+    """Fit a forest on the risk label of the stored lag features; store scored test rows, report and importances.
+
+    The split is by the key of the fire, so the rows of one fire are on one side. Rows without a label take no part.
+    """
+    table = FE.model_table(features.read("lag_features"), ["id_clave_inc", *columns, "riesgo"])
+    used = [c for c in columns if c in table.columns]
+    label = F.array_position(F.array(*[F.lit(t) for t in FE.TERCILES]), F.col("riesgo"))
+    rows = checkpoint(table.withColumn("label", (label - 1).cast("double")).where(F.col("label") >= 0))
+    train, test = M.hash_split(rows, "id_clave_inc")
+    model = M.fit_forest(train, used, "label", trees, max_depth)
+    scored = out.replace("model_scores", M.predict(model, test, used))
+    report = M.classification_report(scored, "label", "prediction", [float(i) for i in range(len(FE.TERCILES))])
+    return {
+        "model_scores": scored,
+        "model_report": out.replace("model_report", report),
+        "model_importances": out.replace("model_importances", M.importances(model, used, train)),
+    }

@@ -161,3 +161,12 @@ def test_long_value_lists_are_joined(spark, rows):
         assert (hit.count(), rest.count()) == (size, 3001 - size) and rest.where("var is null").count() == 1
     labels = df.dropna().withColumnRenamed("var", "label")
     assert M.with_class_weights(labels, "label").select("weight").distinct().collect()[0][0] == 1.0
+
+
+def test_rows_without_a_feature_have_no_prediction(spark):
+    train, test = M.hash_split(samples(spark), "id")
+    holes = train.limit(1).withColumn("a", F.lit(None).cast("double")).unionByName(train.limit(1).withColumn("b", F.lit(float("nan"))))
+    tree = M.fit_tree(train.unionByName(holes), ["a", "b"], "label")
+    scored = M.predict(tree, test.unionByName(holes), ["a", "b"])
+    assert scored.columns == [*test.columns, "prediction"] and scored.count() == test.count() + 2
+    assert scored.where("prediction is null").count() == 2

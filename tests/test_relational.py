@@ -87,6 +87,10 @@ def test_pending_and_request_plan(spark, rows):
     assert rows(R.pending_entities(entities, series, "e", "var", wanted=["a"]), "e") == []
     plan = R.request_plan(entities, series, "e", "start", "var", R.bundles(["a", "b", "c"], 2), 10)
     assert rows(plan) == [(2, 0, "a,b", "20250301", "20250310"), (2, 1, "c", "20250301", "20250310")]
+    placed = entities.withColumn("lat", F.col("e") * 1.5)
+    many = R.bundles(["a", *[f"v{i}" for i in range(1500)]], 500)
+    plan = R.request_plan(placed, series, "e", "start", "var", many, 10, ["lat"])
+    assert rows(plan, "e", "lat", "bundle") == [(e, e * 1.5, b) for e in (1, 2) for b in range(4)]
 
 
 def test_sample_is_exact_and_repeatable(spark, rows):

@@ -92,6 +92,7 @@ def test_migration_repairs_and_deduplicates(migrated, rows):
         "15555": "municipio desde csv por revisar",
     }
     counts = {(r["phase"], r["table"]): r["rows"] for r in report.collect()}
+    assert sum(r["entities"] for r in work.read("salud_anual").collect()) == 5
     assert counts[("integrity", "municipios")] == 5 and counts[("geography", "incendios")] == 5
 
 
@@ -145,6 +146,14 @@ def test_cube_and_views(spark, migrated, tmp_path, rows):
     ]
     names = WF.register_views(tables, work.read("demografia"))
     assert spark.sql("SELECT sum(incendios) FROM vw_cubo_geografico").first()[0] == 5
+    published = spark.sql("""
+        SELECT t.anio, t.trimestre, t.nombre_mes, t.estacion, t.es_fin_semana, u.municipio, u.estado, v.riesgo_vegetacion,
+            f.num_incendios, f.superficie_total, f.superficie_arbolado, f.superficie_herbacea, f.indice_severidad, f.riesgo,
+            f.duracion_dias, c.temperatura_prom, c.viento_prom, c.humedad_prom, c.radiacion_prom
+        FROM fact_incendios f LEFT JOIN dim_tiempo t ON f.fecha_inicio = t.fecha LEFT JOIN dim_ubicacion u USING (id_cvegeo)
+        LEFT JOIN dim_vegetacion v USING (id_vegetacion) LEFT JOIN fact_clima c USING (id_clave_inc)
+        JOIN dim_tipo_incendio k ON f.tipo_de_incendio = k.tipo""")
+    assert published.count() == 5
     for name in names:
         spark.catalog.dropTempView(name)
 
@@ -167,6 +176,23 @@ def test_feature_tables(migrated):
     ]
 
 
+def test_training_on_stored_features(spark, tmp_path):
+    """The label depends on one feature: the forest finds it, and every test row has a score."""
+    from eavcube.plans import jobs
+
+    rows = [(f"15-{i:04d}", *[float((i * (j + 3)) % 97) for j in range(len(WF.MODEL_FEATURES))]) for i in range(400)]
+    names = ", ".join(f"{c} double" for c in WF.MODEL_FEATURES)
+    table = spark.createDataFrame(rows, f"id_clave_inc string, {names}")
+    label = "CASE WHEN NDVI_mean < 32 THEN 'bajo' WHEN NDVI_mean < 64 THEN 'medio' WHEN NDVI_mean < 95 THEN 'alto' END"
+    TableStore(spark, str(tmp_path / "f")).replace("lag_features", table.selectExpr("*", f"{label} AS riesgo"))
+    jobs.main(["train", "--features", str(tmp_path / "f"), "--out", str(tmp_path / "m")])
+    model = TableStore(spark, str(tmp_path / "m"))
+    report = {r["class"]: r for r in model.read("model_report").collect()}
+    assert report["accuracy"]["recall"] > 0.8 and report["accuracy"]["support"] == model.read("model_scores").count()
+    best = model.read("model_importances").orderBy("importance", ascending=False).first()
+    assert best["feature"] == "NDVI_mean" and model.read("model_scores").where("prediction is null").count() == 0
+
+
 def register_rows(spark):
     base = {
         "Clave del incendio": "15-01-0001", "Año": "2025", "CVE_ENT": "15", "CVEGEO": "15102", "Región": "Centro",
@@ -214,6 +240,11 @@ def test_jobs_run_from_the_command_line(spark, raw, tmp_path):
     jobs.main(["features", "--work", folders["work"], "--out", folders["features"]])
     assert TableStore(spark, folders["cube"]).read("vw_resumen_anual").first()["total_incendios"] == 5
     assert TableStore(spark, folders["features"]).read("propagation").count() == 5
+    jobs.main(["audit", "--work", folders["work"], "--out", str(tmp_path / "audit")])
+    audits = TableStore(spark, str(tmp_path / "audit"))
+    assert audits.read("audit_references").agg({"orphans": "sum"}).first()[0] == 0
+    assert audits.read("audit_duplicates").count() == len(KEYS) and audits.read("audit_schema").count() > 30
+    assert audits.read("audit_texts").count() > 0 and audits.read("audit_series").count() > 0
     register = tmp_path / "register"
     register_rows(spark).coalesce(1).write.option("header", True).csv(str(register))
     for _ in range(2):
