@@ -34,15 +34,20 @@ TEMPLATES = {
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
 }
-# Words of which every template has one; only lines that have one are compressed.
+# Words of which every template has one; only their surroundings are compressed.
 _CUE = re.compile(r"licen[cs]|permission|redistribut|permitted", re.IGNORECASE)
 _WORD = re.compile(r"[A-Za-z0-9.]*[A-Za-z0-9]")
+_BLANK = re.compile(r"\n[^\S\n]*(?=\n)")
 _FOUND = ("doc_id long, line int, license string, reduction double, n_missing int, n_extra int, confirmed boolean, text string")
 
 
+def _words(text: str) -> list[str]:
+    return [w.lower() for w in _WORD.findall(text)]
+
+
 def wording_differences(block: str, template: str) -> tuple[int, int]:
     """Template words that the block lacks, and other words of the block between its first and last template word."""
-    a, b = ([w.lower() for w in _WORD.findall(x)] for x in (template, block))
+    a, b = _words(template), _words(block)
     runs = [m for m in difflib.SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks() if m.size]
     if not runs:
         return len(a), len(b)
@@ -50,38 +55,112 @@ def wording_differences(block: str, template: str) -> tuple[int, int]:
     return len(a) - same, runs[-1].b + runs[-1].size - runs[0].b - same
 
 
-def _blocks(text: str, reach: int) -> list[tuple[int, str]]:
-    """Number and text of each line with a cue; of a long line, `reach` characters on both sides of the cues, and of
-    a notice broken over lines, the lines that follow within `reach` characters."""
-    lines, out, covered = text.split("\n"), [], -1
-    for i, line in enumerate(lines):
-        if i <= covered or not _CUE.search(line):
-            continue
-        if len(line) > 4 * reach:
-            last = -1
-            for m in _CUE.finditer(line):
-                if m.start() >= last:
-                    last = m.end() + reach
-                    out.append((i, line[max(0, m.start() - reach) : last]))
-            continue
-        out.append((i, line))
-        block, j = line, i + 1
-        while j < len(lines) and lines[j].strip() and len(block) + len(lines[j]) < reach:
-            block += " " + lines[j]
-            j += 1
-        if j > i + 1:
-            out.append((i, block))
+def _side(wanted: list[str], there: list[str], most: int) -> list[int | None]:
+    """How many words of `there`, from its start, hold `wanted` in order with m words missing, for m up to `most`."""
+    reach: list = [0] + [None] * most
+    for word in wanted:
+        new: list = [None] * (most + 1)
+        for m, at in enumerate(reach):
+            if at is None:
+                continue
+            if m < most and (new[m + 1] is None or at < new[m + 1]):
+                new[m + 1] = at
+            hit = next((i for i in range(at, len(there)) if there[i] == word), None)
+            if hit is not None and (new[m] is None or hit + 1 < new[m]):
+                new[m] = hit + 1
+        reach = new
+    return reach
+
+
+def _aligned(words: list[str], at: int, template: list[str], cue: int, low: int, high: int, most: int):
+    """The wording with the fewest differences that has the template's word `cue` at `at`, of those that count as
+    confirmed: missing words, extra words, first word, word after the last. None if there is none."""
+    left = _side(template[:cue][::-1], words[low:at][::-1], most)
+    right = _side(template[cue + 1 :], words[at + 1 : high], most)
+    best = None
+    for m1, a in enumerate(left):
+        for m2, b in enumerate(right[: most + 1 - m1]):
+            if a is None or b is None:
+                continue
+            missing = m1 + m2
+            extra = a - (cue - m1) + b - (len(template) - 1 - cue - m2)
+            if extra <= max(missing, 2) and (best is None or (missing + extra, missing) < (best[0] + best[1], best[0])):
+                best = missing, extra, at - a, at + 1 + b
+    return best
+
+
+def _passages(text: str, reach: int):
+    """Start and end of the parts of a text within `reach` characters of a cue, from its line to a blank one."""
+    low = high = 0
+    edge = iter([*(m.start() for m in _BLANK.finditer(text)), len(text)])
+    before, after = 0, next(edge)
+    for m in _CUE.finditer(text):
+        while after < m.start():
+            before, after = after, next(edge)
+        a, b = max(before, text.rfind("\n", before, m.start()) + 1, m.start() - reach), min(after, m.end() + reach)
+        if a >= high:
+            if high > low:
+                yield low, high
+            low = a
+        high = b
+    if high > low:
+        yield low, high
+
+
+class _Template:
+    def __init__(self, name: str, text: str, max_missing: float):
+        self.name, self.words = name, _words(text)
+        self.cues = [i for i, w in enumerate(self.words) if _CUE.search(w)]
+        self.missing = int(max_missing * len(self.words) + 1e-9)
+        self.extra = max(self.missing, 2)
+        data = " ".join(self.words).encode()
+        raw = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        raw.precompute_compress(level=3)
+        self.tool = zstandard.ZstdCompressor(level=3, dict_data=raw)
+        self.size = len(zstandard.ZstdCompressor(level=3).compress(data))
+
+
+def _notices(text: str, tools: list[_Template], plain, min_reduction: float, reach: int):
+    """All candidates of a text: confirmed, score, reduction, template, missing, extra, start, end, cue (in characters)."""
+    out, sizes = [], {}
+    for low, high in _passages(text, reach):
+        spans = [(m.start(), m.end()) for m in _WORD.finditer(text, low, high)]
+        # A word that the passage cuts is none.
+        if spans and spans[0][0] == low > 0 and _WORD.match(text[low - 1]):
+            del spans[0]
+        if spans and spans[-1][1] == high < len(text) and _WORD.match(text[high]):
+            del spans[-1]
+        words = [text[a:b].lower() for a, b in spans]
+        for at in (i for i, w in enumerate(words) if _CUE.search(w)):
+            for tool in tools:
+                same = [c for c in tool.cues if tool.words[c] == words[at]]
+                for cue in same or tool.cues:
+                    a, b = max(at - cue - tool.extra, 0), min(at - cue + len(tool.words) + tool.extra, len(words))
+                    block = " ".join(words[a:b])
+                    if (tool.name, block) not in sizes:
+                        data = block.encode()
+                        if block not in sizes:
+                            sizes[block] = len(plain.compress(data))
+                        sizes[tool.name, block] = sizes[block] - len(tool.tool.compress(data))
+                    reduction = sizes[tool.name, block] / tool.size
+                    if reduction < min_reduction:
+                        continue
+                    found = _aligned(words, at, tool.words, cue, a, b, tool.missing) if same else None
+                    if found:
+                        missing, extra, first, last = found
+                    else:
+                        (missing, extra), first, last = wording_differences(block, " ".join(tool.words)), a, b
+                    score = len(tool.words) - 2 * missing - extra if found else -missing - extra
+                    out.append((bool(found), score, reduction, tool.name, missing, extra, spans[first][0], spans[last - 1][1], spans[at][0]))
     return out
 
 
 def _scan(templates: dict, min_reduction: float, max_missing: float, reach: int):
+    reach = max(reach, 4 * max(map(len, templates.values()), default=0))
+
     def scan(batches):
         plain = zstandard.ZstdCompressor(level=3)
-        tools = {}
-        for name, template in templates.items():
-            words = zstandard.ZstdCompressionDict(template.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            words.precompute_compress(level=3)
-            tools[name] = zstandard.ZstdCompressor(level=3, dict_data=words)
+        tools = [_Template(name, template, max_missing) for name, template in templates.items()]
         names = [f.split()[0] for f in _FOUND.split(", ")]
         types = [pa.int64(), pa.int32(), pa.string(), pa.float64(), pa.int32(), pa.int32(), pa.bool_(), pa.string()]
         for batch in batches:
@@ -89,22 +168,13 @@ def _scan(templates: dict, min_reduction: float, max_missing: float, reach: int)
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 if not text or not _CUE.search(text):
                     continue
+                found = _notices(text, tools, plain, min_reduction, reach)
                 best: dict = {}
-                for line, block in _blocks(text, reach):
-                    data = block.encode()
-                    alone = len(plain.compress(data))
-                    ranked = sorted(((1 - len(t.compress(data)) / alone, name) for name, t in tools.items()), key=lambda x: (-x[0], x[1]))
-                    for reduction, name in ranked:
-                        if reduction < min_reduction:
-                            break
-                        missing, extra = wording_differences(block, templates[name])
-                        sure = missing <= max_missing * len(_WORD.findall(templates[name])) and extra <= max(missing, 2)
-                        row = (sure, -missing - extra, reduction, doc, line, name, missing, extra, block)
-                        if line not in best or row[:3] > best[line][:3]:
-                            best[line] = row
-                        if sure and missing + extra == 0:
-                            break
-                out += [(d, n, name, r, m, e, s, b) for s, _, r, d, n, name, m, e, b in best.values()]
+                for row in found:
+                    n = text.count("\n", 0, row[6] if row[0] else row[8])
+                    if n not in best or row[:3] > best[n][:3]:
+                        best[n] = row
+                out += [(doc, n, r[3], r[2], r[4], r[5], r[0], text[r[6] : r[7]]) for n, r in best.items()]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
@@ -113,13 +183,16 @@ def _scan(templates: dict, min_reduction: float, max_missing: float, reach: int)
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, min_reduction: float = 0.2,
                   max_missing: float = 0.1, reach: int = 2000) -> DataFrame:
-    """License notices: doc_id, line, license, reduction, n_missing, n_extra, confirmed, text; one row for each line at most.
+    """License notices: doc_id, line, license, reduction, n_missing, n_extra, confirmed, text.
 
-    Every line with a cue word is compressed alone and with each template as raw zstandard dictionary. Templates are
-    ranked by how much smaller the block gets; of those above `min_reduction` the exact wording decides: the one with
-    the fewest missing and extra words wins, and it is confirmed if at most `max_missing` of its words are missing and
+    Around every cue word, as many words as a template has on each side of the same cue are compressed alone and with
+    the template as raw zstandard dictionary; of both only the lower-case words count. `reduction` is what the dictionary
+    saves over the compressed size of the template itself, whatever else stands around. Of the templates at `min_reduction`
+    or above the exact wording decides: a notice is confirmed if at most `max_missing` of its words are missing and
     hardly any are put in between.
 
+    One row for each line at most: the wording with the most words in place; a notice may go on over lines up to a blank one.
+
     Null and empty texts give no rows; a null doc_id is returned as null; repeated rows give repeated results.
     """
     templates = TEMPLATES if templates is None else templates

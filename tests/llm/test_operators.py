@@ -109,6 +109,22 @@ def test_licenses(spark, empty, odd):
     assert licenses.scan_licenses(empty).count() == 0 == licenses.scan_licenses(odd).count()
 
 
+@pytest.mark.parametrize("around", [50, 500, 3000, 12000])
+def test_licenses_inside_prose_that_does_not_compress(spark, around):
+    rng = random.Random(around)
+
+    def prose():
+        out = []
+        while sum(map(len, out)) < around // 2:
+            out.append("".join(rng.choice("abcdefghijklmnopqrstuvwxyzäß") for _ in range(rng.randint(2, 12))))
+        return " ".join(out)
+
+    names = list(licenses.TEMPLATES)
+    rows = [(i, f"{prose()} {licenses.TEMPLATES[n]} {prose()}") for i, n in enumerate(names)]
+    found = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).where("confirmed").collect()
+    assert {(r.doc_id, r.line, r.license) for r in found} == {(i, 0, n) for i, n in enumerate(names)}
+
+
 @pytest.mark.parametrize(("words", "percent"), [(4, 85), (5, 80)])
 def test_similar_documents_have_the_components_of_all_links(docs, empty, odd, words, percent):
     df, texts = docs
