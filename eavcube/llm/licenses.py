@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import bisect
 import difflib
 import re
+from collections import Counter
 
 import pyarrow as pa
 import zstandard
@@ -38,7 +40,7 @@ TEMPLATES = {
 _CUE = re.compile(r"licen[cs]|permission|redistribut|permitted", re.IGNORECASE)
 _WORD = re.compile(r"[A-Za-z0-9.]*[A-Za-z0-9]")
 _BLANK = re.compile(r"\n[^\S\n]*(?=\n)")
-_FOUND = ("doc_id long, line int, license string, reduction double, n_missing int, n_extra int, confirmed boolean, text string")
+_FOUND = ("doc_id long, line int, license string, reduction double, n_missing int, n_extra int, confirmed boolean, nth int, text string")
 
 
 def _words(text: str) -> list[str]:
@@ -90,14 +92,14 @@ def _aligned(words: list[str], at: int, template: list[str], cue: int, low: int,
 
 
 def _passages(text: str, reach: int):
-    """Start and end of the parts of a text within `reach` characters of a cue, from its line to a blank one."""
+    """Start and end of the parts of a text within `reach` characters of a cue, not beyond a blank line."""
     low = high = 0
     edge = iter([*(m.start() for m in _BLANK.finditer(text)), len(text)])
     before, after = 0, next(edge)
     for m in _CUE.finditer(text):
         while after < m.start():
             before, after = after, next(edge)
-        a, b = max(before, text.rfind("\n", before, m.start()) + 1, m.start() - reach), min(after, m.end() + reach)
+        a, b = max(before, m.start() - reach), min(after, m.end() + reach)
         if a >= high:
             if high > low:
                 yield low, high
@@ -155,6 +157,16 @@ def _notices(text: str, tools: list[_Template], plain, min_reduction: float, rea
     return out
 
 
+def _chosen(found: list) -> list:
+    """Of confirmed notices that overlap, the one with the most words in place; and all others."""
+    kept: list = []
+    for row in sorted((f for f in found if f[0]), key=lambda f: (-f[1], f[6], f[3])):
+        i = bisect.bisect_left(kept, (row[6],))
+        if (i == 0 or kept[i - 1][1] <= row[6]) and (i == len(kept) or kept[i][0] >= row[7]):
+            kept.insert(i, (row[6], row[7], row))
+    return [row for _, _, row in kept]
+
+
 def _scan(templates: dict, min_reduction: float, max_missing: float, reach: int):
     reach = max(reach, 4 * max(map(len, templates.values()), default=0))
 
@@ -162,19 +174,26 @@ def _scan(templates: dict, min_reduction: float, max_missing: float, reach: int)
         plain = zstandard.ZstdCompressor(level=3)
         tools = [_Template(name, template, max_missing) for name, template in templates.items()]
         names = [f.split()[0] for f in _FOUND.split(", ")]
-        types = [pa.int64(), pa.int32(), pa.string(), pa.float64(), pa.int32(), pa.int32(), pa.bool_(), pa.string()]
+        types = [pa.int64(), pa.int32(), pa.string(), pa.float64(), pa.int32(), pa.int32(), pa.bool_(), pa.int32(), pa.string()]
         for batch in batches:
             out = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 if not text or not _CUE.search(text):
                     continue
                 found = _notices(text, tools, plain, min_reduction, reach)
-                best: dict = {}
+                ends = [m.start() for m in re.finditer("\n", text)] if found else []
+                line = lambda at: bisect.bisect_left(ends, at)  # noqa: B023, E731
+                taken, times, best = set(), Counter(), {}
+                for _, _, reduction, name, missing, extra, start, end, _ in _chosen(found):
+                    n = line(start)
+                    taken.update(range(n, line(end - 1) + 1))
+                    out.append((doc, n, name, reduction, missing, extra, True, times[n, name], text[start:end]))
+                    times[n, name] += 1
                 for row in found:
-                    n = text.count("\n", 0, row[6] if row[0] else row[8])
-                    if n not in best or row[:3] > best[n][:3]:
+                    n = line(row[8])
+                    if n not in taken and (n not in best or row[1:3] > best[n][1:3]):
                         best[n] = row
-                out += [(doc, n, r[3], r[2], r[4], r[5], r[0], text[r[6] : r[7]]) for n, r in best.items()]
+                out += [(doc, n, r[3], r[2], r[4], r[5], False, 0, text[r[6] : r[7]]) for n, r in best.items()]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
@@ -183,7 +202,7 @@ def _scan(templates: dict, min_reduction: float, max_missing: float, reach: int)
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, min_reduction: float = 0.2,
                   max_missing: float = 0.1, reach: int = 2000) -> DataFrame:
-    """License notices: doc_id, line, license, reduction, n_missing, n_extra, confirmed, text.
+    """License notices: doc_id, line, license, reduction, n_missing, n_extra, confirmed, nth, text.
 
     Around every cue word, as many words as a template has on each side of the same cue are compressed alone and with
     the template as raw zstandard dictionary; of both only the lower-case words count. `reduction` is what the dictionary
@@ -191,7 +210,10 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, min_
     or above the exact wording decides: a notice is confirmed if at most `max_missing` of its words are missing and
     hardly any are put in between.
 
-    One row for each line at most: the wording with the most words in place; a notice may go on over lines up to a blank one.
+    Every confirmed notice gives a row, in the line where it starts; it may go on over lines up to a blank one. Of notices
+    that overlap (a short one inside a longer one) the one with the most words in place is returned. `nth` counts the
+    places of a license before on the same line. A line without a confirmed notice gives its nearest template, if any, as
+    one row that is not confirmed.
 
     Null and empty texts give no rows; a null doc_id is returned as null; repeated rows give repeated results.
     """

@@ -88,9 +88,9 @@ JOIN (VALUES ('MIT', 'Released under the MIT License.'), ('Apache-2.0', 'License
     ('GPL-3.0', 'This work is licensed under the GNU General Public License, version 3.'),
     ('CC-BY-NC-4.0', 'Licensed under CC BY-NC 4.0.')) AS t(name, notice) ON contains(line, notice)""")
 def op3_scan_licenses(spark: SparkSession, folder: str) -> DataFrame:
-    """Confirmed license notices of all documents."""
+    """Confirmed license notices of all documents, each license once for a line."""
     found = licenses.scan_licenses(table(spark, folder, "documents"))
-    return found.where("confirmed").select("doc_id", "line", "license")
+    return found.where("confirmed and nth = 0").select("doc_id", "line", "license")
 
 
 @query("""

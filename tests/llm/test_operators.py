@@ -125,6 +125,19 @@ def test_licenses_inside_prose_that_does_not_compress(spark, around):
     assert {(r.doc_id, r.line, r.license) for r in found} == {(i, 0, n) for i, n in enumerate(names)}
 
 
+def test_licenses_of_one_line_and_broken_over_lines(spark):
+    mit, gpl, nc = (licenses.TEMPLATES[n] for n in ("MIT", "GPL-3.0", "CC-BY-NC-4.0"))
+    rows = [(1, f"{nc} {mit}"), (2, f"{mit} {'word ' * 4000}{gpl}"), (3, "one\nReleased under the\n * MIT License. two"),
+            (4, "This work is\nlicensed under the GNU General\nPublic License, version 3.\n" + mit),
+            (5, "Released under\n\nthe MIT License."), (6, f"{mit} and {mit}"), (7, licenses.TEMPLATES["Apache-2.0-text"]),
+            (8, "Licensed x under CC y BY 4.0. LICENSED UNDER CC BY-SA 4.0.")]
+    df = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = [(r.doc_id, r.line, r.license, r.nth) for r in df.where("confirmed").collect()]
+    assert sorted(found) == [(1, 0, "CC-BY-NC-4.0", 0), (1, 0, "MIT", 0), (2, 0, "GPL-3.0", 0), (2, 0, "MIT", 0), (3, 1, "MIT", 0),
+                             (4, 0, "GPL-3.0", 0), (4, 3, "MIT", 0), (6, 0, "MIT", 0), (6, 0, "MIT", 1),
+                             (7, 0, "Apache-2.0-text", 0), (8, 0, "CC-BY-4.0", 0), (8, 0, "CC-BY-SA-4.0", 0)]
+
+
 @pytest.mark.parametrize(("words", "percent"), [(4, 85), (5, 80)])
 def test_similar_documents_have_the_components_of_all_links(docs, empty, odd, words, percent):
     df, texts = docs
