@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,39 +98,26 @@ def _hash_of(text: str) -> np.uint64:
     return mix(np.array([(data * np.multiply.accumulate(powers)[: len(data)]).sum() + np.uint64(len(data))], np.uint64))[0]
 
 
-def _neighbours(text: str, spans: list, min_bytes: int, reach: int) -> tuple[set, set]:
-    """Entities of a text, and (term, entity, hash of the neighbourhood) for up to `reach` terms on each side of every
-    span on its line. Other values are no terms."""
+_FACTS = "kind int, term long, n long, doc long, mark long, entities array<long>, terms array<long>"
+
+
+def _values(text: str, spans: list, min_bytes: int) -> tuple[list, list, int]:
+    """Distinct entities and terms of a text, and a hash of all terms in order. Values are no terms."""
     data = np.frombuffer(text.encode(), np.uint8).copy()
     place = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
-    line_ends = np.flatnonzero(data == 10)
+    entities = {int(_hash_of(f"{kind}:{text[a:b]}").view(np.int64)) for kind, a, b in spans}
     for _, a, b in spans:
         data[place[a] : place[b]] = 32
     h, _, start, end = _terms(data, np.array([0, len(data)]))
-    keep = end - start >= min_bytes
-    h, start = h[keep], start[keep]
-    line = np.searchsorted(line_ends, start)
-    entities, near = set(), set()
-    for kind, a, b in spans:
-        entity = int(_hash_of(f"{kind}:{text[a:b]}"))
-        entities.add(entity)
-        at, own = int(np.searchsorted(start, place[a])), int(np.searchsorted(line_ends, place[a]))
-        around = slice(max(at - reach, 0), at + reach)
-        terms = h[around][line[around] == own]
-        mark = int(mix(np.array([terms.sum()], np.uint64))[0])
-        near.update((t, entity, mark) for t in terms.tolist())
-    return entities, near
-
-
-def _statistics(min_bytes: int, reach: int):
-    """In how many documents each term is (kind 0), each entity (kind 1), and (kind 2) each term next to an entity,
-    by neighbourhood."""
-    names = ["kind", "term", "entity", "line", "n"]
-
-    def rows(kind, term, entity, line, n):
-        as_long = lambda x: pa.array(np.asarray(x, np.uint64).view(np.int64))
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int32)), as_long(term), as_long(entity),
-                                           as_long(line), pa.array(np.asarray(n, np.int64))], names)
+    h = h[end - start >= min_bytes]
+    mark = (h * np.multiply.accumulate(np.full(len(h), _STEP))).sum(dtype=np.uint64)
+    return sorted(entities), np.unique(h).view(np.int64).tolist(), int(mix(np.array([mark])).view(np.int64)[0])
+
+
+def _statistics(min_bytes: int):
+    """In how many documents each term is (kind 0), and the values and terms of each document with a value (kind 1)."""
+    names = [f.split()[0] for f in _FACTS.split(", ")]
+    types = [pa.int32(), *[pa.int64()] * 4, *[pa.list_(pa.int64())] * 2]
 
     def counted(found):
         h, n = np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
@@ -138,18 +127,20 @@ def _statistics(min_bytes: int, reach: int):
         for at in range(0, len(start), 100_000):
             own = start[at : at + 100_000]
             stop = start[at + 100_000] if at + 100_000 < len(start) else len(h)
-            zero = np.zeros(len(own), np.uint64)
-            yield rows(0, h[own], zero, zero, np.add.reduceat(n[own[0] : stop], own - own[0]))
+            sums = np.add.reduceat(n[own[0] : stop], own - own[0])
+            none = [pa.nulls(len(own), t) for t in types[3:]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(own), np.int32)), pa.array(h[own].view(np.int64)),
+                                              pa.array(sums.astype(np.int64)), *none], names)
 
     def statistics(batches):
-        found, held = [], 0
+        found, held, doc = [], 0, TaskContext.get().partitionId() << 40
         for batch in batches:
             texts = batch.column("text")
             data, offsets = text_bytes(texts)
-            h, doc, start, end = _terms(data, offsets)
+            h, owner, start, end = _terms(data, offsets)
             long = end - start >= min_bytes
-            order = np.lexsort((h[long], doc[long]))
-            hd, dd = h[long][order], doc[long][order]
+            order = np.lexsort((h[long], owner[long]))
+            hd, dd = h[long][order], owner[long][order]
             new = np.ones(len(hd), bool)
             new[1:] = (hd[1:] != hd[:-1]) | (dd[1:] != dd[:-1])
             values, n = np.unique(hd[new], return_counts=True)
@@ -158,50 +149,76 @@ def _statistics(min_bytes: int, reach: int):
             if held > 2_000_000:
                 yield from counted(found)
                 found, held = [], 0
-            seen, pairs = [], set()
-            for i, text in enumerate(texts.to_pylist()):
+            rows = []
+            for text in texts.to_pylist():
+                doc += 1
                 spans = base_spans(text) if text else []
                 if spans:
-                    own, near = _neighbours(text, spans, min_bytes, reach)
-                    seen.extend(own)
-                    pairs.update((t, e, i, m) for t, e, m in near)
-            if seen:
-                zero = np.zeros(len(seen), np.uint64)
-                yield rows(1, zero, seen, zero, np.ones(len(seen)))
-            if pairs:
-                t, e, i, m = (np.array(x, np.uint64) for x in zip(*sorted(pairs)))
-                new = np.ones(len(t), np.int64)  # a document counts once for a term and an entity
-                new[1:] = (t[1:] != t[:-1]) | (e[1:] != e[:-1]) | (i[1:] != i[:-1])
-                yield rows(2, t, e, m, new)
+                    entities, terms, mark = _values(text, spans, min_bytes)
+                    rows.append((1, None, None, doc, mark, entities, terms))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
         if found:
             yield from counted(found)
 
     return statistics
 
 
-def revealing_terms(docs: DataFrame, threshold: float = 0.9, min_contexts: int = 3, min_bytes: int = 3,
-                    reach: int = 10) -> DataFrame:
+def _least_texts(n: int, terms: int, max_chance: float) -> int:
+    """So many different texts with both can make a term certain, if neither is anywhere else."""
+    k, ways = 1, float(n)
+    while k < n and terms > max_chance * ways:
+        ways *= (n - k) / (k + 1)
+        k += 1
+    return k
+
+
+def revealing_terms(docs: DataFrame, threshold: float = 0.9, max_chance: float = 0.01, min_bytes: int = 3) -> DataFrame:
     """Terms that give an entity away: term (hash), disclosure.
 
     An entity is one value found by a pattern. With N documents, n(t) with the term, n(e) with the entity and n(t, e)
-    with the term within `reach` terms of the entity on its line, disclosure is pointwise mutual information over the information of the entity,
+    with both, wherever they stand in it, disclosure is pointwise mutual information over the information of the entity,
     log2(n(t, e) N / (n(t) n(e))) / log2(N / n(e)): 1 where the term is never seen without the entity. Terms at
-    `threshold` or above are returned if they meet the entity in at least `min_contexts` different neighbourhoods, so that
-    copies of one passage prove nothing. All counts are over all documents; terms are counted in each task before they are
-    shuffled.
+    `threshold` or above are returned unless chance explains them: with k different texts that have both (documents
+    with the same terms in the same order are one), the number of terms of the corpus expected to meet the entity so often
+    by chance, terms * C(n(t), k) * C(n(e), k) / C(N, k), copies taken off, is at most `max_chance`. Two texts are enough
+    in all but small corpora; one is only if the corpus has fewer terms than `max_chance` * N, since else every rare word
+    of a document with a value would be certain.
+
+    All counts are over all documents. Entities that no term can be certain for, and terms that are too frequent or too
+    rare for all entities of their document, go before terms and entities are paired.
     """
-    facts = staged(docs.select("text").mapInArrow(_statistics(min_bytes, reach), "kind int, term long, entity long, line long, n long"))
-    total = docs.agg(F.count(F.lit(1)).alias("total"))
-    pairs = facts.where("kind = 2").groupBy("term", "entity", "line").agg(F.sum("n").alias("n"))
-    pairs = pairs.groupBy("term", "entity").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("contexts"))
-    pairs = staged(pairs.where(F.col("contexts") >= min_contexts))
-    entities = facts.where("kind = 1").groupBy("entity").agg(F.sum("n").alias("n_entity"))
-    terms = facts.where("kind = 0").join(pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n_term"))
-    n = total.first()[0]
+    facts = staged(docs.select("text").mapInArrow(_statistics(min_bytes), _FACTS))
+    n = docs.count()
+    counts = facts.where("kind = 0")
+    n_terms = counts.agg(F.approx_count_distinct("term", 0.01)).first()[0]
+    least = _least_texts(n, n_terms, max_chance)
+    held = facts.where("kind = 1").select("doc", "mark", F.explode("entities").alias("entity"))
+    entities = held.groupBy("entity", "mark").agg(F.count(F.lit(1)).alias("n")).groupBy("entity").agg(
+        F.sum("n").alias("n_entity"), F.count(F.lit(1)).alias("texts_entity")).where(F.col("texts_entity") >= least)
+    # threshold * log2(N / n(e)) <= log2(N / n(t)), as n(t, e) <= n(e)
+    most = F.ceil(F.pow(F.col("n_entity"), F.lit(threshold)) * F.lit(float(max(n, 1))) ** F.lit(1 - threshold) * 1.000001)
+    entities = staged(entities.withColumn("most", most))
+    held = staged(held.join(entities, "entity"))
+    wanted = staged(held.groupBy(F.col("doc").alias("_doc")).agg(F.max("most").alias("most_doc")))
+    own = staged(facts.where("kind = 1").join(wanted, F.col("doc") == F.col("_doc")).select(
+        "doc", "most_doc", F.explode("terms").alias("term")))
+    terms = counts.groupBy("term").agg(F.sum("n").alias("n_term")).where(F.col("n_term") >= least)
+    own = own.join(terms, "term").where(F.col("n_term") <= F.col("most_doc")).select("doc", "term", "n_term")
+    pairs = own.join(held, "doc").where(F.col("n_term") <= F.col("most"))
+    pairs = pairs.groupBy("term", "entity", "mark").agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in (
+        "n_term", "n_entity", "texts_entity")])
+    pairs = pairs.groupBy("term", "entity").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("texts"), *[
+        F.first(c).alias(c) for c in ("n_term", "n_entity", "texts_entity")])
     shared = F.log2(F.col("n_both") * F.lit(float(n)) / (F.col("n_term") * F.col("n_entity")))
     whole = F.log2(F.lit(float(n)) / F.col("n_entity"))
-    scored = pairs.join(entities, "entity").join(terms, "term").withColumn("disclosure", F.try_divide(shared, whole))
-    return scored.where(F.col("disclosure") >= threshold).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
+    scored = pairs.withColumn("disclosure", F.try_divide(shared, whole)).where(F.col("disclosure") >= threshold)
+    # Copies of a text say nothing new: they are taken off both counts. Fewer texts bound the chance of more.
+    texts_term = F.col("n_term") - F.col("n_both") + F.col("texts")
+    each = F.transform(F.sequence(F.lit(0), F.least(F.col("texts"), F.lit(50)).cast("int") - 1), lambda i: F.log(
+        (texts_term - i) * (F.col("texts_entity") - i) / ((i + 1) * (F.lit(float(n)) - i))))
+    chance = F.aggregate(each, F.log(F.lit(float(max(n_terms, 1)))), lambda total, x: total + x)
+    return scored.where(chance <= math.log(max_chance)).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
 
 
 @F.arrow_udf(SPANS)
