@@ -377,6 +377,76 @@ def similar_documents(docs: DataFrame, words: int = 4, percent: int = 85) -> Dat
     return out.select("doc_id", "row", "n_shingles", F.when(F.col("_empty"), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
 
+# Members of a prefix shingle that a block of its pairs takes on one side.
+KEY_BLOCK = 1000
+_ROWS = "key long, set long, n long, pos long"
+
+
+def _prefix_rows(batches):
+    for batch in batches:
+        for k, s, n, pos in zip(*(batch.column(c).to_pylist() for c in ("key", "set", "n", "pos"))):
+            columns = (unpack(k, np.uint64, True).view(np.int64), unpack(s, np.int64), unpack(n, np.uint32).astype(np.int64),
+                       unpack(pos, np.uint32).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [f.split()[0] for f in _ROWS.split(", ")])
+
+
+def _every_link(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Documents with their sets, and all pairs of different sets that link.
+
+    Nothing is left out for being in one component: all sets of a prefix shingle meet, dealt by blocks of one side if they
+    are many, and what lengths and positions rule out goes within the join.
+    """
+    spark = docs.sparkSession
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash("text").alias("row"), "text")
+    facts = staged(rows.mapInArrow(_facts(words), _FACTS))
+    order = _order(facts)
+    order = spark.sparkContext.broadcast((order.level, order.cuts))
+    members = facts.where("kind = 0").select("doc_id", "row", "n", "set", "parity")
+    sets = staged(members.groupBy("set").agg(F.min(F.struct("doc_id", "row")).alias("one"), F.first("parity").alias("parity")).select(
+        "set", "one.doc_id", "one.row", "parity"))
+    sent = rows.select("text").mapInArrow(_send_prefixes(order, words, percent, parts(spark) | 1), _PREFIX)
+    prefixes = staged(sent.mapInArrow(_prefix_rows, _ROWS).distinct())
+    size = prefixes.groupBy(F.col("key").alias("_key")).agg(F.ceil(F.count(F.lit(1)) / KEY_BLOCK).cast("int").alias("blocks"), F.count(F.lit(1)).alias("_c"))
+    prefixes = staged(prefixes.join(size.where("_c > 1"), F.col("key") == F.col("_key")).select("key", "set", "n", "pos", "blocks"))
+    left = prefixes.select("key", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int").alias("block"), F.col("set").alias("x"), "n", "pos")
+    right = prefixes.select(F.col("key").alias("_key"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("_block"),
+                            F.col("set").alias("y"), F.col("n").alias("m"), F.col("pos").alias("at"))
+    fits = F.expr(f"{percent} * greatest(n, m) <= 100 * least(n, m) and "
+                  f"least(n - pos, m - at) >= ({percent} * (n + m) + 99 + {percent}) div {100 + percent}")
+    pairs = left.join(right, (F.col("key") == F.col("_key")) & (F.col("block") == F.col("_block")) & (F.col("x") < F.col("y")) & fits)
+    pairs = staged(pairs.select("x", "n", "y", "m").distinct())
+    return members, staged(_linked(pairs, sets, rows, order, words, percent, parts(spark)))
+
+
+def similar_links(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
+    """Every link between two different shingle sets, verified and once: set_x, set_y, doc_id_x, doc_id_y.
+
+    Sets are given by a hash and the smallest doc_id that has them (null if all are null). Documents of one set are not
+    linked but of one class: see `count_links`. The number of rows is that of the links, also in groups of near copies.
+    """
+    members, links = _every_link(docs, words, percent)
+    least = staged(members.groupBy("set").agg(F.min("doc_id").alias("least")))
+    of = lambda end: least.select(F.col("set").alias(f"set_{end}"), F.col("least").alias(f"doc_id_{end}"))
+    both = links.join(of("x"), F.col("x") == F.col("set_x")).join(of("y"), F.col("y") == F.col("set_y"))
+    return both.select("set_x", "set_y", "doc_id_x", "doc_id_y")
+
+
+def count_links(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
+    """One row for each document: doc_id, row (hash of the text), n_shingles, class_id, n_links.
+
+    class_id is the smallest doc_id with the same shingle set, n_links the number of other sets that this set links to. A
+    text without shingles is its own class and has no links. Repeated rows give repeated results.
+    """
+    members, links = _every_link(docs, words, percent)
+    ends = links.select(F.col("x").alias("_set")).union(links.select("y"))
+    degrees = staged(ends.groupBy("_set").agg(F.count(F.lit(1)).alias("degree")))
+    least = staged(members.groupBy("set").agg(F.min("doc_id").alias("least")).join(degrees, F.col("set") == F.col("_set"), "left").select(
+        F.col("set").alias("_set"), "least", "degree"))
+    out = members.join(least, F.col("set") == F.col("_set"))
+    return out.select("doc_id", "row", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(
+        F.col("least")).alias("class_id"), F.coalesce("degree", F.lit(0)).cast("long").alias("n_links"))
+
+
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """`docs` with one document of each component, that with the smallest doc_id; of repeated rows all stay together."""
     found = similar_documents(docs, words, percent)

@@ -161,6 +161,30 @@ def test_similar_documents_have_the_components_of_all_links(docs, empty, odd, wo
     assert jaccard.similar_documents(empty).count() == 0 and jaccard.similar_documents(odd).count() == 4
 
 
+def test_every_link_between_different_sets_is_returned(spark, docs, empty, monkeypatch):
+    monkeypatch.setattr(jaccard, "KEY_BLOCK", 3)
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(80)]
+    texts = dict(docs[1])
+    for i in range(12):  # near copies that all link to each other, one of them twice
+        own = list(base)
+        own[rng.choice((0, 79))] = f"v{i}"
+        texts[1000 + i] = " ".join(own)
+    texts[1012] = texts[1003]
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    classes: dict = {}
+    for d in sorted(texts):
+        if s := frozenset(shingles(texts[d], 4)):
+            classes.setdefault(s, d)
+    want = {(a, b) for s, a in classes.items() for t, b in classes.items() if a < b and 100 * len(s & t) >= 85 * len(s | t)}
+    found = [tuple(sorted((r.doc_id_x, r.doc_id_y))) for r in jaccard.similar_links(df, 4, 85).collect()]
+    assert sorted(found) == sorted(want) and {(1000 + a, 1000 + b) for a in range(12) for b in range(a + 1, 12)} <= want
+    got = {r.doc_id: (r.n_shingles, r.class_id, r.n_links) for r in jaccard.count_links(df, 4, 85).collect()}
+    sets = {d: frozenset(shingles(t, 4)) for d, t in texts.items()}
+    assert got == {d: (len(s), classes.get(s, d), sum(classes.get(s) in pair for pair in want)) for d, s in sets.items()}
+    assert jaccard.similar_links(empty).count() == 0 == jaccard.count_links(empty).count()
+
+
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(5)
     rows = [(i, [float(x) for x in rng.normal(size=12)]) for i in range(300)]
@@ -273,6 +297,23 @@ def test_terms_that_reveal_an_entity_are_found_and_replaced(spark, empty):
     assert pii.sanitise(df).columns == df.columns and pii.find_spans(empty).count() == 0
 
 
+def test_rare_and_distant_terms_reveal_an_entity(spark):
+    rng = random.Random(5)
+    fill = lambda n=12: " ".join(rng.choice(["lorem", "ipsum", "dolor", "sit", "amet"]) for _ in range(n))
+    rows = [(i, fill()) for i in range(300)]
+    rows[3:5] = [(i, f"Ottokar\n{fill()}\nott@mail.example.com {fill()}") for i in (3, 4)]  # two documents, another line
+    rows[10:14] = [(i, f"Walburga {fill(30)} {i}.wal@mail.example.com wal@mail.example.com") for i in range(10, 14)]  # far away
+    rows[20:22] = [(i, f"Kunibert {fill()} kun@mail.example.com") for i in (20, 21)]
+    rows[22:30] = [(i, f"Kunibert {fill()}") for i in range(22, 30)]  # mostly elsewhere
+    rows[40:44] = [(i, f"copied Adelheid {rows[40][1]} ade@mail.example.com") for i in range(40, 44)]  # one text, four times
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.term: r.disclosure for r in pii.revealing_terms(df).collect()}
+    want = {int(pii._hash_of(w).view(np.int64)) for w in ("ottokar", "walburga")}
+    assert set(got) == want and all(abs(d - 1) < 1e-9 for d in got.values())
+    rare = pii.revealing_terms(df, max_chance=1e-6).collect()  # two documents are too few for this
+    assert [r.term for r in rare] == [int(pii._hash_of("walburga").view(np.int64))]
+
+
 @pytest.mark.parametrize("keep", ["none", "first"])
 def test_shared_lines(docs, empty, odd, keep):
     df, texts = docs
