@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eavcube.llm import decontaminate, jaccard, licenses, lines, maxscore, mixing, pii, quality, suffixes, warc
+from eavcube.llm import decontaminate, divergence, jaccard, licenses, lines, maxscore, mixing, pii, quality, suffixes, warc
 from eavcube.llm.common import table
 from eavcube.session import shared_folder
 
@@ -191,3 +191,41 @@ FROM d LEFT JOIN reach ON d.doc_id = reach.x GROUP BY d.doc_id, len(s)""")
 def op4_similar_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents that share 85 % of their four-word shingles."""
     return jaccard.similar_documents(table(spark, folder, "documents"), words=4, percent=85).drop("row")
+
+
+@query(r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{80}-\x{10FFFF}]+') AS t
+    FROM documents),
+flat AS (SELECT r, lang, source, unnest(t) AS term FROM d),
+kept AS MATERIALIZED (SELECT lang, term, count(*) AS c FROM flat GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+counts AS MATERIALIZED (SELECT lang, source, term, count(*) AS c FROM flat SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+langs AS (SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang),
+groups AS MATERIALIZED (
+    SELECT lang, source, coalesce(any_value(v), 0) AS v, coalesce(sum(c), 0) AS n
+    FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN langs USING (lang) LEFT JOIN counts USING (lang, source) GROUP BY lang, source),
+shares AS MATERIALIZED (
+    SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c,
+        CAST(1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.c, 0) + 1)) // (g.n + g.v) AS HUGEINT) AS p
+    FROM groups g JOIN kept k ON g.lang = k.lang LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+all_pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source),
+terms AS (
+    SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value
+    FROM shares JOIN (
+        SELECT lang, term, 1 + (CAST(1000000000 AS HUGEINT) * (kept.c + 1)) // (langs.n + langs.v) AS q FROM kept JOIN langs USING (lang))
+        USING (lang, term) WHERE c > 0 AND p > q),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+    FROM (SELECT * FROM all_pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked
+WHERE part = 'pair' OR rank <= 200""")
+def op11_audit_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """Distances between the sources of each language, and the terms that set each source apart."""
+    return divergence.source_divergence(table(spark, folder, "documents"), min_docs=3, k=200)
