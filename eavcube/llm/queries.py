@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eavcube.llm import decontaminate, divergence, jaccard, licenses, lines, maxscore, mixing, pii, quality, suffixes, warc
+from eavcube.llm import collocations, decontaminate, divergence, jaccard, licenses, lines, maxscore, mixing, pii, quality, suffixes, warc
 from eavcube.llm.common import table
 from eavcube.session import shared_folder
 
@@ -229,3 +229,33 @@ WHERE part = 'pair' OR rank <= 200""")
 def op11_audit_divergence(spark: SparkSession, folder: str) -> DataFrame:
     """Distances between the sources of each language, and the terms that set each source apart."""
     return divergence.source_divergence(table(spark, folder, "documents"), min_docs=3, k=200)
+
+
+@query(r"""
+WITH pieces AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+grams AS (SELECT lang, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM (
+    SELECT lang, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM pieces, (VALUES (1), (2), (3), (4)) AS t(n))),
+f AS MATERIALIZED (SELECT lang, n, g, count(*) AS a, string_split(g, ' ') AS w FROM grams GROUP BY lang, n, g HAVING count(*) >= 30),
+totals AS (SELECT lang, count(*) AS n FROM grams WHERE n = 1 GROUP BY lang),
+cuts AS (
+    SELECT lang, n, g, a, k, array_to_string(w[1:k], ' ') AS x, array_to_string(w[k + 1:], ' ') AS y
+    FROM (SELECT *, unnest(range(1, n)) AS k FROM f WHERE n > 1)),
+scored AS (
+    SELECT c.lang, c.g, c.a, k, l.a AS l, r.a AS r, CAST((CAST(2000000 AS HUGEINT) * c.a) // (l.a + r.a) AS BIGINT) AS score
+    FROM cuts c JOIN f l ON l.lang = c.lang AND l.g = c.x JOIN f r ON r.lang = c.lang AND r.g = c.y),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inside AS (
+    SELECT lang, g, max(a) AS longer FROM (
+        SELECT lang, a, array_to_string(w[i:i + m - 1], ' ') AS g FROM (
+            SELECT lang, a, w, m, unnest(range(1, n - m + 2)) AS i FROM f JOIN (VALUES (2), (3)) AS t(m) ON m < n))
+    GROUP BY lang, g),
+kept AS (SELECT best.* FROM best LEFT JOIN inside USING (lang, g) WHERE longer IS NULL OR 100 * longer < 80 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank FROM kept)
+SELECT lang, CAST(rank AS BIGINT) AS rank, g AS phrase, a, l, r, totals.n, score FROM ranked JOIN totals USING (lang)
+WHERE rank <= 2000""")
+def op12_mine_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2,000 best collocations of each language."""
+    return collocations.mine_collocations(table(spark, folder, "documents"), min_count=30, first=2000)
