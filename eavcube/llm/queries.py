@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eavcube.llm import collocations, decontaminate, divergence, jaccard, licenses, lines, maxscore, mixing, pii, quality, suffixes, warc
+from eavcube.llm import collocations, decontaminate, divergence, jaccard, licenses, lines, maxscore, mixing, pii, quality, suffixes, templates, warc
 from eavcube.llm.common import table
 from eavcube.session import shared_folder
 
@@ -259,3 +259,9 @@ WHERE rank <= 2000""")
 def op12_mine_collocations(spark: SparkSession, folder: str) -> DataFrame:
     """The 2,000 best collocations of each language."""
     return collocations.mine_collocations(table(spark, folder, "documents"), min_count=30, first=2000)
+
+
+@query()
+def op13_extract_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    return templates.extract_main_text(table(spark, folder, "pages"))
