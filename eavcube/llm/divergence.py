@@ -30,11 +30,13 @@ def _count_terms(limit: int):
         for (lang, source), (total, documents) in held.items():
             columns[0] += [lang] * len(total)
             columns[1] += [source] * len(total)
-            columns[2] += [t.decode() for t in total]
+            columns[2] += total
             columns[3] += total.values()
-            columns[4] += [documents[t] for t in total]
-        types = [pa.string()] * 3 + [pa.int64()] * 2
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["lang", "source", "term", "n", "docs"])
+            columns[4] += map(documents.__getitem__, total)
+        types = [pa.string()] * 2 + [pa.binary()] + [pa.int64()] * 2
+        arrays = [pa.array(c, t) for c, t in zip(columns, types)]
+        arrays[2] = arrays[2].cast(pa.string())
+        return pa.RecordBatch.from_arrays(arrays, ["lang", "source", "term", "n", "docs"])
 
     def count(batches):
         held: dict = {}
@@ -62,7 +64,8 @@ def _plain(docs: DataFrame) -> DataFrame:
 def kept_terms(docs: DataFrame, min_docs: int = 3, flush: int = 300_000) -> DataFrame:
     """lang, term, n (in the language), sources (array of source and n): the terms in at least `min_docs` rows of their lang."""
     counted = _plain(docs).mapInArrow(_count_terms(flush), "lang string, source string, term string, n long, docs long")
-    by_source = counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    # Tasks have summed their own rows; dealt by (lang, term), both sums below need no further shuffle.
+    by_source = counted.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     # The array has an entry for each source of the language at most.
     by_lang = by_source.groupBy("lang", "term").agg(
         F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.collect_list(F.struct("source", "n")).alias("sources"))
@@ -80,9 +83,9 @@ def in_skyband(n: np.ndarray, lang_n: np.ndarray, term: np.ndarray, k: int) -> n
         high = min(low + _BLOCK, len(n))
         own_c, own_t = lang_n[low:high], term[low:high]
         before = np.flatnonzero(keep[:low])
-        count = ((lang_n[before] <= own_c[:, None]) & (term[before] <= own_t[:, None])).sum(axis=1)
+        count = np.count_nonzero((lang_n[before] <= own_c[:, None]) & (term[before] <= own_t[:, None]), axis=1)
         inside = (own_c <= own_c[:, None]) & (own_t <= own_t[:, None])
-        count += np.tril(inside, -1).sum(axis=1)
+        count += np.count_nonzero(np.tril(inside, -1), axis=1)
         keep[low:high] = count < k
     return keep
 
@@ -100,6 +103,8 @@ def _bands(k: int, limit: int):
         # Arrow orders binary values byte by byte.
         term = pc.rank(rows["term"].combine_chunks().cast(pa.binary()), tiebreaker="dense").to_numpy().astype(np.int64)
         order = np.lexsort((term, lang_n, -n, group))
+        # Ranks serve as well as the values and compare faster.
+        lang_n, term = np.unique(lang_n, return_inverse=True)[1].astype(np.int32), term.astype(np.int32)
         keep = [order[a:b][in_skyband(n[order[a:b]], lang_n[order[a:b]], term[order[a:b]], k)]
                 for a, b in zip(*slices(group[order]))]
         return rows.take(pa.array(np.concatenate(keep)))
@@ -122,7 +127,7 @@ def _bands(k: int, limit: int):
     return stream
 
 
-def skybands(points: DataFrame, k: int = 200, limit: int = 400_000, fan: int = 32) -> DataFrame:
+def skybands(points: DataFrame, k: int = 200, limit: int = 400_000, fan: int = 8) -> DataFrame:
     """Points (lang, source, term, n, lang_n) that fewer than `k` points of their group dominate.
 
     Partitions cut their own rows first; what they keep is merged in `fan` parts of each group and then by group, so no
