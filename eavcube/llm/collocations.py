@@ -38,6 +38,7 @@ class _Words:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, low: int, high: int, seeds: np.ndarray):
         part = data[low:high]
+        self.part = part
         kind = _KIND[part]
         word = kind == 0
         before = np.concatenate(([False], word[:-1]))
@@ -73,6 +74,20 @@ class _Words:
             h = mix(h * _BASES[which] + self.hash[which][first + j])
         return h
 
+    def phrases(self, place: np.ndarray, n: int) -> list[bytes]:
+        """The runs of n words that begin at `place`, joined by a space, A-Z as a-z."""
+        text = _FOLD[self.part].tobytes()
+        start, end = self.start[place].tolist(), self.end[place + n - 1].tolist()
+        found = [text[a:b] for a, b in zip(start, end)]
+        # Words that something else than one space separates are joined anew.
+        other = np.zeros(len(place), bool)
+        for j in range(n - 1):
+            gap = self.end[place + j]
+            other |= (self.start[place + j + 1] != gap + 1) | (self.part[gap] != 32)
+        for i in np.flatnonzero(other).tolist():
+            found[i] = b" ".join([text[self.start[place[i] + j] : self.end[place[i] + j]] for j in range(n)])
+        return found
+
 
 def _seed(lang: str) -> int:
     return xxhash.xxh64_intdigest(lang.encode())
@@ -99,18 +114,20 @@ def _count(n: int, frequent, bits: int, limit: int):
     the minimum is left out at any place. With n = 1 a row without a phrase holds the number of all words.
     """
 
-    def emit(held):
-        keys = list(held)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] and k[1].decode() for k in keys], pa.string()),
-             pa.array(list(held.values()), pa.int64())], ["lang", "phrase", "a"])
+    def emit(held, totals):
+        langs = [lang for lang in held for _ in held[lang]] + list(totals)
+        phrases = pa.array([p for lang in held for p in held[lang]] + [None] * len(totals), pa.binary()).cast(pa.string())
+        numbers = [a for lang in held for a in held[lang].values()] + list(totals.values())
+        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), phrases, pa.array(numbers, pa.int64())], ["lang", "phrase", "a"])
 
     def count(batches):
         held: dict = {}
+        totals: dict = {}
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             langs = batch.column("lang").to_pylist()
             seeds = np.array([_seed(x) for x in langs], np.uint64)
+            counts = [held.setdefault(x, {}) for x in langs]
             for low, high in _segments(data, offsets):
                 words = _Words(data, offsets, low, high, seeds)
                 first = words.windows(n)
@@ -120,19 +137,18 @@ def _count(n: int, frequent, bits: int, limit: int):
                     known = (frequent.value[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1 != 0
                     first = first[known[first] & known[first + 1]]
                 place, number = _distinct(words, first, n, words.chain(first, n))
-                text = _FOLD[data[low:high]].tobytes()
-                starts, ends = [words.start[place + j].tolist() for j in range(n)], [words.end[place + j].tolist() for j in range(n)]
-                for i, (doc, a) in enumerate(zip(words.doc[place].tolist(), number.tolist())):
-                    key = (langs[doc], b" ".join([text[starts[j][i] : ends[j][i]] for j in range(n)]))
-                    held[key] = held.get(key, 0) + a
+                for doc, phrase, a in zip(words.doc[place].tolist(), words.phrases(place, n), number.tolist()):
+                    own = counts[doc]
+                    own[phrase] = own.get(phrase, 0) + a
                 if n == 1:
                     for doc, a in zip(*np.unique(words.doc, return_counts=True)):
-                        held[langs[doc], None] = held.get((langs[doc], None), 0) + int(a)
-                if len(held) >= limit:
-                    yield emit(held)
-                    held = {}
+                        totals[langs[doc]] = totals.get(langs[doc], 0) + int(a)
+                if sum(map(len, held.values())) >= limit:
+                    yield emit(held, totals)
+                    held, totals = {}, {}
+                    counts = [held.setdefault(x, {}) for x in langs]
         if held:
-            yield emit(held)
+            yield emit(held, totals)
 
     return count
 
@@ -176,7 +192,8 @@ def frequent_phrases(docs: DataFrame, min_count: int = 30, longest: int = 4, bit
     for n in range(1, longest + 1):
         sent = None if n == 1 else spark.sparkContext.broadcast(table)
         counted = texts.mapInArrow(_count(n, sent, bits, flush), "lang string, phrase string, a long")
-        counted = counted.groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
+        # Tasks have summed their own rows, so there is nothing to combine before the shuffle.
+        counted = counted.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("a").alias("a"))
         counted = staged(counted.where((F.col("a") >= min_count) | F.col("phrase").isNull()))
         found = counted if found is None else found.union(counted)
         if n < longest:
