@@ -13,6 +13,9 @@ from eavcube.llm.common import staged
 
 # Doubles hold integers up to here exactly.
 EXACT = 2.0**53
+# Vectors whose posting lists are made together, and non-essential terms that are probed together.
+_BLOCK, _PROBE = 4096, 8
+_LARGE = 2.0**20
 _FOUND = "query_id long, vec_id long, score long"
 
 
@@ -50,98 +53,117 @@ def _blocks(vectors: DataFrame, scale: float, size: int) -> Iterator[dict]:
         yield block()
 
 
-def _best(query: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k best of each query, ties to the smaller id."""
-    order = np.lexsort((ids, -score, query))
-    q = query[order]
-    start = np.flatnonzero(np.concatenate(([True], q[1:] != q[:-1]))) if len(q) else np.zeros(0, np.int64)
-    rank = np.arange(len(q)) - np.repeat(start, np.diff(np.concatenate((start, [len(q)]))))
-    return order[rank < k]
+class _Postings:
+    """A block of vectors by term: for each dimension its range, and the vectors in which it is above or below 0."""
 
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+        self.ids, self.vectors = ids, vectors
+        self.low, self.high = vectors.min(axis=0, initial=0), vectors.max(axis=0, initial=0)
+        self.above, self.below = np.asfortranarray(vectors > 0), np.asfortranarray(vectors < 0)
+        self.largest = np.abs(vectors).max(initial=0)
+        self.whole = None
 
-def _search(qid, q, vid, v, best, k):
-    """Add the vectors of one batch to the best so far: (query place, vec_id, score)."""
-    d = q.shape[1]
-    if np.abs(q).max(initial=0) * np.abs(v).max(initial=0) * max(d, 1) >= EXACT:
-        full = q.astype(object) @ v.astype(object).T  # Python integers: exact at any size, saturated in a long
-        full = np.clip(full, -(2**63), 2**63 - 1).astype(np.int64) if d else np.zeros((len(q), len(v)), np.int64)
-        at = np.nonzero(qid[:, None] != vid[None, :])
-        pairs = at[0], vid[at[1]], full[at]
+    def containing(self, term: int, weight: float) -> np.ndarray:
+        """The posting list of a term as a mask: the vectors whose score it raises."""
+        return (self.above if weight > 0 else self.below)[:, term]
+
+
+def _maxscore(query: np.ndarray, block: _Postings, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places and scores of the vectors of a block that can reach `least`, the k-th best score so far.
+
+    Terms are taken by their bounds, the highest contribution each can have in the block. The last ones, whose bounds
+    together stay below `least`, are non-essential: a vector that none of the other terms raises cannot reach it. The
+    posting lists of the essential terms give the candidates; further terms are added a few at a time, for those that
+    their bounds still leave competitive.
+    """
+    bound = np.maximum(query * block.low, query * block.high)
+    order = np.argsort(-bound, kind="stable")
+    after = np.concatenate((np.cumsum(bound[order][::-1])[::-1], [0.0]))
+    raising = np.concatenate((np.cumsum(np.maximum(bound[order], 0)[::-1])[::-1], [0.0]))
+    essential = int(np.argmax(raising < least)) if raising[-1] < least else len(order)
+    if essential < len(order):
+        found = np.zeros(len(block.ids), bool)
+        for term in order[:essential]:
+            found |= block.containing(term, query[term])
+        place = np.flatnonzero(found)
     else:
-        # Terms by the largest share they can have in a score; the first half is essential.
-        low, high = v.min(axis=0, initial=0), v.max(axis=0, initial=0)
-        bound = np.maximum(q * low, q * high)
-        order = np.argsort(-bound.sum(axis=0), kind="stable")
-        need, rest = order[: (d + 1) // 2], order[(d + 1) // 2 :]
-        partial = q[:, need] @ v[:, need].T
-        least = np.full(len(q), -np.inf)
-        for_query = np.bincount(best[0], minlength=len(q)) >= k
-        np.minimum.at(worst := np.full(len(q), np.inf), best[0], best[2].astype(np.float64))
-        least[for_query] = worst[for_query]
-        # What the other terms can add at most: by their bounds, and by the lengths of both parts.
-        more = np.minimum(bound[:, rest].sum(axis=1)[:, None],
-                          np.ceil(np.linalg.norm(q[:, rest], axis=1)[:, None] * np.linalg.norm(v[:, rest], axis=1) * (1 + 1e-9)))
-        competitive = partial + more >= least[:, None]
-        competitive &= qid[:, None] != vid[None, :]
-        if competitive.mean() < 0.2:
-            at = np.nonzero(competitive)
-            score = partial[at] + np.einsum("ij,ij->i", q[at[0]][:, rest], v[at[1]][:, rest])
-            keep = score >= least[at[0]]
-            at = at[0][keep], at[1][keep]
-            pairs = at[0], vid[at[1]], score[keep].astype(np.int64)
-        else:
-            score = np.where(competitive, partial + q[:, rest] @ v[:, rest].T, -np.inf)
-            if len(v) > k:
-                least = np.maximum(least, np.partition(score, len(v) - k, axis=1)[:, len(v) - k])
-            at = np.nonzero((score >= least[:, None]) & competitive)
-            pairs = at[0], vid[at[1]], score[at].astype(np.int64)
-    joined = [np.concatenate(x) for x in zip(best, pairs)]
-    place = _best(*joined, k)
-    return tuple(x[place] for x in joined)
+        place = np.arange(len(block.ids))
+    score, at, step = np.zeros(len(place)), 0, max(essential, 1)
+    while at < len(order) and len(place):
+        terms = order[at : at + step]
+        score += block.vectors[np.ix_(place, terms)] @ query[terms] if len(place) < len(block.ids) else block.vectors[:, terms] @ query[terms]
+        at, step = at + len(terms), _PROBE
+        competitive = score + after[at] >= least
+        if not competitive.all():
+            place, score = place[competitive], score[competitive]
+    return place, score
+
+
+def _exact(query: np.ndarray, block: _Postings) -> np.ndarray:
+    """Scores that doubles may not hold, as Python integers, saturated in a long."""
+    whole = np.frompyfunc(int, 1, 1)
+    if block.whole is None:
+        block.whole = whole(block.vectors)
+    score = block.whole @ whole(query) if len(query) else np.zeros(len(block.ids), object)
+    return np.array([max(-(2**63), min(2**63 - 1, int(s))) for s in score], np.int64)
 
 
 def _shard(queries: dict, k: int, scale: float):
     def search(batches):
-        best = {d: (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)) for d in queries}
+        best = {(d, i): (np.zeros(0, np.int64), np.zeros(0, np.int64)) for d in queries for i in range(len(queries[d][0]))}
         for batch in batches:
             for d, (vid, v) in whole_vectors(batch.column(0), batch.column(1), scale).items():
-                if d not in queries or not len(vid):
+                if d not in queries:
                     continue
-                qid, q = queries[d]
-                found = []
-                for at in range(0, len(qid), 512):  # so that a score matrix stays below 50 MB
-                    own = (best[d][0] >= at) & (best[d][0] < at + 512)
-                    part = best[d][0][own] - at, best[d][1][own], best[d][2][own]
-                    place, ids, score = _search(qid[at : at + 512], q[at : at + 512], vid, v, part, k)
-                    found.append((place + at, ids, score))
-                best[d] = tuple(np.concatenate(x) for x in zip(*found)) if found else best[d]
-        for d, (place, ids, score) in best.items():
-            if len(place):
-                yield pa.RecordBatch.from_arrays([pa.array(queries[d][0][place]), pa.array(ids), pa.array(score)],
+                # Vectors so large that scores may pass what doubles hold keep to themselves.
+                large = np.abs(v).max(axis=1, initial=0) >= _LARGE
+                parts = [(vid[own][low : low + _BLOCK], v[own][low : low + _BLOCK]) for own in (~large, large)
+                         for low in range(0, int(own.sum()), _BLOCK)]
+                for block in (_Postings(*part) for part in parts):
+                    for i, (qid, q) in enumerate(zip(*queries[d])):
+                        ids, scores = best[d, i]
+                        if np.abs(q).max(initial=0) * block.largest * max(d, 1) >= EXACT:
+                            place, score = np.arange(len(block.ids)), _exact(q, block)
+                        else:
+                            place, score = _maxscore(q, block, float(scores.min()) if len(scores) >= k else -np.inf)
+                        other = block.ids[place] != qid
+                        ids = np.concatenate((ids, block.ids[place][other]))
+                        scores = np.concatenate((scores, score[other].astype(np.int64)))
+                        order = np.lexsort((ids, _descending(scores)))[:k]
+                        best[d, i] = ids[order], scores[order]
+        for (d, i), (ids, scores) in best.items():
+            if len(ids):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), queries[d][0][i])), pa.array(ids), pa.array(scores)],
                                                  [f.split()[0] for f in _FOUND.split(", ")])
 
     return search
 
 
+def _descending(scores: np.ndarray) -> np.ndarray:
+    """A sort key for the highest first; unlike a minus sign it holds for the lowest long."""
+    return ~scores
+
+
 def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256.0, block: int = 8192) -> DataFrame:
     """The k vectors with the highest integer inner product for each query: query_id, rank, vec_id, score.
 
     Both frames have vec_id and embedding; components become floor(scale * x). Queries go out in blocks of at most
-    `block` rows; each task is a shard, keeps its k best of each query and hands those to the merge. In a shard terms
-    are split by score bounds: the essential half is scored for all its vectors, the rest only while partial score plus
-    bound can reach the k-th best. A query's own vec_id is no candidate; ties go to the smaller vec_id. Null ids, null
-    vectors and vectors with null or non-finite parts take no part; vectors of another length score nothing; scores
-    beyond a long are saturated; repeated rows of one vec_id fill several ranks; no queries give no rows.
+    `block` rows; each task is a shard, finds its k best of each query with `_maxscore` and hands those to the merge.
+    Scores are exact integers, in doubles as long as these hold them. A query's own vec_id is no candidate; ties go to
+    the smaller vec_id. Null ids, null vectors and vectors with null or non-finite parts take no part; vectors of another
+    length score nothing; scores beyond a long are saturated. A query row that occurs again is the same query; different
+    vectors of one query id compete for its k ranks. Repeated rows of one candidate fill several ranks. No queries give
+    no rows. The result does not depend on `block`.
     """
     vectors = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
-    queries = queries.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
+    queries = queries.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")).distinct()
     merged = None
     for part in _blocks(queries, scale, block):
         part = {d: x for d, x in part.items() if len(x[0])}
         found = staged(vectors.mapInArrow(_shard(part, k, scale), _FOUND))
-        by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        found = found.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
         merged = found if merged is None else merged.union(found)
     if merged is None:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    return merged.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = merged.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
