@@ -252,15 +252,14 @@ def source_divergence(docs: DataFrame, min_docs: int = 3, k: int = 200) -> DataF
     zero = F.when(F.col("n_terms") > 0, share(F.lit(0).cast("long"), F.col("total"), F.col("n_terms"))).otherwise(F.lit(1))
     groups = staged(groups.withColumn("zero", zero.cast("long")))
 
-    scored = flat.join(groups, ["lang", "source"]).select(
-        "lang", "source", "term", share(F.col("n"), F.col("total"), F.col("n_terms")).alias("p"), "zero")
-    pairs = _source_pairs(scored, groups).withColumn("part", F.lit("pair"))
-
     p = share(F.col("n"), F.col("total"), F.col("n_terms"))
     q = share(F.col("lang_n"), F.col("lang_total"), F.col("n_terms"))
-    ranked = skybands(flat, k).join(groups, ["lang", "source"]).select(
-        "lang", "source", F.col("term").alias("item"), p.alias("p"), q.alias("q")).where("p > q")
-    over = ranked.select("lang", "source", "item", gap(F.col("p"), F.col("q")).alias("value"), F.lit("term").alias("part"))
+    scored = flat.join(groups, ["lang", "source"]).select("lang", "source", "term", "n", "lang_n", p.alias("p"), q.alias("q"), "zero")
+    pairs = _source_pairs(scored.select("lang", "source", "term", "p", "zero"), groups).withColumn("part", F.lit("pair"))
+
+    # What dominates an over-represented term is over-represented too, so the others need no place in the skybands.
+    over = skybands(scored.where("p > q"), k).join(groups, ["lang", "source"]).select(
+        "lang", "source", F.col("term").alias("item"), gap(p, q).alias("value"), F.lit("term").alias("part"))
 
     order = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), F.asc("item"))
     columns = ["lang", "source", "part", "item", "value", "rank"]
