@@ -55,6 +55,23 @@ def text_hash(c: Column) -> Column:
     return F.xxhash64(c)
 
 
+def quoted(name: str) -> str:
+    """A column name as it is, also with dots."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores in front where the frame has such a column."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 # ---- texts of a batch as bytes
 
 _IS_SPACE = np.zeros(256, bool)

@@ -9,9 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eavcube.llm.common import mix, shingle_sets
+from eavcube.llm.common import mix, shingle_sets, staged, text_bytes, text_hash, unused, word_hashes
 
-_HITS = "item_id long, doc_id long, n_shingles long, n_found long"
+_HITS = "item_id long, doc_id long, row long, n_shingles long, n_found long"
 
 
 def sketch_size(n: int, percent: int) -> int:
@@ -24,9 +24,11 @@ def _item_sets(words: int):
     def sets(batches):
         for batch in batches:
             h, at = shingle_sets(batch.column("text"), words)
+            data, offsets = text_bytes(batch.column("text"))
+            n_words = np.bincount(word_hashes(data, offsets)[1], minlength=batch.num_rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("item_id"), pa.LargeListArray.from_arrays(pa.array(at), pa.array(h.view(np.int64))).cast(pa.list_(pa.int64()))],
-                ["item_id", "shingles"])
+                [batch.column("item_id"), pa.LargeListArray.from_arrays(pa.array(at), pa.array(h.view(np.int64))).cast(pa.list_(pa.int64())),
+                 pa.array(np.where(n_words < words, n_words, 0).astype(np.int32))], ["item_id", "shingles", "short"])
 
     return sets
 
@@ -35,10 +37,10 @@ def _blocks(items: DataFrame, words: int, limit: int) -> Iterator[list]:
     """The items, streamed through the driver, in blocks of about `limit` shingles."""
     held, size = [], 0
     shaped = items.select(F.col("item_id").cast("long"), "text").where("item_id is not null").mapInArrow(
-        _item_sets(words), "item_id long, shingles array<long>")
+        _item_sets(words), "item_id long, shingles array<long>, short int")
     for row in shaped.toLocalIterator():
         if row[1]:
-            held.append((row[0], np.array(row[1], np.int64).view(np.uint64)))
+            held.append((row[0], np.array(row[1], np.int64).view(np.uint64), row[2]))
             size += len(row[1])
         if size >= limit:
             yield held
@@ -48,12 +50,18 @@ def _blocks(items: DataFrame, words: int, limit: int) -> Iterator[list]:
 
 
 class _Index:
-    """Sketches of one block of items by size partition, and their whole sets."""
+    """Sketches of one block of items by size partition, and their whole sets; items of fewer words than a shingle by
+    their number of words."""
 
     def __init__(self, items: list, percent: int):
+        self.short = {}
+        for k in sorted({k for _, _, k in items if k}):
+            own = sorted((int(s[0]), i) for i, s, n in items if n == k)
+            self.short[k] = np.array([h for h, _ in own], np.uint64), np.array([i for _, i in own], np.int64)
+        items = [(i, s) for i, s, k in items if not k]
         self.ids = np.array([i for i, _ in items], np.int64)
         self.sizes = np.array([len(s) for _, s in items], np.int64)
-        self.shingles = np.concatenate([s for _, s in items])
+        self.shingles = np.concatenate([s for _, s in items] or [np.zeros(0, np.uint64)])
         self.starts = np.concatenate(([0], np.cumsum(self.sizes)[:-1]))
         keys, owners = [], []
         # Size partitions: all items of a power of two share one sketch length, that of the largest.
@@ -66,7 +74,7 @@ class _Index:
                 small = s[np.argsort(mix(s), kind="stable")[:length]]
                 keys.append(small)
                 owners.append(np.full(len(small), i))
-        keys, owners = np.concatenate(keys), np.concatenate(owners)
+        keys, owners = np.concatenate(keys or [np.zeros(0, np.uint64)]), np.concatenate(owners or [np.zeros(0, np.int64)])
         order = np.argsort(keys, kind="stable")
         self.keys, self.owners = keys[order], owners[order]
 
@@ -88,15 +96,21 @@ def _scan(parts, words: int, percent: int):
             h, at = shingle_sets(batch.column("text"), words)
             doc = np.repeat(np.arange(batch.num_rows), np.diff(at))
             rows, items = index.candidates(h, doc)
-            ids = batch.column("doc_id").to_pylist()
+            ids, hashes = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist()
             out = []
+            for k, (keys, owners) in index.short.items():
+                runs, ends = shingle_sets(batch.column("text"), k)
+                low, high = np.searchsorted(keys, runs, "left"), np.searchsorted(keys, runs, "right")
+                for at_ in np.flatnonzero(high > low):
+                    d = int(np.searchsorted(ends, at_, "right")) - 1
+                    out += [(int(i), ids[d], hashes[d], 1, 1) for i in owners[low[at_] : high[at_]]]
             for d, i in zip(rows, items):
                 own = index.shingles[index.starts[i] : index.starts[i] + index.sizes[i]]
                 here = h[at[d] : at[d + 1]]
                 place = np.searchsorted(here, own)
                 n = int((here[np.minimum(place, len(here) - 1)] == own).sum())
                 if 100 * n >= percent * len(own):
-                    out.append((int(index.ids[i]), ids[d], len(own), n))
+                    out.append((int(index.ids[i]), ids[d], hashes[d], len(own), n))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)],
                                                  [f.split()[0] for f in _HITS.split(", ")])
@@ -113,11 +127,17 @@ def find_contained(docs: DataFrame, items: DataFrame, words: int = 5, percent: i
     candidates are verified on the item's whole set. Items go out in blocks of about `block` shingles, so what is
     broadcast is bounded; each block is one scan of the documents, without a shuffle.
 
-    A-Z count as a-z; a text of fewer words is one shingle, so it is only found in a text of just these words. Null or
-    wordless texts have no shingles and are never found. Rows with a null item_id are no items; a null doc_id is
-    returned as null. Repeated rows give one result row. Empty tables give no rows; other columns are not looked at.
+    A-Z count as a-z. An item of fewer words is one shingle of all its words, looked up among the documents' runs of as
+    many words. Null or wordless texts have no shingles and are never found. Rows with a null item_id are no items; a null
+    doc_id is returned as null. Repeated rows give one result row. Empty tables give no rows; other columns are not
+    looked at.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    return _find(docs, items, words, percent, block).drop("row").distinct()
+
+
+def _find(docs: DataFrame, items: DataFrame, words: int, percent: int, block: int = 2_000_000) -> DataFrame:
+    """`find_contained` with the hash of the text in `row`, which tells rows of one doc_id apart."""
+    docs = docs.select(F.col("doc_id").cast("long"), "text", text_hash("text").alias("row"))
     spark, found = docs.sparkSession, None
     for held in _blocks(items, words, block):
         parts = spark.sparkContext.broadcast(vars(_Index(held, percent)))
@@ -130,8 +150,11 @@ def find_contained(docs: DataFrame, items: DataFrame, words: int = 5, percent: i
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs` that hold no benchmark item; rows with a null doc_id stay."""
-    from eavcube.llm.common import staged
+    """The rows of `docs` that hold no benchmark item, with all their columns, whatever their names.
 
-    leaks = staged(find_contained(docs, items, words, percent).select("doc_id").distinct())
-    return docs.join(leaks, docs["doc_id"].cast("long") == leaks["doc_id"], "left_anti")
+    Rows are told apart by (doc_id, text), so a clean text stays that shares its id, or the lack of one, with a leaking
+    one, and copies of a leaking row all go. Null, empty and very long texts: see `find_contained`.
+    """
+    doc, row = unused(docs, "_l_doc", "_l_row")
+    leaks = staged(_find(docs, items, words, percent).select(F.col("doc_id").alias(doc), F.col("row").alias(row)).distinct())
+    return docs.join(leaks, docs["doc_id"].cast("long").eqNullSafe(F.col(doc)) & (text_hash(docs["text"]) == F.col(row)), "left_anti")
