@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eavcube.llm.common import SPACES, lower_ascii, parts, staged, text_hash
+from eavcube.llm.common import SPACES, lower_ascii, parts, quoted, staged, text_hash, unused
 
 _RUNS = "kind int, h1 long, h2 long, doc_id long, row long, pos int, n_docs long, part int, first boolean"
 _RUN_NAMES = [f.split()[0] for f in _RUNS.split(", ")]
@@ -26,45 +26,85 @@ def line_key(line: Column) -> Column:
     return lower_ascii(F.btrim(line, F.lit(SPACES)))
 
 
+class _Run:
+    """A line's rows as they pass: its documents so far, its first row, and rows that wait for enough documents."""
+
+    def __init__(self, block: dict, at: int, edge: bool):
+        self.key = block["h1"][at], block["h2"][at]
+        self.lead = {c: block[c][at] for c in ("doc_id", "known", "row", "pos")}
+        self.edge, self.n_docs, self.last, self.held = edge, 0, None, []
+
+
 def _runs(min_docs: int, keep_first: bool):
     """Stream sorted (hash, document, position) rows of one range partition.
 
-    Runs inside the partition are decided here. Its first and last run may go on in a neighbour, so their rows leave
-    undecided (kind 1) with one summary each (kind 2).
+    Lines inside the partition are decided here; a line's rows wait until it has documents enough and then leave as they
+    come. The first line may have begun in the partition before, so its rows leave undecided (kind 1) with a summary (kind
+    2); so do those of the last one, unless it has documents enough already.
     """
 
-    def rows(kind, run, mask, n_docs, first):
+    def rows(kind, block, mask, n_docs, first):
         n = int(mask.sum())
-        columns = [np.full(n, kind, np.int32)] + [run[c][mask] for c in ("h1", "h2")]
+        columns = [np.full(n, kind, np.int32)] + [block[c][mask] for c in ("h1", "h2")]
         return pa.RecordBatch.from_arrays(
             [pa.array(c) for c in columns]
-            + [pa.array(run["doc_id"][mask], mask=~run["known"][mask]), pa.array(run["row"][mask]),
-               pa.array(run["pos"][mask].astype(np.int32)), pa.array(n_docs[mask].astype(np.int64)),
+            + [pa.array(block["doc_id"][mask], mask=~block["known"][mask]), pa.array(block["row"][mask]),
+               pa.array(block["pos"][mask].astype(np.int32)), pa.array(n_docs[mask].astype(np.int64)),
                pa.array(np.full(n, TaskContext.get().partitionId(), np.int32)), pa.array(first[mask])], _RUN_NAMES)
 
-    def decide(block, edge_first, edge_last):
-        """Rows to drop, undecided rows and summaries of a block of whole runs."""
+    def whole(block):
+        """Rows to drop of a block of whole lines."""
         h1, h2 = block["h1"], block["h2"]
-        n = len(h1)
-        new_run = np.ones(n, bool)
+        new_run = np.ones(len(h1), bool)
         new_run[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
-        same_doc = np.zeros(n, bool)
+        same_doc = np.zeros(len(h1), bool)
         same_doc[1:] = (~new_run[1:] & (block["doc_id"][1:] == block["doc_id"][:-1])
                         & (block["known"][1:] == block["known"][:-1]))
         run = np.cumsum(new_run) - 1
         n_docs = np.bincount(run, weights=~same_doc).astype(np.int64)[run]
         lead = np.flatnonzero(new_run)[run]
-        first = np.ones(n, bool)
+        first = np.ones(len(h1), bool)
         for c in ("doc_id", "known", "row", "pos"):
             first &= block[c] == block[c][lead]
-        edge = (run == 0) & edge_first | (run == run[-1]) & edge_last
-        drop = ~edge & (n_docs >= min_docs) & ~(first & keep_first)
-        for kind, mask in ((0, drop), (1, edge), (2, edge & new_run)):
-            if mask.any():
-                yield rows(kind, block, mask, n_docs, first)
+        drop = (n_docs >= min_docs) & ~(first & keep_first)
+        if drop.any():
+            yield rows(0, block, drop, n_docs, first)
+
+    def leave(run, kind, block):
+        first = np.ones(len(block["h1"]), bool)
+        for c, value in run.lead.items():
+            first &= block[c] == value
+        mask = ~first if kind == 0 and keep_first else np.ones(len(first), bool)
+        if mask.any():
+            yield rows(kind, block, mask, np.full(len(first), run.n_docs), first)
+
+    def feed(run, block):
+        """Further rows of a line."""
+        new_doc = np.ones(len(block["h1"]), bool)
+        new_doc[1:] = (block["doc_id"][1:] != block["doc_id"][:-1]) | (block["known"][1:] != block["known"][:-1])
+        new_doc[0] = run.last != (block["doc_id"][0], block["known"][0])
+        run.n_docs += int(new_doc.sum())
+        run.last = block["doc_id"][-1], block["known"][-1]
+        if run.edge:
+            yield from leave(run, 1, block)
+        elif run.n_docs >= min_docs:
+            for held in [*run.held, block]:
+                yield from leave(run, 0, held)
+            run.held = []
+        else:
+            run.held.append(block)
+
+    def close(run, end=False):
+        """A line has no more rows in this partition; `end` if none follows it."""
+        if end and not run.edge:
+            for held in run.held:
+                yield from leave(run, 1, held)
+        if end or run.edge:
+            one = {c: np.array([v]) for c, v in (("h1", run.key[0]), ("h2", run.key[1]), *run.lead.items())}
+            yield rows(2, one, np.ones(1, bool), np.array([run.n_docs]), np.ones(1, bool))
 
     def stream(batches):
-        held, begun = None, False
+        run = None
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -72,16 +112,24 @@ def _runs(min_docs: int, keep_first: bool):
             ids = batch.column("doc_id")
             block["known"] = ids.is_valid().to_numpy(zero_copy_only=False)
             block["doc_id"] = ids.fill_null(0).to_numpy(zero_copy_only=False)
-            if held is not None:
-                block = {c: np.concatenate((held[c], block[c])) for c in block}
-            other = np.flatnonzero((block["h1"] != block["h1"][-1]) | (block["h2"] != block["h2"][-1]))
-            cut = other[-1] + 1 if len(other) else 0
-            if cut:
-                yield from decide({c: v[:cut] for c, v in block.items()}, not begun, False)
-                begun = True
-            held = {c: v[cut:] for c, v in block.items()}
-        if held is not None:
-            yield from decide(held, True, True)
+            cut = lambda a, b: {c: v[a:b] for c, v in block.items()}
+            starts = np.flatnonzero((block["h1"][1:] != block["h1"][:-1]) | (block["h2"][1:] != block["h2"][:-1])) + 1
+            n = batch.num_rows
+            lead = int(starts[0]) if len(starts) else n
+            if run is not None and run.key != (block["h1"][0], block["h2"][0]):
+                yield from close(run)
+                run = _Run(block, 0, False)
+            run = run or _Run(block, 0, True)
+            yield from feed(run, cut(0, lead))
+            if lead < n:
+                yield from close(run)
+                last = int(starts[-1])
+                if lead < last:
+                    yield from whole(cut(lead, last))
+                run = _Run(block, last, False)
+                yield from feed(run, cut(last, n))
+        if run is not None:
+            yield from close(run, True)
 
     return stream
 
@@ -149,13 +197,17 @@ def _kept_lines(text: pa.Array, keep: pa.Array) -> pa.Array:
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, text: str = "text", dropped: str = "n_dropped") -> DataFrame:
-    """All rows and columns of `docs` with the kept lines in `text` and the number of lost lines in `dropped`."""
-    marked = bitmaps.select(F.col("doc_id").alias("_b_doc"), F.col("row").alias("_b_row"),
-                            F.col("n_dropped").alias("_b_n"), F.col("keep").alias("_b_keep"))
-    joined = docs.join(marked, docs["doc_id"].cast("long").eqNullSafe(F.col("_b_doc"))
-                       & (text_hash(docs["text"]) == F.col("_b_row")), "left")
-    kept = joined.withColumn("_b_text", _kept_lines(docs["text"], F.col("_b_keep")))
-    columns = [F.col("_b_text").alias(text) if c == "text" == text else docs[c] for c in docs.columns if c != dropped]
+    """All rows and columns of `docs` with the kept lines in `text` and the number of lost lines in `dropped`.
+
+    A column of `docs` with one of these two names is replaced, all others stay, whatever their names. Null ids, repeated
+    rows and several texts under one id are told apart by (doc_id, text). A null text that loses nothing stays null.
+    """
+    doc, row, n, keep, out = unused(docs, "_b_doc", "_b_row", "_b_n", "_b_keep", "_b_text")
+    marked = bitmaps.select(F.col("doc_id").alias(doc), F.col("row").alias(row), F.col("n_dropped").alias(n), F.col("keep").alias(keep))
+    joined = docs.join(marked, docs["doc_id"].cast("long").eqNullSafe(F.col(doc)) & (text_hash(docs["text"]) == F.col(row)), "left")
+    kept = joined.withColumn(out, _kept_lines(docs["text"], F.col(keep)))
+    columns = [F.col(out).alias(text) if c == "text" == text else F.col(quoted(c)) for c in docs.columns
+               if c != dropped and (c != text or text == "text")]
     if text != "text":
-        columns.append(F.col("_b_text").alias(text))
-    return kept.select(*columns, F.coalesce("_b_n", F.lit(0)).cast("long").alias(dropped))
+        columns.append(F.col(out).alias(text))
+    return kept.select(*columns, F.coalesce(n, F.lit(0)).cast("long").alias(dropped))
