@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eavcube.llm.common import mix, pack, parts, shingle_sets, slices, staged, text_hash, unpack
+from eavcube.llm.common import mix, pack, parts, quoted, shingle_sets, slices, staged, text_hash, unpack, unused
 from eavcube.llm.components import components
 
 # Shingle frequencies are counted in this many cells; an order of shingles needs no exact counts.
@@ -104,13 +104,19 @@ def _facts(words: int):
 
 
 def _sum_counts(key, group):
-    total = sum(unpack(b, np.int64) for b in group.column("counts").to_pylist())
+    total = np.zeros(CELLS // PIECES, np.int64)
+    for blob in group.column("counts"):
+        total += unpack(blob.as_py(), np.int64)
     return pa.table({"cell": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([pack(total)], pa.binary())})
 
 
 def _order(facts: DataFrame) -> Order:
     """Counts of all documents; CELLS numbers reach the driver at any size of the input."""
-    summed = facts.where("kind = 1").select("cell", "counts").groupBy("cell").applyInArrow(_sum_counts, "cell int, counts binary")
+    sent = facts.where("kind = 1").select("cell", "counts")
+    # Summed in two steps, so that no group holds the counts of all tasks.
+    part = F.pmod(F.xxhash64("counts"), F.lit(1024))
+    summed = sent.groupBy("cell", part.alias("part")).applyInArrow(_sum_counts, "cell int, counts binary")
+    summed = summed.groupBy("cell").applyInArrow(_sum_counts, "cell int, counts binary")
     counts = np.zeros(CELLS, np.int64)
     width = CELLS // PIECES
     for cell, blob in summed.collect():
@@ -340,6 +346,12 @@ def similar_documents(docs: DataFrame, words: int = 4, percent: int = 85) -> Dat
     wordless text has none, links with nothing and is its own component. Rows with a null doc_id link but are never a
     component_id unless alone (null). Repeated rows give repeated results. Other columns are not looked at.
     """
+    return _similar(docs, words, percent).select("doc_id", "row", "n_shingles", F.when(
+        F.col("_empty"), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+
+
+def _similar(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Rows of `similar_documents` with the number of their component in _group, its smallest doc_id, and if they are empty."""
     spark = docs.sparkSession
     slots = parts(spark) | 1
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash("text").alias("row"), "text")
@@ -373,8 +385,7 @@ def similar_documents(docs: DataFrame, words: int = 4, percent: int = 85) -> Dat
         "doc_id", "row", F.col("n").alias("n_shingles"), F.coalesce("component", "set").alias("_group"), empty.alias("_empty")))
     least = staged(named.where(~F.col("_empty")).groupBy("_group").agg(F.min("doc_id").alias("least")).select(
         F.col("_group").alias("_g"), "least"))
-    out = named.join(least, (F.col("_group") == F.col("_g")) & ~F.col("_empty"), "left")
-    return out.select("doc_id", "row", "n_shingles", F.when(F.col("_empty"), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+    return named.join(least, (F.col("_group") == F.col("_g")) & ~F.col("_empty"), "left")
 
 
 # Members of a prefix shingle that a block of its pairs takes on one side.
@@ -448,8 +459,27 @@ def count_links(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """`docs` with one document of each component, that with the smallest doc_id; of repeated rows all stay together."""
-    found = similar_documents(docs, words, percent)
-    gone = staged(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_d"), F.col("row").alias("_r")).distinct())
-    return docs.hint("merge").join(gone, docs["doc_id"].cast("long").eqNullSafe(F.col("_d")) & (text_hash(docs["text"]) == F.col("_r")), "left_anti")
+    """`docs` with one row of each component, with all its columns, whatever their names.
+
+    The row with the smallest doc_id stays, a null one last; of several texts under that id the one with the smallest hash,
+    and of repeated rows one. Null, empty and wordless texts link with nothing: of these one row stays for each doc_id and
+    text. Very long texts are read whole; an empty table stays empty.
+    """
+    doc, row, again = unused(docs, "_k_doc", "_k_row", "_k_again")
+    found = _similar(docs, words, percent).select("_group", "_empty", "doc_id", "row")
+    counted = found.groupBy("_group", "_empty", "doc_id", "row").agg(F.count(F.lit(1)).alias("n"))
+    # Each text without shingles is a component of its own.
+    alone = F.when(F.col("_empty"), F.struct("doc_id", "row"))
+    first = counted.groupBy("_empty", F.when(~F.col("_empty"), F.col("_group")), alone).agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row", "n")).alias("first"))
+    first = staged(first.select(F.col("first.doc_id").alias(doc), F.col("first.row").alias(row), (F.col("first.n") > 1).alias(again)))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(doc)) & (text_hash(docs["text"]) == F.col(row))
+    kept = docs.hint("merge").join(first, same)
+    columns = [F.col(quoted(c)) for c in docs.columns]
+    if first.where(F.col(again)).isEmpty():
+        return kept.select(*columns)
+    # Rows that are there again, with whatever other columns: one of each.
+    plain = [F.col(quoted(f.name)) for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    group = Window.partitionBy(doc, row).orderBy(F.xxhash64(*plain))
+    repeated = kept.where(F.col(again)).withColumn(again, F.row_number().over(group)).where(F.col(again) == 1)
+    return kept.where(~F.col(again)).select(*columns).union(repeated.select(*columns))
