@@ -226,6 +226,21 @@ def _base(texts: pa.Array) -> pa.Array:
     return pa.array([[dict(zip(("kind", "start", "end"), s)) for s in base_spans(t.as_py() or "")] for t in texts], _SPANS)
 
 
+def _covered(spans: list[dict], first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Which ranges overlap one of the spans; these are merged, so that only the one before a range's end can."""
+    merged: list[list[int]] = []
+    for a, b in sorted((s["start"], s["end"]) for s in spans):
+        if merged and a <= merged[-1][1]:
+            merged[-1][1] = max(b, merged[-1][1])
+        else:
+            merged.append([a, b])
+    if not merged:
+        return np.zeros(len(first), bool)
+    starts, ends = np.array(merged).T
+    at = np.searchsorted(starts, last, "left") - 1
+    return (at >= 0) & (ends[at] > first)
+
+
 def _with_terms(text: Column, spans: Column, terms: np.ndarray) -> Column:
     """`spans` and those of the given terms that lie outside of them."""
 
@@ -234,19 +249,19 @@ def _with_terms(text: Column, spans: Column, terms: np.ndarray) -> Column:
         h, doc, start, end = _terms(data, offsets)
         at = np.minimum(np.searchsorted(terms, h), len(terms) - 1)
         hit = np.flatnonzero(terms[at] == h)
-        extra: dict = {}
-        for i in hit:
-            head = data[offsets[doc[i]] : end[i]]
-            points = np.cumsum((head & 0xC0) != 0x80)
-            a = int(points[start[i] - offsets[doc[i]]]) - 1
-            extra.setdefault(int(doc[i]), []).append((a, int(points[-1])))
+        # Code points up to each byte, counted once for all texts.
+        points = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
+        own = doc[hit]
+        first, last = points[start[hit]] - points[offsets[own]], points[end[hit]] - points[offsets[own]]
+        ends = np.searchsorted(own, np.arange(len(texts)), "right")
         out = []
-        for i, own in enumerate(found.to_pylist()):
-            own = own or []
-            for a, b in extra.get(i, ()):
-                if not any(s["start"] < b and a < s["end"] for s in own):
-                    own.append({"kind": 4, "start": a, "end": b})
-            out.append(own)
+        for i, spans_ in enumerate(found.to_pylist()):
+            spans_ = spans_ or []
+            a, b = first[ends[i - 1] if i else 0 : ends[i]], last[ends[i - 1] if i else 0 : ends[i]]
+            if len(a):
+                free = ~_covered(spans_, a, b)
+                spans_ += [{"kind": 4, "start": x, "end": y} for x, y in zip(a[free].tolist(), b[free].tolist())]
+            out.append(spans_)
         return pa.array(out, _SPANS)
 
     return F.arrow_udf(add, SPANS)(text, spans)
