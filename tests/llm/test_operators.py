@@ -353,3 +353,117 @@ def test_line_digest_of_the_contract(spark):
     rows = spark.createDataFrame([(i, text) for i in range(12)], "doc_id long, text string")
     got = lines.apply_bitmaps(rows, lines.shared_line_bitmaps(rows, 10), text="kept").collect()
     assert {hashlib.sha256(r.kept.encode()).hexdigest() for r in got} == {hashlib.sha256(b"\n").hexdigest()} and {r.n_dropped for r in got} == {2}
+
+
+NAMES = ["_dropped", "_b_doc", "_b_row", "_b_n", "_b_keep", "_b_text", "_l_doc", "_l_row", "_k_doc", "_k_row", "_k_again", "_s", "_whole",
+         "_end", "_cut", "_key", "_row", "_source", "_copies", "_d", "_r", "_mix_key", "copy", "a.b", "line", "n", "set", "_pii_spans"]
+
+
+@pytest.fixture(scope="module")
+def clashing(spark):
+    """Documents whose other columns have the names of helper columns, one with a dot."""
+    prepare(spark)
+    texts = ["one two three four five six seven", "one two three four five six seven", "shared\nown text of this one", None, "", "x y"]
+    rows = [(i // 2 if i < 4 else None, t, "en", f"s{i % 2}", 5) for i, t in enumerate(texts)] + [(20 + i, f"shared\nrow {i} " + "w " * i, "en", "s1", 3) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for i, name in enumerate(NAMES):
+        df = df.withColumn(name, F.lit(f"v{i}"))
+    return df
+
+
+def test_helper_columns_clash_with_nothing(spark, clashing):
+    bitmaps = lines.shared_line_bitmaps(clashing, min_docs=10)
+    kept = lines.apply_bitmaps(clashing, bitmaps, dropped="lost")
+    assert kept.columns == [*clashing.columns, "lost"] and kept.count() == clashing.count()
+    assert kept.where("lost = 1").count() == 13 and kept.where("text like 'shared%'").count() == 0
+    one = jaccard.keep_one(clashing)
+    assert one.columns == clashing.columns and one.select("`a.b`", "copy").distinct().collect() == [(f"v{NAMES.index('a.b')}", f"v{NAMES.index('copy')}")]
+    items = spark.createDataFrame([(1, "two three four five six")], "item_id long, text string")
+    clean = decontaminate.decontaminate(clashing, items)
+    assert clean.columns == clashing.columns and clean.count() == clashing.count() - 2
+    mixed = mixing.repeat_documents(clashing)
+    assert mixed.columns == [*clashing.columns, "_copy"] and {r["copy"] for r in mixed.collect()} == {f"v{NAMES.index('copy')}"}
+    assert pii.sanitise(clashing).columns == clashing.columns
+
+
+def test_leaking_rows_are_told_apart_by_text(spark):
+    rows = [(1, "a clean text under a shared id here"), (1, "so q1 q2 q3 q4 q5 q6 q7 it leaks"), (None, "q1 q2 q3 q4 q5 q6 q7"), (None, "clean without an id"),
+            (2, "long text with Answer is 42 in it " + "w " * 500), (3, "answer is 43"), (4, "answer IS 42"), (5, "answer is"), (6, None), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(10, "q1 q2 q3 q4 q5 q6 q7"), (11, "answer is 42"), (12, ""), (13, None), (None, "clean without an id"), (14, "Answer is 42")],
+                                  "item_id long, text string")
+    kept = {tuple(r) for r in decontaminate.decontaminate(docs, items).collect()}
+    assert kept == {r for i, r in enumerate(rows) if i not in (1, 2, 4, 6)}
+    found = {(r.item_id, r.doc_id, r.n_shingles, r.n_found) for r in decontaminate.find_contained(docs, items).collect()}
+    assert found == {(10, 1, 3, 3), (10, None, 3, 3), *((i, d, 1, 1) for i in (11, 14) for d in (2, 4))}
+
+
+def test_one_row_of_each_component_is_kept(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    near = long.replace("w59", "v59")
+    rows = [(5, long, "a"), (5, long, "a"), (3, near, "b"), (None, long, "c"), (3, "", "d"), (3, "", "d"), (4, None, "e"), (None, "alone with null id", "f"),
+            (None, "alone with null id", "f"), (None, "another text of no id at all", "g"), (7, "same id other text x y z", "h"), (7, "same id but unlike text p q r", "i")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, other string").repartition(4)
+    got = sorted((tuple(r) for r in jaccard.keep_one(docs).collect()), key=repr)
+    assert got == sorted([rows[2], rows[4], rows[6], rows[7], rows[9], rows[10], rows[11]], key=repr)
+
+
+def test_rows_of_one_key_are_divided(spark):
+    rows = [(None, "a b c d", "s0")] * 50 + [(i, "a b c d", "s1") for i in range(150)] + [(7, "a b c d", "s2")] * 30
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    weights = spark.createDataFrame([("s0", 3), ("s1", 9), ("s2", 2)], "source string, weight int")
+    got = mixing.mix_sources(docs, weights).collect()
+    taken, target = {}, {}
+    for r in got:
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+        target[r.source] = r.target
+        assert r.copies <= 2
+    assert len(got) == len(rows) and all(abs(taken[s] - target[s]) <= 2 for s in taken)
+    copies = mixing.repeat_documents(docs, weights).groupBy("source").count().collect()
+    assert {r.source: 4 * r["count"] for r in copies} == taken
+
+
+@pytest.mark.parametrize("batch", ["1", "3", "10000"])
+def test_lines_that_pass_in_many_batches(spark, batch):
+    """Long runs of one line, cut by Arrow batches and by partitions."""
+    rng = random.Random(4)
+    rows = [(rng.choice([None, *range(40)]), "\n".join(rng.choice(["hot", " HOT ", "rare", "b", "c", f"own {i}"]) for _ in range(rng.randint(1, 9)))) for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    where: dict = {}
+    for d, t in rows:
+        for pos, line in enumerate(t.split("\n")):
+            where.setdefault(line.strip().lower(), set()).add((d is not None, d or 0))
+    common = {k for k, ids in where.items() if len(ids) >= 10 and k}
+    order = lambda d, t: (d is not None, d or 0)  # noqa: E731  Spark sorts nulls first
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    prepare(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        none = {(r.doc_id, r.text, r.kept) for r in lines.apply_bitmaps(df, lines.shared_line_bitmaps(df, 10), text="kept").collect()}
+        first = [(r.doc_id, r.text, r.kept) for r in lines.apply_bitmaps(df, lines.shared_line_bitmaps(df, 10, keep="first"), text="kept").collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert none == {(d, t, "\n".join(x for x in t.split("\n") if x.strip().lower() not in common)) for d, t in rows}
+    lines_of = lambda t: [x.strip().lower() for x in t.split("\n")]
+    for key in common:
+        keepers = {(d, t) for d, t, kept in first if key in lines_of(kept)}
+        lowest = min(order(d, t) for d, t in rows if key in lines_of(t))
+        assert len(keepers) == 1 and order(*next(iter(keepers))) == lowest
+        assert sum(lines_of(kept).count(key) for kept in {(d, t, k)[2] for d, t, k in first}) == 1
+
+
+def test_terms_of_a_very_long_text_take_linear_time(spark):
+    words = ["Überraschung", "mail", "me@x.example.com", "term"]
+    text = " ".join(words[i % 4] for i in range(300_000))
+    data, offsets = pii.text_bytes(__import__("pyarrow").array([text[:200], text]))
+    terms = np.unique(pii._terms(data, offsets)[0])
+    df = spark.createDataFrame([(1, text), (2, text[:300])], "doc_id long, text string")
+    found = df.select("text", pii._base(F.col("text")).alias("spans"))
+    begin = __import__("time").time()
+    got = found.select("text", pii._with_terms(F.col("text"), F.col("spans"), terms).alias("spans")).collect()
+    assert __import__("time").time() - begin < 90
+    for r in got:
+        spans = sorted((s.start, s.end, s.kind) for s in r.spans)
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+        texts = {(r.text[a:b], kind) for a, b, kind in spans if b < 290}
+        assert ("me@x.example.com", 0) in texts and ("Überraschung", 4) in texts and ("mail", 4) in texts
