@@ -18,49 +18,74 @@ _KIND = np.zeros(256, np.uint8)
 _KIND[[ord(c) for c in BLANKS]] = 1
 _KIND[[ord(c) for c in BREAKS]] = 2
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
+# A number for each byte, A-Z as a-z.
+_LETTERS = mix(_FOLD.astype(np.uint64) + np.uint64(1))
 # Bytes of text that are turned into words at once.
-_SEGMENT = 2_000_000
+_SEGMENT = 1_000_000
 
 
 def _segments(data: np.ndarray, offsets: np.ndarray):
     """Cut texts at ends of pieces into parts of about _SEGMENT bytes: start and end. No phrase crosses a cut."""
-    cuts = np.union1d(np.flatnonzero(_KIND[data] == 2) + 1, offsets)
     low = 0
     while low < len(data):
-        at = np.searchsorted(cuts, low + _SEGMENT)
-        high = int(cuts[min(at, len(cuts) - 1)])
-        yield low, high
-        low = high
+        high, text = low + _SEGMENT, int(offsets[min(np.searchsorted(offsets, low + _SEGMENT), len(offsets) - 1)])
+        while high < text:
+            ends = np.flatnonzero(_KIND[data[high : min(high + 10_000, text)]] == 2)
+            if len(ends):
+                text = high + int(ends[0]) + 1
+                break
+            high += 10_000
+        yield low, text
+        low = text
+
+
+def _powers(n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of a base modulo 2^64, and of its inverse; kept for the next segment."""
+    if which not in _POWERS or len(_POWERS[which][0]) < n:
+        base = int(_BASES[which])
+        made = []
+        for x in (base, pow(base, -1, 2**64)):
+            row = np.full(n, x, np.uint64)
+            row[0] = 1
+            made.append(np.multiply.accumulate(row))
+        _POWERS[which] = made
+    up, down = _POWERS[which]
+    return up[:n], down[:n]
+
+
+_POWERS: dict = {}
 
 
 class _Words:
-    """The words of a segment: byte ranges, piece, document, and two hashes of each, with the language in them."""
+    """The words of a segment: byte ranges, piece, document, and two hashes of each, with the language in them.
+
+    A hash is a polynomial in the word's letters, taken from sums over the whole segment: what lies between the word's
+    ends, divided by the power at its start.
+    """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, low: int, high: int, seeds: np.ndarray):
         part = data[low:high]
         self.part = part
         kind = _KIND[part]
-        word = kind == 0
-        before = np.concatenate(([False], word[:-1]))
-        after = np.concatenate((word[1:], [False]))
+        word = np.zeros(len(part) + 1, bool)
+        word[:-1] = kind == 0
+        begins, ends = word.copy(), word.copy()
+        begins[1:] &= ~word[:-1]
+        ends[:-1] &= ~word[1:]
         edges = offsets[(offsets > low) & (offsets < high)] - low
-        before[edges] = False
-        after[edges - 1] = False
-        self.start, self.end = np.flatnonzero(word & ~before), np.flatnonzero(word & ~after) + 1
+        begins[edges] |= word[edges]
+        ends[edges - 1] |= word[edges - 1]
+        self.start, self.end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
         self.doc = np.searchsorted(offsets, self.start + low, "right") - 1
-        self.piece = np.cumsum(kind == 2)[self.start] + self.doc if len(self.start) else self.start
-        self.hash = [np.zeros(0, np.uint64)] * 2
-        if len(self.start):
-            length = self.end - self.start
-            at = np.flatnonzero(word) - np.repeat(self.start, length)
-            letters = _FOLD[part[word]].astype(np.uint64) + np.uint64(1)
-            first = np.concatenate(([0], np.cumsum(length)[:-1]))
-            for i, base in enumerate(_BASES):
-                powers = np.full(int(length.max()), base)
-                powers[0] = 1
-                powers = np.multiply.accumulate(powers)
-                sums = np.add.reduceat(letters * powers[at], first)
-                self.hash[i] = mix(sums + length.astype(np.uint64) * base + seeds[self.doc])
+        self.piece = np.searchsorted(np.flatnonzero(kind == 2), self.start) + self.doc
+        self.hash = []
+        letters = _LETTERS[part]
+        length = (self.end - self.start).astype(np.uint64)
+        for i in range(2):
+            up, down = _powers(len(part), i)
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(letters * up, out=sums[1:])
+            self.hash.append(mix((sums[self.end] - sums[self.start]) * down[self.start] + length * _BASES[i] + seeds[self.doc]))
 
     def windows(self, n: int) -> np.ndarray:
         """First words of all runs of n words inside a piece."""
@@ -74,19 +99,21 @@ class _Words:
             h = mix(h * _BASES[which] + self.hash[which][first + j])
         return h
 
-    def phrases(self, place: np.ndarray, n: int) -> list[bytes]:
-        """The runs of n words that begin at `place`, joined by a space, A-Z as a-z."""
-        text = _FOLD[self.part].tobytes()
-        start, end = self.start[place].tolist(), self.end[place + n - 1].tolist()
-        found = [text[a:b] for a, b in zip(start, end)]
+    def phrases(self, place: np.ndarray, n: int) -> tuple[pa.Array, np.ndarray]:
+        """The runs of n words that begin at `place`, joined by a space, A-Z as a-z; and the order they come in."""
+        text = _FOLD[self.part]
         # Words that something else than one space separates are joined anew.
         other = np.zeros(len(place), bool)
         for j in range(n - 1):
             gap = self.end[place + j]
             other |= (self.start[place + j + 1] != gap + 1) | (self.part[gap] != 32)
-        for i in np.flatnonzero(other).tolist():
-            found[i] = b" ".join([text[self.start[place[i] + j] : self.end[place[i] + j]] for j in range(n)])
-        return found
+        plain = place[~other]
+        start, length = self.start[plain], self.end[plain + n - 1] - self.start[plain]
+        cuts = np.concatenate(([0], np.cumsum(length)))
+        letters = text[np.arange(cuts[-1]) + np.repeat(start - cuts[:-1], length)]
+        found = pa.StringArray.from_buffers(len(plain), pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(letters))
+        joined = [" ".join(text[self.start[p + j] : self.end[p + j]].tobytes().decode() for j in range(n)) for p in place[other].tolist()]
+        return pa.concat_arrays([found, pa.array(joined, pa.string())]), np.concatenate((np.flatnonzero(~other), np.flatnonzero(other)))
 
 
 def _seed(lang: str) -> int:
@@ -95,7 +122,7 @@ def _seed(lang: str) -> int:
 
 def _distinct(words: _Words, first: np.ndarray, n: int, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The first place and the number of each distinct run of words, told apart by both hashes."""
-    order = np.argsort(h, kind="stable")
+    order = np.argsort(h)
     g = words.chain(first[order], n, 1)
     start, end = slices(h[order])
     if len(start) and (np.minimum.reduceat(g, start) != np.maximum.reduceat(g, start)).any():
@@ -107,27 +134,25 @@ def _distinct(words: _Words, first: np.ndarray, n: int, h: np.ndarray) -> tuple[
     return first[order[start]], end - start
 
 
+_COUNTED = ["lang", "phrase", "a"]
+
+
 def _count(n: int, frequent, bits: int, limit: int):
-    """Count the phrases of n words in a task; from two words on only those whose both shorter parts may be frequent.
+    """Count the phrases of n words in a task, summed until there are `limit` rows; from two words on only those whose both shorter parts may be frequent.
 
     `frequent` is a bit table of the frequent phrases of n - 1 words. It never misses one, so no phrase that reaches
     the minimum is left out at any place. With n = 1 a row without a phrase holds the number of all words.
     """
 
-    def emit(held, totals):
-        langs = [lang for lang in held for _ in held[lang]] + list(totals)
-        phrases = pa.array([p for lang in held for p in held[lang]] + [None] * len(totals), pa.binary()).cast(pa.string())
-        numbers = [a for lang in held for a in held[lang].values()] + list(totals.values())
-        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), phrases, pa.array(numbers, pa.int64())], ["lang", "phrase", "a"])
+    def merged(held):
+        return pa.concat_tables(held).group_by(["lang", "phrase"]).aggregate([("a", "sum")]).rename_columns(_COUNTED)
 
     def count(batches):
-        held: dict = {}
-        totals: dict = {}
+        held, size = [], 0
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
-            langs = batch.column("lang").to_pylist()
-            seeds = np.array([_seed(x) for x in langs], np.uint64)
-            counts = [held.setdefault(x, {}) for x in langs]
+            langs = batch.column("lang")
+            seeds = np.array([_seed(x) for x in langs.to_pylist()], np.uint64)
             for low, high in _segments(data, offsets):
                 words = _Words(data, offsets, low, high, seeds)
                 first = words.windows(n)
@@ -137,18 +162,20 @@ def _count(n: int, frequent, bits: int, limit: int):
                     known = (frequent.value[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1 != 0
                     first = first[known[first] & known[first + 1]]
                 place, number = _distinct(words, first, n, words.chain(first, n))
-                for doc, phrase, a in zip(words.doc[place].tolist(), words.phrases(place, n), number.tolist()):
-                    own = counts[doc]
-                    own[phrase] = own.get(phrase, 0) + a
+                phrases, order = words.phrases(place, n)
+                held.append(pa.table([langs.take(pa.array(words.doc[place[order]])), phrases, pa.array(number[order].astype(np.int64))], _COUNTED))
                 if n == 1:
-                    for doc, a in zip(*np.unique(words.doc, return_counts=True)):
-                        totals[langs[doc]] = totals.get(langs[doc], 0) + int(a)
-                if sum(map(len, held.values())) >= limit:
-                    yield emit(held, totals)
-                    held, totals = {}, {}
-                    counts = [held.setdefault(x, {}) for x in langs]
+                    own, a = np.unique(words.doc, return_counts=True)
+                    held.append(pa.table([langs.take(pa.array(own)), pa.nulls(len(own), pa.string()), pa.array(a.astype(np.int64))], _COUNTED))
+                size += sum(t.num_rows for t in held[-2:]) if n == 1 else held[-1].num_rows
+                if size >= limit:
+                    total = merged(held)
+                    held, size = [total], total.num_rows
+                    if size > limit // 2:
+                        yield from total.to_batches(max_chunksize=100_000)
+                        held, size = [], 0
         if held:
-            yield emit(held, totals)
+            yield from merged(held).to_batches(max_chunksize=100_000)
 
     return count
 
@@ -179,7 +206,7 @@ def _bit_table(phrases: DataFrame, n: int, bits: int) -> np.ndarray:
     return table.view(np.uint8)
 
 
-def frequent_phrases(docs: DataFrame, min_count: int = 30, longest: int = 4, bits: int = 26, flush: int = 300_000) -> DataFrame:
+def frequent_phrases(docs: DataFrame, min_count: int = 30, longest: int = 4, bits: int = 26, flush: int = 500_000) -> DataFrame:
     """lang, phrase (words joined by a space), a: all phrases of up to `longest` words with a count of `min_count` or more.
     A row without a phrase has the number of words of the language.
 
