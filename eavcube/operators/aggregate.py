@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.functions import array_to_vector
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,25 +87,37 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None, tile: int = 20) -> DataFrame:
     """Pearson correlation of every pair on the rows where both are known, as (var_a, var_b, r).
 
-    Constant columns give NULL. The pairs of two blocks of `tile` columns come from one aggregation pass,
-    which reads those columns only.
+    Constant columns give NULL. One pass over the input: up to `tile` columns make one aggregate of all pairs; of more
+    columns, whose aggregates would be too many, the Gram matrix of (values, squares, known) has all sums at once.
     """
     columns = list(columns or numeric_columns(df))
-    result = None
-    for pairs in _tiles(columns, tile):
-        part = _correlate(df, pairs)
-        result = part if result is None else result.unionByName(part)
-    return result
-
-
-def _tiles(columns: list[str], tile: int) -> list[list[tuple[str, str]]]:
-    place = {c: i for i, c in enumerate(columns)}
-    blocks = [columns[i:i + tile] for i in range(0, len(columns), tile)]
-    tiles = [
-        [(a, b) for a in left for b in right if place[a] < place[b]]
-        for i, left in enumerate(blocks) for right in blocks[i:]
-    ]
-    return [pairs for pairs in tiles if pairs]
+    if len(columns) > tile:
+        return _gram_correlations(df, columns)
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
+    return _correlate(df, pairs) if pairs else df.sparkSession.createDataFrame([], "var_a string, var_b string, r double")
+
+
+def _gram_correlations(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Correlations from the products of 3 numbers for each of k columns: 9 k^2 sums, added up in a tree over the tasks.
+
+    Values are taken relative to one of the first rows, which keeps the sums of squares from cancelling. NaN counts as
+    unknown. A column that is constant where the other is known gives NULL.
+    """
+    k = len(columns)
+    numbers = df.select(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")).alias(f"x{i}") for i, c in enumerate(columns)])
+    head = numbers.limit(100).collect()
+    start = [next((r[i] for r in head if r[i] is not None), 0.0) for i in range(k)]
+    moved = [F.coalesce(F.col(f"x{i}") - F.lit(start[i]), F.lit(0.0)) for i in range(k)]
+    known = [F.col(f"x{i}").isNotNull().cast("double") for i in range(k)]
+    vectors = numbers.select(array_to_vector(F.array(*moved, *[m * m for m in moved], *known)).alias("v"))
+    gram = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "v"), numCols=3 * k).computeGramianMatrix().toArray()
+    xx, xm, sm, n = gram[:k, :k], gram[:k, 2 * k:], gram[k:2 * k, 2 * k:], gram[2 * k:, 2 * k:]
+    spread = n * sm - xm * xm
+    # What is left of a constant's squares is rounding.
+    spread[spread <= 1e-12 * n * sm] = float("nan")
+    r = (n * xx - xm * xm.T) / (spread**0.5 * (spread**0.5).T)
+    rows = [(columns[i], columns[j], None if r[i, j] != r[i, j] else float(r[i, j])) for i in range(k) for j in range(i + 1, k)]
+    return df.sparkSession.createDataFrame(rows, "var_a string, var_b string, r double")
 
 
 def correlation_with(df: DataFrame, target: str, columns: Sequence[str] | None = None) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +25,7 @@ TERCILES = ["bajo", "medio", "alto"]
 
 
 def with_lag(series: DataFrame, entities: DataFrame, key: str, start: str, observed: str, out: str = "lag",
-             hot_rows: int = HOT_ROWS) -> DataFrame:
+             hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Series with the days from each observation to the start of its entity; later ones are dropped."""
     joined = skew_join(series, entities.select(key, start), [key], "inner", hot_rows)
     lagged = joined.withColumn(out, D.days_before(F.col(start), F.col(observed)))
@@ -32,8 +34,11 @@ def with_lag(series: DataFrame, entities: DataFrame, key: str, start: str, obser
 
 def lag_features(series: DataFrame, entities: DataFrame, key: str, start: str, observed: str, variable: str,
                  value: str, variables: Sequence[str], windows: Mapping[str, tuple[int, int]] = LAG_WINDOWS,
-                 base: str = "0d", hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Wide lag-window means of entities that have an observation in the base window."""
+                 base: str = "0d", hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Wide lag-window means of entities that have an observation in the base window.
+
+    Over a series and entities stored in equal buckets of the key, with `hot_rows=None`, the series is not shuffled.
+    """
     lagged = with_lag(series, entities, key, start, observed, hot_rows=hot_rows)
     return lag_pivot(lagged, key, variable, value, "lag", variables, windows, base)
 
@@ -125,13 +130,34 @@ def columns_like(df: DataFrame, prefixes: Sequence[str] = (), parts: Sequence[st
 def one_hot(df: DataFrame, column: str, limit: int = 1000, drop_first: bool = True) -> DataFrame:
     """Boolean columns per level in sorted order; NULL is false everywhere and the column is dropped.
 
-    The levels must be known to fix the schema, so their list reaches the driver and is checked for size.
+    The levels must be known to fix the schema, so their list reaches the driver and is checked for size; a column of more
+    levels makes a vector (`one_hot_vector`).
     """
     levels = bounded_list(df, column, limit)[1 if drop_first else 0:]
     flags = {f"{column}_{v}": F.coalesce(F.col(column) == F.lit(v), F.lit(False)) for v in levels}
     return df.withColumns(flags).drop(column) if flags else df.drop(column)
 
 
+def one_hot_vector(df: DataFrame, column: str, out: str, drop_first: bool = True) -> DataFrame:
+    """One sparse vector per row instead of a column per level, for columns of very many levels.
+
+    Its places are the levels in sorted order, without the first if `drop_first`; NULL and the first have all zeros.
+    The column stays. The levels, not the rows, are held by the fitted encoder.
+    """
+    text = F.col(column).cast("string")
+    if drop_first:
+        (first,) = df.agg(F.min(text)).first()
+        text = F.when(text != F.lit(first), text)
+    rows = df.withColumn("__level", text)
+    if rows.where("__level is not null").isEmpty():
+        return rows.drop("__level").withColumn(out, array_to_vector(F.array().cast("array<double>")))
+    # Unknown levels take the last place, which the encoder leaves out.
+    index = StringIndexer(inputCol="__level", outputCol="__index", handleInvalid="keep", stringOrderType="alphabetAsc").fit(rows)
+    encoder = OneHotEncoder(inputCol="__index", outputCol=out, dropLast=True, handleInvalid="error")
+    indexed = index.transform(rows)
+    return encoder.fit(indexed).transform(indexed).drop("__level", "__index")
+
+
 def heat_rows(df: DataFrame, lat: str, lon: str, index: str) -> DataFrame:
     """Rows that can be put on a map."""
     return df.dropna(subset=[lat, lon, index])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
@@ -60,8 +61,9 @@ def cluster_profile(df: DataFrame, index: str, lat: str, lon: str, cluster: str
 
 
 def hash_split(df: DataFrame, key: str, train: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows by a hash of the key: the same split whatever the partitioning."""
-    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(10_000))
+    """Train and test rows by a hash of the key: the same split whatever the partitioning, and in any engine with MD5."""
+    digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 10_000
     chosen = bucket < F.lit(int(train * 10_000))
     return df.where(chosen), df.where(~chosen)
 
@@ -87,9 +89,9 @@ def with_class_weights(df: DataFrame, label: str, limit: int = 1000) -> DataFram
 
 
 def fit_tree(df: DataFrame, features: Sequence[str], label: str, max_depth: int = 5, weighted: bool = False,
-             seed: int = 42):
-    """Decision tree on a numeric label."""
-    tree = DecisionTreeClassifier(featuresCol=FEATURES, labelCol=label, maxDepth=max_depth, seed=seed)
+             seed: int = 42, max_bins: int = 32):
+    """Decision tree on a numeric label; features of fewer than `max_bins` values are split exactly."""
+    tree = DecisionTreeClassifier(featuresCol=FEATURES, labelCol=label, maxDepth=max_depth, seed=seed, maxBins=max_bins)
     return _fit(tree, df, features, weighted)
 
 
@@ -119,6 +121,18 @@ def predict(model, df: DataFrame, features: Sequence[str]) -> DataFrame:
     return scored.withColumn(model.getPredictionCol(), known).drop(FEATURES, "rawPrediction", "probability", *names)
 
 
+def save_model(model, features: Sequence[str], path: str) -> None:
+    """Store a fitted model with the names of its features, as a pipeline that Spark reads back."""
+    assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="error")
+    PipelineModel(stages=[assembler, model]).write().overwrite().save(path)
+
+
+def load_model(path: str) -> tuple:
+    """The model stored by `save_model` and the names of its features."""
+    assembler, model = PipelineModel.load(path).stages
+    return model, assembler.getInputCols()
+
+
 def importances(model, features: Sequence[str], df: DataFrame) -> DataFrame:
     """(feature, importance), highest first."""
     rows = [(f, float(model.featureImportances[i])) for i, f in enumerate(features)]

@@ -52,6 +52,29 @@ def numbered(df: DataFrame, order: Sequence[Column | str], name: str, start: int
     return positioned(df, order).withColumn(name, (F.col(POSITION) + first).cast("bigint")).drop(CHUNK, POSITION)
 
 
+def numbered_by(df: DataFrame, bucket: Column, order: Sequence[Column | str], name: str,
+                top: DataFrame | None = None) -> DataFrame:
+    """Add consecutive numbers along (bucket, order) within one plan: no job runs before the action.
+
+    `bucket` is a function of the row that keeps the order wanted and has a bounded number of values: a prefix of the
+    first order column, or a hash where any order will do. Rows are ranked inside their bucket, and a running sum over
+    the counts of the buckets gives each its start. `top`, a frame with one value, is the number to continue from.
+    The frame is read twice, so it must give the same rows each time.
+    """
+    counts = df.groupBy(bucket.alias("__bucket")).agg(F.count(F.lit(1)).alias("__n")).withColumn("__later", F.lit(1))
+    if top is not None:
+        kind = counts.schema["__bucket"].dataType
+        above = top.select(F.coalesce(F.col(f"`{top.columns[0]}`").cast("bigint"), F.lit(0)).alias("__n"))
+        counts = counts.unionByName(above.select(F.lit(None).cast(kind).alias("__bucket"), "__n", F.lit(0).alias("__later")))
+    # One row for each bucket.
+    before = Window.partitionBy(F.lit(0)).orderBy("__later", F.asc_nulls_first("__bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn("__start", F.coalesce(F.sum("__n").over(before), F.lit(0))).where("__later = 1").select("__bucket", "__start")
+    inside = Window.partitionBy(bucket).orderBy(*order)
+    ranked = df.withColumn("__rank", F.row_number().over(inside)).withColumn("__own", bucket)
+    return ranked.join(starts, F.col("__own").eqNullSafe(F.col("__bucket"))).select(
+        *[f"`{c}`" for c in df.columns], (F.col("__start") + F.col("__rank")).cast("bigint").alias(name))
+
+
 def small_list(df: DataFrame, column: str, limit: int = 1000) -> list | None:
     """Sorted distinct non-null values of a column, or None when there are more than `limit`."""
     rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
@@ -66,9 +89,3 @@ def bounded_list(df: DataFrame, column: str, limit: int | None = None) -> list:
     if values is None:
         raise ValueError(f"{column} has more than {limit} distinct values")
     return values
-
-
-def last_known(value: Column, keys: Sequence[str], order: Column) -> Column:
-    """Latest non-null value up to the current row."""
-    frame = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return F.last(value, ignorenulls=True).over(frame)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eavcube.functions.numbers import normalised_difference
-from eavcube.operators.ordered import numbered
+from eavcube.operators.ordered import numbered, numbered_by
 from eavcube.operators.skew import HOT_ROWS, skew_join
 from eavcube.operators.window import keep_first
 
@@ -39,7 +39,7 @@ def not_in(df: DataFrame, other: DataFrame, keys: Sequence[str], hot_rows: int =
 
 
 def lookup(df: DataFrame, catalogue: DataFrame, on: Sequence[str], how: str = "inner",
-           hot_rows: int = HOT_ROWS) -> DataFrame:
+           hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Join a frame to a catalogue on one or several natural keys."""
     return skew_join(df, catalogue, on, how, hot_rows)
 
@@ -105,6 +105,15 @@ def latest_clear_indices(entities: DataFrame, bands: DataFrame, key: str, start:
     return best.select(key, F.to_date(observed).alias("obs_date"), F.inline(pairs))
 
 
+def latest_clear_rows(bands: DataFrame, keys: Sequence[str], observed: str, indices: Mapping[str, Column],
+                      clear: str) -> DataFrame:
+    """Indices of the newest day per key on which the index `clear` is known, as rows (keys, variable, obs_date, value)."""
+    measured = bands.select(*keys, observed, *[c.alias(n) for n, c in indices.items()]).where(F.col(clear).isNotNull() & F.col(observed).isNotNull())
+    best = measured.groupBy(*keys).agg(F.max(F.struct(observed, *indices)).alias("__best"))
+    pairs = F.array(*[F.struct(F.lit(n).alias("variable"), F.col(f"__best.{n}").alias("value")) for n in indices])
+    return best.select(*keys, F.to_date(F.col(f"__best.{observed}")).alias("obs_date"), F.inline(pairs))
+
+
 # Set operations and keyed writes ---------------------------------------------------------------
 
 
@@ -167,9 +176,14 @@ def append_rows(table: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def surrogate_keys(new: DataFrame, name: str, order: Sequence[str], stored: DataFrame | None = None) -> DataFrame:
-    """Number distinct rows along their natural key, continuing after the highest stored id."""
-    top = stored.agg(F.max(name)).first()[0] if stored is not None else None
-    return numbered(new, order, name, (top or 0) + 1)
+    """Number distinct rows along their natural key, continuing after the highest stored id.
+
+    A text key is numbered within the plan, by its first three characters; any other key is sorted over the cluster.
+    """
+    top = None if stored is None else stored.agg(F.max(name).alias(name))
+    if isinstance(new.schema[order[0]].dataType, T.StringType):
+        return numbered_by(new, F.substring(order[0], 1, 3), order, name, top)
+    return numbered(new, order, name, ((top.first()[0] if top is not None else None) or 0) + 1)
 
 
 def fixed_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
@@ -191,12 +205,13 @@ def fixed_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
 
 
 def pending_entities(entities: DataFrame, series: DataFrame, key: str, variable: str,
-                     wanted: Sequence[str] | None = None, count: int | None = None) -> DataFrame:
-    """Entities whose series has fewer than `count` distinct variables (of the wanted ones, if given)."""
+                     wanted: Sequence[str] | None = None, count: int | None = None, order: Sequence[str] = ()) -> DataFrame:
+    """Entities whose series has fewer than `count` distinct variables (of the wanted ones, if given), in an `order`, if given."""
     rows = series if wanted is None else series.where(F.col(variable).isin(list(wanted)))
     enough = count if count is not None else len(wanted or [])
     done = rows.groupBy(key).agg(F.countDistinct(variable).alias("__n")).where(F.col("__n") >= enough)
-    return not_in(entities, done, [key])
+    pending = not_in(entities, done, [key])
+    return pending.orderBy(*order) if order else pending
 
 
 def bundles(variables: Sequence[str], size: int) -> list[list[str]]:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eavcube.operators.ordered import CHUNK, POSITION, last_known, positioned
+from eavcube.operators.ordered import CHUNK, POSITION, positioned
 from eavcube.operators.quantile import quantile_list
 from eavcube.operators.skew import HOT_ROWS, hot_keys, skew_join, split_hot
 
@@ -49,7 +49,7 @@ def interpolate_linear(
 ) -> DataFrame:
     """Fill NULLs of `value` per group: linear by position between neighbours, nearest value at the ends.
 
-    Groups without any value stay NULL. Ordinary groups take one shuffle and two running windows. Hot
+    Groups without any value stay NULL. Ordinary groups take one shuffle, one sort and one pass. Hot
     groups are sorted over the cluster instead and cut into slices; what a slice cannot see is carried
     over from one summary row per slice. `order` must identify the rows of a group.
     """
@@ -65,20 +65,28 @@ def interpolate_linear(
 
 def _interpolate_groups(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
     ranked = df.withColumn(POSITION, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    known = _known(value)
-    filled = ranked.withColumn("__prev", last_known(known, keys, F.asc(POSITION))).withColumn(
-        "__next", last_known(known, keys, F.desc(POSITION))
-    )
-    return _fill(filled, value).drop(POSITION, "__prev", "__next").select(*df.columns)
+    return _fill(_neighbours(ranked, keys, order, value), value).drop(POSITION, "__known", "__prev", "__next").select(*df.columns)
+
+
+def _neighbours(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
+    """The known values before and after each row, from one pass over one sort.
+
+    The next known value is a LEAD that skips unknown ones: unlike a frame that ends with the group, it only moves forward.
+    """
+    group = ", ".join(f"`{k}`" for k in keys)
+    row = f"(PARTITION BY {group} ORDER BY {', '.join(f'`{c}`' for c in order)})"
+    known = df.withColumn("__known", _known(value))
+    return known.select(
+        "*", F.last("__known", ignorenulls=True).over(
+            Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("__prev"),
+        F.expr(f"lead(__known, 1) IGNORE NULLS OVER {row}").alias("__next"))
 
 
 def _interpolate_slices(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
     ordered = positioned(df, [*keys, *order])
     known = _known(value)
     part = [CHUNK, *keys]
-    local = ordered.withColumn("__prev", last_known(known, part, F.asc(POSITION))).withColumn(
-        "__next", last_known(known, part, F.desc(POSITION))
-    )
+    local = _neighbours(ordered, part, [POSITION], value)
     # One row per slice and hot group: no more than slices + hot groups, so it is broadcast.
     ends = ordered.groupBy(*part).agg(F.max(known).alias("__last"), F.min(known).alias("__first"))
     earlier = Window.partitionBy(*keys).orderBy(F.asc(CHUNK)).rowsBetween(Window.unboundedPreceding, -1)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +16,11 @@ from eavcube.operators import cleaning as CL
 from eavcube.operators import features as FE
 from eavcube.operators import ml as M
 from eavcube.operators import window as W
+from eavcube.operators.ordered import checkpoint
 from eavcube.operators.quantile import quantile_list
 from eavcube.plans.registry import Tables, query
+from eavcube.session import shared_folder
+from eavcube.sources.tables import TableStore
 
 VARIABLES = ["click", "error", "purchase", "view"]
 LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -66,6 +72,16 @@ def lag_pivot(t: Tables) -> DataFrame:
     return lags(t)
 
 
+@query(_LAG_TABLE + "\nSELECT * FROM lags", "obs entity")
+def lag_pivot_bucketed(t: Tables) -> DataFrame:
+    """The same over tables stored in buckets of the key, without a shuffle of the series."""
+    store = TableStore(t.spark, f"{shared_folder(t.spark)}/buckets-{uuid.uuid4()}")
+    store.replace_bucketed("series", known(t), "entity_id", 8)
+    store.replace_bucketed("starts", t.entity, "entity_id", 8)
+    series, starts = (store.read_bucketed(name, "entity_id") for name in ("series", "starts"))
+    return FE.lag_features(series, starts, "entity_id", "start_date", "obs_date", "variable", "value", VARIABLES, hot_rows=None)
+
+
 @query(_LAG_TABLE + """
 SELECT f.fire_id, f.place_id, l.view_0d, l.error_7d, c.kind, d.segment, d.pop_total, m.tree, m.fire_id IS NOT NULL AS hit
 FROM fire f LEFT JOIN lags l ON f.entity_id = l.entity_id LEFT JOIN cat c ON f.cat_id = c.id
@@ -222,7 +238,8 @@ _NAMES = {"view": "NDVI", "click": "NDMI", "error": "NDWI", "purchase": "TSOIL6"
 
 
 def indexed(t: Tables) -> DataFrame:
-    wide = A.pivot_mean(known(t), "entity_id", "variable", "value", VARIABLES).withColumnsRenamed(_NAMES)
+    # Stored, as the median, the index and the quantile of the index all read it.
+    wide = checkpoint(A.pivot_mean(known(t), "entity_id", "variable", "value", VARIABLES).withColumnsRenamed(_NAMES))
     (median,) = quantile_list(wide, "TSOIL6", [0.5])
     return FE.propagation_index(wide, median).select("entity_id", "propagation")
 
@@ -348,13 +365,57 @@ def labelled(t: Tables) -> DataFrame:
     )
 
 
-@query()
+_TEST = """
+, test AS (SELECT CASE WHEN l_quantity > 30 AND l_discount > 0.04 THEN 1 ELSE 0 END AS label FROM lineitem
+    WHERE CAST('0x' || substr(md5(CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || ':42'), 1, 8) AS BIGINT) % 10000 >= 8000)"""
+
+
+@query(_TEST + """
+SELECT CAST(CAST(label AS DOUBLE) AS VARCHAR) AS class, CAST(1 AS DOUBLE) AS precision, CAST(1 AS DOUBLE) AS recall,
+    CAST(1 AS DOUBLE) AS f1, count(*) AS support FROM test GROUP BY label
+UNION ALL SELECT name, 1, 1, 1, (SELECT count(*) FROM test) FROM (VALUES ('accuracy'), ('macro avg'), ('weighted avg')) AS n(name)""")
 def tree_report(t: Tables) -> DataFrame:
+    """The classes follow a rule that a tree of this depth must learn exactly, so every held-out row is right."""
     train, test = M.hash_split(labelled(t), "key")
-    model = M.fit_tree(M.with_class_weights(train, "label"), TREE_FEATURES, "label", 5, weighted=True)
+    model = M.fit_tree(M.with_class_weights(train, "label"), TREE_FEATURES, "label", 5, weighted=True, max_bins=64)
     return M.classification_report(M.predict(model, test, TREE_FEATURES), "label", "prediction", [0.0, 1.0])
 
 
+@query(_TEST + """
+SELECT CAST(label AS DOUBLE) AS prediction, count(*) AS rows FROM test GROUP BY label""")
+def stored_model_scores(t: Tables) -> DataFrame:
+    """A tree that is stored, read back and applied to the held-out rows."""
+    train, test = M.hash_split(labelled(t), "key")
+    path = f"{shared_folder(t.spark)}/model-{uuid.uuid4()}"
+    M.save_model(M.fit_tree(train, TREE_FEATURES, "label", 5, max_bins=64), TREE_FEATURES, path)
+    model, features = M.load_model(path)
+    return M.predict(model, test, features).groupBy("prediction").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("""
+, spot AS (SELECT c_custkey AS id, c_custkey % 5 AS g, CAST(10 * (c_custkey % 5) AS DOUBLE) + CAST(c_nationkey AS DOUBLE) / 100 AS lat,
+    CAST(-20 * (c_custkey % 5) AS DOUBLE) + CAST(c_nationkey AS DOUBLE) / 50 AS lon, CAST(c_custkey % 5 AS DOUBLE) + 1 AS size FROM customer),
+per AS (SELECT g, avg(size) AS mean_index, count(*) AS rows, avg(lat) AS lat, avg(lon) AS lon FROM spot GROUP BY g)
+SELECT round(mean_index, 6) AS mean_index, rows, round(lat, 6) AS lat, round(lon, 6) AS lon, ['Bajo', 'Medio-Bajo', 'Medio', 'Alto', 'Crítico'][1 + g] AS zone FROM per""")
+def separated_clusters(t: Tables) -> DataFrame:
+    """Five groups of places that lie far apart, so that the clusters must be these groups."""
+    g, nation = F.col("c_custkey") % 5, F.col("c_nationkey").cast("double")
+    points = t.raw("customer").select(
+        F.col("c_custkey").alias("id"), ((g * 10).cast("double") + nation / 100).alias("lat"), ((g * -20).cast("double") + nation / 50).alias("lon"),
+        (g.cast("double") + 1).alias("size"))
+    return M.cluster_profile(M.kmeans_clusters(points, ["lat", "lon"]), "size", "lat", "lon").drop("cluster")
+
+
+@query("""
+, levels AS (SELECT p_name, row_number() OVER (ORDER BY p_name) - 1 AS place, count(*) OVER () - 1 AS size FROM (SELECT DISTINCT p_name FROM part))
+SELECT p_partkey, levels.place, levels.size FROM part JOIN levels USING (p_name)""")
+def one_hot_many_levels(t: Tables) -> DataFrame:
+    """A column of very many levels as one sparse vector: the place of its 1 (0 for the first level, which has none)."""
+    encoded = FE.one_hot_vector(t.raw("part").select("p_partkey", "p_name"), "p_name", "v")
+    dense = vector_to_array("v")
+    return encoded.select("p_partkey", F.coalesce(F.nullif(F.array_position(dense, 1.0), F.lit(0)), F.lit(0)).alias("place"), F.size(dense).alias("size"))
+
+
 def importance_table(t: Tables) -> DataFrame:
     train, _ = M.hash_split(labelled(t), "key")
     model = M.fit_forest(train, TREE_FEATURES, "label", trees=20, max_depth=6, min_rows=5)

@@ -24,9 +24,12 @@ from eavcube.operators import relational as R
 from eavcube.operators.aggregate import pivot_mean, yearly_health
 from eavcube.operators.ordered import checkpoint
 from eavcube.operators.quantile import quantile_list
+from eavcube.operators.skew import HOT_ROWS
 from eavcube.operators.window import keep_first
 from eavcube.schemas import AGE_BANDS, DAMAGE_PARTS, KEYS, REFERENCES, SCHEMAS, TEXT_COLUMNS
+from eavcube.sources.keyed import KeyedTable
 from eavcube.sources.tables import TableStore
+from eavcube.streaming.incremental import LEDGER, ResponseSink, image_rows, series_rows
 
 # Headers of the register and the columns they become.
 REGISTER_TEXT = {
@@ -51,10 +54,16 @@ POPULATION_BANDS = [
 ]
 HOME_STATE = "México"
 HOME_STATE_KEY = 15
+# The state's bounding box and the labels of places that were not in a catalogue.
 STATE_BOX = {"lat": (18.35, 20.25), "lon": (-100.6, -98.55)}
 # The series is filtered by variable far more often than by anything else.
 PARTITIONED = {"climatologia": "id_variable"}
 FROM_CSV_LABEL = "MUNICIPIO DESDE CSV POR REVISAR"
+# How the services are asked, and what the vegetation service answers with.
+HISTORY_DAYS, BUNDLE = 10, 15
+VEGETATION = ["NDVI", "NDWI", "NDMI"]
+SERIES_COLUMNS = ["id_registro", "id_variable", "id_clave_inc", "fecha_de_observacion", "resultado_numerico"]
+RESPONSES = "respuestas"
 
 
 # Loads -----------------------------------------------------------------------------------------
@@ -68,13 +77,17 @@ def conform_register(raw: DataFrame, state: str = HOME_STATE) -> DataFrame:
     text = {new: F.col(f"`{old}`") for old, new in REGISTER_TEXT.items()}
     numbers = {new: F.coalesce(N.to_number(F.col(f"`{old}`")), F.lit(0.0)) for old, new in REGISTER_NUMBERS.items()}
     home = raw.where(X.trim_whitespace(F.col("Estado")) == state)
-    typed = home.select(
-        *[c.alias(n) for n, c in text.items()],
-        *[c.alias(n) for n, c in numbers.items()],
+    # What rows are dropped by is parsed behind a generator, below which the filter cannot be pushed, so only once.
+    required = F.struct(
         D.parse_date(F.col("`Fecha Inicio`")).alias("fecha_inicio"),
         N.to_number(F.col("Latitud")).alias("latitud"),
         N.to_number(F.col("Longitud")).alias("longitud"),
     )
+    typed = home.select(
+        *[c.alias(n) for n, c in text.items()],
+        *[c.alias(n) for n, c in numbers.items()],
+        F.inline(F.array(required)),
+    )
     return typed.dropna(subset=["fecha_inicio", "latitud", "longitud"]).withColumns({
         "estado": X.trim_whitespace(F.col("estado")),
         "id_clave_ent": F.col("id_clave_ent").try_cast("int"),
@@ -105,8 +118,9 @@ def split_register(register: DataFrame, stored: Mapping[str, DataFrame]) -> dict
         fresh = R.new_rows(register.select(*pair).dropna(), stored[name].select(*pair))
         keyed = R.surrogate_keys(fresh, f"id_{name}", pair, stored[name])
         out[name] = R.append_rows(stored[name], keyed.select(*stored[name].columns))
-    fires = R.lookup(register, out["causa"], ["causa", "causa_especifica"])
-    fires = R.lookup(fires, out["vegetacion"], ["regimen_del_fuego", "tipo_de_vegetacion"])
+    # Left to adaptive skew splitting, so that nothing runs while the plan is made.
+    fires = R.lookup(register, out["causa"], ["causa", "causa_especifica"], hot_rows=None)
+    fires = R.lookup(fires, out["vegetacion"], ["regimen_del_fuego", "tipo_de_vegetacion"], hot_rows=None)
     for name, rows in (("incendios", fires), ("danos", register)):
         out[name] = R.insert_if_absent([stored[name], rows.select(*stored[name].columns)], KEYS[name])
     return out
@@ -140,6 +154,46 @@ def load_operations(raw: DataFrame, fires: DataFrame) -> DataFrame:
     return keep_first(R.with_parent(typed, fires, "id_clave_inc"), ["id_clave_inc"], typed.columns[1:])
 
 
+# Keyed loads and ingestion ---------------------------------------------------------------------
+
+
+def load_register(store: TableStore, register: DataFrame) -> None:
+    """Add the conformed register to the stored tables by keyed writes: only parts that new keys fall into are read."""
+    for name in ("estado", "municipios"):
+        store.keyed(name).insert(register.select(*SCHEMAS[name].names).distinct())
+    ids = {}
+    for name, pair in (("causa", ["causa", "causa_especifica"]),
+                       ("vegetacion", ["regimen_del_fuego", "tipo_de_vegetacion"])):
+        table = store.keyed(name)
+        fresh = R.new_rows(register.select(*pair).dropna(), table.read().select(*pair))
+        table.append(checkpoint(R.surrogate_keys(fresh, f"id_{name}", pair, table.read())))
+        ids[name] = (table.read(), pair)
+    fires = register
+    for catalogue, pair in ids.values():
+        fires = R.lookup(fires, catalogue, pair, hot_rows=None)
+    for name, rows in (("incendios", fires), ("danos", register)):
+        store.keyed(name).insert(rows.select(*SCHEMAS[name].names))
+
+
+def response_sink(store: TableStore, kind: str = "series") -> ResponseSink:
+    """Takes landed climate (`series`) or vegetation (`images`) responses into the stored series."""
+    series = store.keyed("climatologia", ["id_clave_inc"])
+    ledger = KeyedTable(store.spark, f"{store.root}/{RESPONSES}", ["response"])
+    ledger.create(store.spark.createDataFrame([], LEDGER).schema)
+    rows_of = {"series": series_rows, "images": image_rows(VEGETATION, VEGETATION[0])}[kind]
+    return ResponseSink(series, ledger, SERIES_COLUMNS, rows_of)
+
+
+def open_requests(store: TableStore, variables: Sequence[str]) -> DataFrame:
+    """What is still to be asked for, oldest fires first: one row per fire and bundle of variables that is not complete."""
+    fires = store.read("incendios").withColumnsRenamed({"latitud": "lat", "longitud": "lon"})
+    series = store.read("climatologia")
+    pending = R.pending_entities(fires, series, "id_clave_inc", "id_variable", count=len(variables) + len(VEGETATION))
+    plan = R.request_plan(pending, series, "id_clave_inc", "fecha_inicio", "id_variable",
+                          R.bundles(variables, BUNDLE), HISTORY_DAYS, ["lat", "lon"])
+    return plan.orderBy("window_end", "id_clave_inc", "bundle")
+
+
 # Migration -------------------------------------------------------------------------------------
 
 
@@ -152,56 +206,125 @@ class MigrationInputs:
     operations: DataFrame
 
 
-def migrate(inputs: MigrationInputs, work: TableStore, box: Mapping[str, Sequence[float]] = STATE_BOX) -> DataFrame:
+class MigrationLog:
+    """What each phase of a migration read and wrote, stored as the table `migracion` of the working store.
+
+    A phase is entered with the versions of the tables it starts from. One that was begun and not finished is run again
+    from these versions, whatever it had already written.
+    """
+
+    TABLE = "migracion"
+    SCHEMA = "step int, phase string, state string, `table` string, version bigint, rows bigint"
+
+    def __init__(self, work: TableStore, resume: bool):
+        self.work = work
+        stored = work.read(self.TABLE).collect() if resume and work.exists(self.TABLE) else []
+        self.rows = [tuple(r) for r in stored]
+
+    def finished(self, phase: str) -> bool:
+        return any(r[1] == phase and r[2] == "done" for r in self.rows)
+
+    def begin(self, step: int, phase: str) -> TableStore:
+        """The working store as the phase finds it."""
+        begun = {r[3]: r[4] for r in self.rows if r[1] == phase and r[2] == "begun"}
+        if not any(r[1] == phase and r[2] == "begun" for r in self.rows):
+            begun = {n: self.work.versions(n)[-1] for n in SCHEMAS if self.work.versions(n)}
+            # A phase that starts from nothing has a line too.
+            lines = [(step, phase, "begun", n, v, None) for n, v in begun.items()] or [(step, phase, "begun", None, None, None)]
+            self._add(lines)
+        return self.work.pinned({n: v for n, v in begun.items() if n})
+
+    def finish(self, step: int, phase: str, counts: Mapping[str, int]) -> None:
+        self._add([(step, phase, "done", n, self.work.versions(n)[-1], rows) for n, rows in counts.items()])
+
+    def report(self) -> DataFrame:
+        """(phase, table, rows) of the finished phases."""
+        lines = [(r[1], r[3], r[5]) for r in self.rows if r[2] == "done"]
+        return self.work.spark.createDataFrame(lines, "phase string, `table` string, rows bigint")
+
+    def _add(self, lines: list[tuple]) -> None:
+        self.rows += lines
+        self.work.replace(self.TABLE, self.work.spark.createDataFrame(self.rows, self.SCHEMA).coalesce(1))
+
+
+def migrate(inputs: MigrationInputs, work: TableStore, box: Mapping[str, Sequence[float]] = STATE_BOX,
+            resume: bool = False, tidy: bool = False) -> DataFrame:
     """Clean the raw tables into the working store and return (phase, table, rows) counters.
 
-    Each phase reads the stored tables and writes new versions, so a failed phase can be run again and the
-    plans stay short. The large series is written twice: cleaned, then interpolated. In the end the fires and
+    Each phase reads the stored tables and writes new versions; a log says which phases are done and what the current one
+    started from, so with `resume` a stopped run goes on where it was, with the same result. `tidy` deletes the versions
+    that were replaced. The large series is written twice: cleaned, then interpolated. In the end the fires and
     series rows of each year are stored as `salud_anual`.
     """
     phases = [
-        ("catalogues", lambda: _catalogues(inputs.raw)),
-        ("geography", lambda: _geography(inputs.raw)),
-        ("keys and duplicates", lambda: _keys_and_duplicates(work)),
-        ("children", lambda: _children(inputs, work)),
-        ("series", lambda: {"climatologia": _series(inputs.raw, work, box)}),
-        ("interpolation", lambda: {"climatologia": _interpolated(work.read("climatologia"))}),
-        ("text and coordinates", lambda: _text_and_coordinates(work, box)),
-        ("integrity", lambda: _integrity(work)),
+        ("catalogues", lambda now: _catalogues(inputs.raw)),
+        ("geography", lambda now: _geography(inputs.raw)),
+        ("keys and duplicates", _keys_and_duplicates),
+        ("children", lambda now: _children(inputs, now)),
+        ("series", lambda now: {"climatologia": _series(inputs.raw, now, box)}),
+        ("interpolation", lambda now: {"climatologia": _interpolated(now.read("climatologia"))}),
+        ("text and coordinates", lambda now: _text_and_coordinates(now, box)),
+        ("integrity", _integrity),
     ]
-    report = None
-    for phase, run in phases:
-        for name, table in run().items():
+    log = MigrationLog(work, resume)
+    for step, (phase, run) in enumerate(phases, 1):
+        if log.finished(phase):
+            continue
+        counts = {}
+        for name, table in run(log.begin(step, phase)).items():
             typed = table.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMAS[name].fields])
-            stored = work.replace(name, typed, PARTITIONED.get(name))
-            count = stored.agg(F.count(F.lit(1)).alias("rows"))
-            line = count.select(F.lit(phase).alias("phase"), F.lit(name).alias("table"), "rows")
-            report = line if report is None else report.unionByName(line)
+            counts[name] = work.replace(name, typed, PARTITIONED.get(name)).count()
+        log.finish(step, phase, counts)
     health = yearly_health(work.read("incendios"), work.read("climatologia"), "id_clave_inc", F.year("fecha_inicio"))
     work.replace("salud_anual", health)
-    return report
+    if tidy:
+        work.expire()
+    return log.report()
 
 
-def audit(store: TableStore, report: TableStore) -> dict[str, DataFrame]:
-    """Write the audits of a store: schema and gaps, references, repeated keys, texts and the profile of the series."""
+def audit(store: TableStore, report: TableStore, box: Mapping[str, Sequence[float]] = STATE_BOX,
+          official: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Write the audits of a store.
+
+    Schema, gaps with what to do about them, references, repeated keys, texts; the profile of the series, its impossible
+    values and the variables in use; consistency counters with the fires behind them: chronology, arrivals, places
+    outside the box, damage. `official` (id_variable, nombre, unidades) adds the check of the dictionary.
+    """
     tables = {n: store.read(n) for n in SCHEMAS}
-    repeats = None
-    for name, keys in KEYS.items():
-        found = Q.duplicate_audit(tables[name], keys).agg(
-            F.count(F.lit(1)).alias("keys"), F.coalesce(F.sum("repeats"), F.lit(0)).alias("rows"))
-        line = found.select(F.lit(name).alias("table"), "keys", "rows")
-        repeats = line if repeats is None else repeats.unionByName(line)
-    texts = None
-    for name, columns in TEXT_COLUMNS.items():
-        line = Q.text_profile(tables[name], columns).withColumn("table", F.lit(name))
-        texts = line if texts is None else texts.unionByName(line)
+    fires, places, operations, damage = (tables[n] for n in ("incendios", "municipios", "operaciones", "danos"))
+    series = tables["climatologia"]
+    linked = {r.column for r in REFERENCES}
+    place = ("id_cvegeo", "nombre_municipio")
+
+    def together(frames: Mapping[str, DataFrame]) -> DataFrame:
+        """One frame with the name of the table each row is about."""
+        out = None
+        for name, df in frames.items():
+            line = df.select(F.lit(name).alias("table"), *df.columns)
+            out = line if out is None else out.unionByName(line)
+        return out
+
+    repeats = {name: Q.duplicate_audit(tables[name], keys).agg(
+        F.count(F.lit(1)).alias("keys"), F.coalesce(F.sum("repeats"), F.lit(0)).alias("rows")) for name, keys in KEYS.items()}
     audits = {
         "audit_schema": Q.schema_report(tables),
+        "audit_gaps": together({n: Q.null_profile(df, [*KEYS[n], *(c for c in df.columns if c in linked)]) for n, df in tables.items()}),
         "audit_references": Q.reference_audit(tables, REFERENCES),
-        "audit_duplicates": repeats,
-        "audit_texts": texts,
-        "audit_series": Q.variable_profile(tables["climatologia"], "id_variable", "resultado_numerico"),
+        "audit_duplicates": together(repeats),
+        "audit_texts": together({n: Q.text_profile(tables[n], columns) for n, columns in TEXT_COLUMNS.items()}),
+        "audit_series": Q.variable_profile(series, "id_variable", "resultado_numerico"),
+        "audit_impossible": Q.impossible_values(series, "id_variable", "resultado_numerico"),
+        "audit_variables": Q.variables_in_use(tables["diccionario"], series, "id_variable"),
+        "audit_consistency": Q.consistency_counts(
+            fires, operations, damage, tables["demografia"], "id_clave_inc", "fecha_inicio", "fecha_termino", "hora_deteccion_s",
+            "hora_llegada_s", "latitud", "longitud", box, DAMAGE_PARTS, "pob_total"),
+        "audit_chronology": Q.chronology_detail(fires, operations, places, "id_clave_inc", *place, "fecha_inicio", "fecha_termino"),
+        "audit_arrivals": Q.arrivals_before_detection(operations, "id_clave_inc", "hora_deteccion_s", "hora_llegada_s"),
+        "audit_places": Q.out_of_box(fires, places, "id_cvegeo", "latitud", "longitud", box, ["id_clave_inc", *place, "latitud", "longitud"]),
+        "audit_damage": Q.damage_outliers(damage, fires, places, "id_clave_inc", *place, DAMAGE_PARTS),
     }
+    if official is not None:
+        audits["audit_dictionary"] = Q.dictionary_check(tables["diccionario"], official, "id_variable", "nombre", "unidades")
     return {name: report.replace(name, df) for name, df in audits.items()}
 
 
@@ -293,7 +416,13 @@ def _integrity(work: TableStore) -> dict[str, DataFrame]:
 
 
 def build_cube(work: TableStore, cube: TableStore) -> dict[str, DataFrame]:
-    """Write the dimensions and facts of the star schema and return them as stored."""
+    """Write the dimensions and facts of the star schema under their published column names and return them as stored,
+    with the names the views are made of."""
+
+    def put(name: str, df: DataFrame) -> DataFrame:
+        names = CUBE_COLUMNS.get(name, {})
+        return cube.replace(name, df.withColumnsRenamed(names)).withColumnsRenamed({new: old for old, new in names.items()})
+
     places = work.read("municipios")
     dim_place = C.with_state_names(
         C.place_dimension(places, "id_cvegeo", "nombre_municipio"), places, work.read("estado"),
@@ -304,7 +433,7 @@ def build_cube(work: TableStore, cube: TableStore) -> dict[str, DataFrame]:
     fact = C.with_areas(fact.withColumnRenamed("duracion_dias", "duration_days"),
                         "arbolado_adulto", "herbaceo", "arbustivo")
     climate = C.climate_fact(work.read("climatologia"), "id_clave_inc", "id_variable", "resultado_numerico")
-    stored_climate = cube.replace("fact_clima", climate)
+    stored_climate = put("fact_clima", climate)
     fact = C.with_climate_risk(C.with_severity(fact), stored_climate, "id_clave_inc")
     fact = C.with_climate_risk(fact, stored_climate, "id_clave_inc", C.CLIMATE_RISK_2, True, True)
     tables = {
@@ -317,7 +446,7 @@ def build_cube(work: TableStore, cube: TableStore) -> dict[str, DataFrame]:
         "dim_tipo_incendio": C.type_dimension(work.read("incendios"), "tipo_de_incendio"),
         "fact_incendios": C.with_severity(fact, C.SEVERITY_2, only_missing=True),
     }
-    return {"fact_clima": stored_climate, **{n: cube.replace(n, df) for n, df in tables.items()}}
+    return {"fact_clima": stored_climate, **{n: put(n, df) for n, df in tables.items()}}
 
 
 # Column names of the published tables of the cube.
@@ -405,9 +534,12 @@ AGE_GROUPS = {
 def lag_model_table(work: TableStore, variables: Sequence[str]) -> DataFrame:
     """Fires with lag-window climate, catalogue, population and damage columns and a tercile label."""
     fires = work.read("incendios")
+    # Bucketed copies, if there are any, spare the shuffle of the series.
+    copies = [work.read_bucketed(name, "id_clave_inc") for name in ("climatologia", "incendios")]
+    series, starts = copies if None not in copies else (work.read("climatologia"), fires)
     lags = FE.lag_features(
-        work.read("climatologia"), fires, "id_clave_inc", "fecha_inicio", "fecha_de_observacion", "id_variable",
-        "resultado_numerico", variables,
+        series, starts, "id_clave_inc", "fecha_inicio", "fecha_de_observacion", "id_variable",
+        "resultado_numerico", variables, hot_rows=None if None not in copies else HOT_ROWS,
     )
     wide = FE.wide_table(fires, [
         # Frames with one row per fire first; population repeats fires, so it comes last.
@@ -446,6 +578,7 @@ def propagation_table(work: TableStore, variables: Sequence[str]) -> DataFrame:
 # Model -----------------------------------------------------------------------------------------
 
 
+MODEL = "modelo"
 # The published model columns.
 MODEL_FEATURES = [
     "NDVI_mean", "NDMI_mean", "NDVI_trend", "NDMI_trend", "TSOIL_mean", "TSOIL_trend", "pob_total", "presion_humana",
@@ -465,6 +598,7 @@ def train_model(features: TableStore, out: TableStore, trees: int = 150, max_dep
     rows = checkpoint(table.withColumn("label", (label - 1).cast("double")).where(F.col("label") >= 0))
     train, test = M.hash_split(rows, "id_clave_inc")
     model = M.fit_forest(train, used, "label", trees, max_depth)
+    M.save_model(model, used, f"{out.root}/{MODEL}")
     scored = out.replace("model_scores", M.predict(model, test, used))
     report = M.classification_report(scored, "label", "prediction", [float(i) for i in range(len(FE.TERCILES))])
     return {
@@ -472,3 +606,12 @@ def train_model(features: TableStore, out: TableStore, trees: int = 150, max_dep
         "model_report": out.replace("model_report", report),
         "model_importances": out.replace("model_importances", M.importances(model, used, train)),
     }
+
+
+def score_fires(models: TableStore, features: TableStore, out: TableStore) -> DataFrame:
+    """Predict the risk of all fires of a feature table with the stored model; fires that lack a feature get NULL."""
+    model, used = M.load_model(f"{models.root}/{MODEL}")
+    scored = M.predict(model, features.read("lag_features").select("id_clave_inc", *used), used)
+    names = F.array(*[F.lit(t) for t in FE.TERCILES])
+    risk = F.get(names, F.col("prediction").cast("int")).alias("riesgo_previsto")
+    return out.replace("fire_scores", scored.select("id_clave_inc", risk))

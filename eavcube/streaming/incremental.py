@@ -8,14 +8,18 @@ response per key counts, by file time, then file name. Responses that cannot be
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from eavcube.functions.numbers import normalised_difference
+from eavcube.operators.ordered import checkpoint, numbered_by
+from eavcube.operators.relational import latest_clear_rows
 from eavcube.operators.skew import HOT_ROWS, skew_join
-from eavcube.sources.responses import parse_series, unreadable_series
+from eavcube.sources.keyed import KeyedTable
+from eavcube.sources.responses import parse_matrix, parse_series, unreadable_series
 
 RESPONSE = "entity_id string, body string"
 BATCH = "batch"
@@ -80,3 +84,85 @@ def start_ingest(spark: SparkSession, landing: str, log: SeriesLog, checkpoint:
         .trigger(availableNow=True)
         .start()
     )
+
+
+# ---- into a keyed table, with a ledger
+
+LEDGER = "response string, entity_id string, rows bigint, last_id bigint, batch bigint"
+# Buckets of a hash in which new rows are numbered.
+_BUCKETS = 1024
+
+
+class ResponseSink:
+    """Takes landed responses into a stored series, each of them once.
+
+    `rows_of` turns (entity_id, body, received) rows into (entity_id, variable, obs_date, value, received). The series
+    is a table in parts by entity; `columns` names its number, variable, entity, date and value column. A response
+    replaces all rows of the (entity, variable) pairs it brings; of two responses of one batch the later one counts.
+
+    The ledger has a row for each response taken, by the file and the body it came with. It is written after the rows:
+    a batch that failed in between is taken again and replaces its own rows; a response that is in the ledger is left
+    out, whatever the state of the stream says. So neither a replay nor a lost stream state doubles or undoes anything.
+    """
+
+    def __init__(self, series: KeyedTable, ledger: KeyedTable, columns: Sequence[str], rows_of: Callable[[DataFrame], DataFrame]):
+        self.series, self.ledger, self.columns, self.rows_of = series, ledger, list(columns), rows_of
+
+    def take(self, batch: DataFrame, number: int) -> None:
+        seen = batch.dropDuplicates(["response"])
+        taken = self.ledger.read_for(seen).select("response")
+        new = checkpoint(seen.join(taken, "response", "left_anti"))
+        if new.isEmpty():
+            return
+        pairs = ["entity_id", "variable"]
+        rows = checkpoint(newest_responses(self.rows_of(new.select("entity_id", "body", _RECEIVED)), pairs).dropDuplicates([*pairs, "obs_date"]))
+        key = F.pmod(F.xxhash64(*pairs, "obs_date"), F.lit(_BUCKETS))
+        named = checkpoint(numbered_by(rows, key, [*pairs, "obs_date"], "number", self._highest()).select(
+            *[F.col(c).alias(n) for c, n in zip(("number", "variable", "entity_id", "obs_date", "value"), self.columns)]))
+        number_, variable, entity = self.columns[:3]
+        self.series.upsert(named, [entity, variable])
+        counts = rows.groupBy("entity_id").agg(F.count(F.lit(1)).alias("rows"))
+        (last,) = named.agg(F.max(number_)).first()
+        lines = new.select("response", "entity_id").join(counts, "entity_id", "left")
+        self.ledger.append(lines.withColumns({"rows": F.coalesce("rows", F.lit(0)), "last_id": F.lit(last), "batch": F.lit(number)}))
+
+    def _highest(self) -> DataFrame:
+        """The highest number given so far: the ledger's, or before its first entry the series' own."""
+        if self.ledger.read().select("last_id").where("last_id is not null").isEmpty():
+            return self.series.read().agg(F.max(self.columns[0]).alias("last_id"))
+        return self.ledger.read().agg(F.max("last_id").alias("last_id"))
+
+
+def series_rows(responses: DataFrame) -> DataFrame:
+    """Rows of nested variable -> date -> value responses; those without a date are left out."""
+    return parse_series(responses, "body", ["entity_id", _RECEIVED]).where("obs_date is not null")
+
+
+def image_rows(indices: Sequence[str], clear: str, time: str = "time",
+               bands: Mapping[str, Sequence[str]] | None = None) -> Callable[[DataFrame], DataFrame]:
+    """Rows of header-and-rows responses of an image service: the indices of the newest clear day of each response.
+
+    The responses have a column for each index, or the two `bands` it is the normalised difference of.
+    """
+    values = {n: normalised_difference(*[F.col(b) for b in bands[n]]) if bands else F.col(n) for n in indices}
+    names = sorted({b for pair in bands.values() for b in pair}) if bands else list(indices)
+
+    def rows_of(responses: DataFrame) -> DataFrame:
+        parsed = parse_matrix(responses, "body", ["entity_id", _RECEIVED], {time: "epoch_ms", **{n: "double" for n in names}})
+        return latest_clear_rows(parsed, ["entity_id", _RECEIVED], time, values, clear)
+
+    return rows_of
+
+
+def start_taking(spark: SparkSession, landing: str, sink: ResponseSink, checkpoint_folder: str, max_files: int = 1000) -> StreamingQuery:
+    """Take all responses that have landed since the last run, then stop."""
+    landed = spark.readStream.schema(RESPONSE).option("maxFilesPerTrigger", max_files).json(landing)
+    received = F.struct("_metadata.file_modification_time", "_metadata.file_name", F.xxhash64("body").alias("body"))
+    response = F.sha2(F.concat_ws("\n", "_metadata.file_path", "entity_id", "body"), 256)
+    return (
+        landed.withColumns({_RECEIVED: received, "response": response})
+        .writeStream.foreachBatch(sink.take)
+        .option("checkpointLocation", checkpoint_folder)
+        .trigger(availableNow=True)
+        .start()
+    )

@@ -245,8 +245,80 @@ def test_jobs_run_from_the_command_line(spark, raw, tmp_path):
     assert audits.read("audit_references").agg({"orphans": "sum"}).first()[0] == 0
     assert audits.read("audit_duplicates").count() == len(KEYS) and audits.read("audit_schema").count() > 30
     assert audits.read("audit_texts").count() > 0 and audits.read("audit_series").count() > 0
+    assert {r["check"]: r["failures"] for r in audits.read("audit_consistency").collect()} == {
+        "impossible_times": 0, "out_of_range": 0, "negative_damage": 0, "invalid_population": 0}
+    assert audits.read("audit_gaps").where("table = 'incendios' and column = 'latitud'").first()["nulls"] > 0
+    assert audits.read("audit_variables").count() > 0 and audits.read("audit_impossible").columns[0] == "id_variable"
+    for name in ("audit_chronology", "audit_arrivals", "audit_places", "audit_damage"):
+        assert audits.read(name).count() == 0
+    stored = TableStore(spark, folders["cube"]).read("fact_incendios")
+    assert {"indice_severidad", "superficie_total", "num_incendios"} <= set(stored.columns) and "severity" not in stored.columns
     register = tmp_path / "register"
     register_rows(spark).coalesce(1).write.option("header", True).csv(str(register))
     for _ in range(2):
         jobs.main(["load", "--work", folders["loaded"], "--register", str(register)])
     assert TableStore(spark, folders["loaded"]).read("incendios").count() == 2
+
+
+def test_a_stopped_migration_goes_on_where_it_was(spark, raw, migrated, tmp_path, monkeypatch, rows):
+    header = "CLAVE int, Fecha int, SEXO string, POB_TOTAL int, " + ", ".join(f"{b} int" for b in WF.POPULATION_BANDS)
+    bands = list(range(1, 19))
+    people = spark.createDataFrame([(15102, 2020, "Mujeres", 1000, *bands), (15102, 2020, "Mujeres", 2000, *bands),
+                                    (15102, 2020, "Hombres", 900, *bands), (15555, 2020, "Hombres", 0, *bands)], header)
+    operations = spark.createDataFrame(
+        [("15-01 ", "02/04/2025", "12:30", "13:05", "36:10:00", "2"), ("15-03", "garbage", "24:10", "", "3 days", "3.7"),
+         ("15-77", "01/01/2025", "", "", "", "1")], ", ".join(f"`{c}` string" for c in WF.OPERATIONS))
+    inputs, work = WF.MigrationInputs(raw, people, operations), TableStore(spark, str(tmp_path / "work"))
+    replace, written = TableStore.replace, []
+
+    def torn(self, name, df, partition_by=None):
+        """Dies when phase 4 has written two of its four tables."""
+        if name != "migracion":
+            written.append(name)
+        if len(written) == 12:
+            raise RuntimeError("lost")
+        return replace(self, name, df, partition_by)
+
+    monkeypatch.setattr(TableStore, "replace", torn)
+    with pytest.raises(RuntimeError):
+        WF.migrate(inputs, work)
+    monkeypatch.setattr(TableStore, "replace", replace)
+    log = work.read("migracion")
+    assert {r.phase for r in log.where("state = 'done'").collect()} == {"catalogues", "geography", "keys and duplicates"}
+    assert log.where("state = 'begun' and phase = 'children'").count() > 0
+    before = work.versions("causa")
+    report = WF.migrate(inputs, work, resume=True, tidy=True)
+    assert before[-1] in work.versions("causa") or len(work.versions("causa")) == 1
+    whole, first = migrated
+    assert rows(report) == rows(first)
+    for name in SCHEMAS:
+        assert rows(work.read(name)) == rows(whole.read(name)), name
+        assert len(work.versions(name)) == 1
+    assert rows(WF.migrate(inputs, work, resume=True)) == rows(first)
+
+
+def test_the_stored_model_scores_new_fires(spark, tmp_path):
+    from eavcube.plans import jobs
+
+    rng = [(f"15-{i:04d}", float(i % 40), float(i % 7), ["bajo", "medio", "alto"][min(2, (i % 40) // 14)]) for i in range(600)]
+    features = TableStore(spark, str(tmp_path / "features"))
+    labels = WF.FE.TERCILES
+    rows_ = [(k, a, b, labels[["bajo", "medio", "alto"].index(r)]) for k, a, b, r in rng]
+    features.replace("lag_features", spark.createDataFrame(rows_, "id_clave_inc string, NDVI_mean double, mes double, riesgo string"))
+    jobs.main(["train", "--features", features.root, "--out", str(tmp_path / "model")])
+    fresh = TableStore(spark, str(tmp_path / "new"))
+    fresh.replace("lag_features", spark.createDataFrame([("n1", 3.0, 1.0), ("n2", 35.0, 2.0), ("n3", None, 1.0)],
+                                                        "id_clave_inc string, NDVI_mean double, mes double"))
+    jobs.main(["score", "--model", str(tmp_path / "model"), "--features", fresh.root, "--out", str(tmp_path / "scores")])
+    got = {r.id_clave_inc: r.riesgo_previsto for r in TableStore(spark, str(tmp_path / "scores")).read("fire_scores").collect()}
+    assert got == {"n1": labels[0], "n2": labels[2], "n3": None}
+
+
+def test_many_levels_make_a_sparse_vector(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    df = spark.createDataFrame([(i, None if i == 0 else f"level {i % 5000:04d}") for i in range(10_000)], "id int, c string")
+    got = WF.FE.one_hot_vector(df, "c", "v").select("id", "c", vector_to_array("v").alias("v")).where("id in (0, 1, 2, 4999, 5002, 5000)").collect()
+    places = {r.id: (len(r.v), [i for i, x in enumerate(r.v) if x]) for r in got}
+    assert places == {0: (4999, []), 1: (4999, [0]), 2: (4999, [1]), 4999: (4999, [4998]), 5002: (4999, [1]), 5000: (4999, [])}
+    assert WF.FE.one_hot_vector(df.limit(0), "c", "v").count() == 0
