@@ -317,6 +317,12 @@ def sanitise(docs: DataFrame, terms: DataFrame | None = None, remove_terms: bool
     return marked.select(*[clean.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
 
 
+def span_count(spans: Column, kind: str) -> Column:
+    """How many of the spans are of one kind."""
+    # A second parameter of the function, even one with a default, would be given the position in the array.
+    return F.size(F.filter(spans, lambda s: s["kind"] == KINDS.index(kind))).cast("long")
+
+
 def span_list(spans: Column, base_only: bool = False) -> Column:
     """kind:start:end of the sorted spans, comma-joined."""
     names = F.array(*[F.lit(k) for k in KINDS])

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from eavcube.llm import decontaminate, jaccard, licenses, lines, maxscore, mixing, pii, quality, suffixes, warc
 from eavcube.llm.common import pack, prepare, unpack
+from eavcube.llm.queries import QUERIES
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, row string, size int, key string, slot int"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -298,6 +299,23 @@ def test_base_spans_equal_the_patterns():
     assert pii.base_spans("4111 1111-1111 1111") == [(2, 0, 19)]
 
 
+def test_personal_data_of_the_contract(spark, tmp_path):
+    texts = ["ip 10.0.0.1, 10.0.0.2 and 10.0.0.3", "call +52 55 1234 5678", "a@b.co c@d.org 4111 1111 1111 1111", "1.2.3.256",
+             "x@y.mx 8.8.8.8 +1 (555) 123-4567, 5500-0055-5555-5559", "ñandú 😀 1.1.1.1", "", None, "ip 10.0.0.1, 10.0.0.2 and 10.0.0.3"]
+    rows = [(min(i, 7), t) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op9_find_personal_data"](spark, str(tmp_path)).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256").collect()
+    expected = []
+    for i, text in rows:
+        spans = brute_spans(text or "")
+        listed = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in spans)
+        counts = [sum(k == kind for k, _, _ in spans) for kind in range(4)]
+        expected.append((i, *counts, hashlib.sha256(listed.encode()).hexdigest()))
+    assert sorted(map(tuple, found)) == sorted(expected)
+    assert [e[1:5] for e in expected[:5]] == [(0, 3, 0, 0), (0, 0, 0, 1), (2, 0, 1, 0), (0, 0, 0, 0), (1, 1, 1, 1)]
+
+
 def test_terms_that_reveal_an_entity_are_found_and_replaced(spark, empty):
     rng = random.Random(4)
     fill = lambda: " ".join(rng.choice(["lorem", "ipsum", "dolor", "sit", "amet"]) for _ in range(12))
