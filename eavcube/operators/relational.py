@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from eavcube.functions.numbers import normalised_difference
 from eavcube.operators.ordered import numbered, numbered_by
-from eavcube.operators.skew import HOT_ROWS, skew_join
+from eavcube.operators.skew import HOT_ROWS, skew_join, spread_join
 from eavcube.operators.window import keep_first
 
 _MATCHED = "__matched"
@@ -39,9 +39,13 @@ def not_in(df: DataFrame, other: DataFrame, keys: Sequence[str], hot_rows: int =
 
 
 def lookup(df: DataFrame, catalogue: DataFrame, on: Sequence[str], how: str = "inner",
-           hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """Join a frame to a catalogue on one or several natural keys."""
-    return skew_join(df, catalogue, on, how, hot_rows)
+           hot_rows: int | None = HOT_ROWS, spread_by: Sequence[str] = ()) -> DataFrame:
+    """Join a frame to a catalogue on one or several natural keys.
+
+    With `spread_by`, columns that tell the rows of a key apart, nothing runs while the plan is made, and the rows of
+    each key are dealt over tasks whether it is hot or not.
+    """
+    return spread_join(df, catalogue, on, spread_by, how) if spread_by else skew_join(df, catalogue, on, how, hot_rows)
 
 
 def _key_set(parent: DataFrame, parent_key: str, key: str) -> DataFrame:

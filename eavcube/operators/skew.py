@@ -18,6 +18,8 @@ from eavcube.operators.ordered import checkpoint
 HOT_ROWS = 1_000_000
 # Up to so many hot keys are broadcast; more of them are joined as the optimizer sees fit.
 BROADCAST_KEYS = 100_000
+# Where the plan may not look at the rows, every key is dealt over so many tasks.
+BLIND_SALTS = 32
 
 ROWS = "__rows"
 _SALT = "__salt"
@@ -115,6 +117,20 @@ def _salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str, hot
     return spread.join(repeated, [*on, _SALT], how).drop(_SALT)
 
 
+def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], by: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join of a left side that a few keys may dominate, planned without a look at the rows.
+
+    Left rows are dealt over BLIND_SALTS by a hash of the columns `by`, which should tell the rows of a key apart, and
+    every right row is repeated as often: `right` should be a catalogue, much smaller than the left side.
+    """
+    on = list(on)
+    if will_broadcast(right):
+        return left.join(right, on, how)
+    salt = F.pmod(F.xxhash64(*by), F.lit(BLIND_SALTS)).cast("int")
+    repeated = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(BLIND_SALTS - 1))))
+    return left.withColumn(_SALT, salt).join(repeated, [*on, _SALT], how).drop(_SALT)
+
+
 def repeat_rows(df: DataFrame, copies: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Repeat every row as often as its `copies` column says; a very large count is spread over tasks."""
     size, count = F.lit(hot_rows), F.col(copies)

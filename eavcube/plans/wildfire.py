@@ -52,6 +52,8 @@ POPULATION_BANDS = [
     "POB_40_44", "POB_45_49", "POB_50_54", "POB_55_59", "POB_60_64", "POB_65_69", "POB_70_74", "POB_75_79",
     "POB_80_84", "POB_85_mm",
 ]
+# The columns of a fire that the register has itself.
+FIRE_COLUMNS = [c for c in SCHEMAS["incendios"].names if c not in ("id_causa", "id_vegetacion")]
 HOME_STATE = "México"
 HOME_STATE_KEY = 15
 # The state's bounding box and the labels of places that were not in a catalogue.
@@ -118,9 +120,9 @@ def split_register(register: DataFrame, stored: Mapping[str, DataFrame]) -> dict
         fresh = R.new_rows(register.select(*pair).dropna(), stored[name].select(*pair))
         keyed = R.surrogate_keys(fresh, f"id_{name}", pair, stored[name])
         out[name] = R.append_rows(stored[name], keyed.select(*stored[name].columns))
-    # Left to adaptive skew splitting, so that nothing runs while the plan is made.
-    fires = R.lookup(register, out["causa"], ["causa", "causa_especifica"], hot_rows=None)
-    fires = R.lookup(fires, out["vegetacion"], ["regimen_del_fuego", "tipo_de_vegetacion"], hot_rows=None)
+    # A catalogue has few keys, so the fires of each are spread. Nothing runs while the plan is made.
+    fires = R.lookup(register, out["causa"], ["causa", "causa_especifica"], spread_by=FIRE_COLUMNS)
+    fires = R.lookup(fires, out["vegetacion"], ["regimen_del_fuego", "tipo_de_vegetacion"], spread_by=FIRE_COLUMNS)
     for name, rows in (("incendios", fires), ("danos", register)):
         out[name] = R.insert_if_absent([stored[name], rows.select(*stored[name].columns)], KEYS[name])
     return out
@@ -170,7 +172,7 @@ def load_register(store: TableStore, register: DataFrame) -> None:
         ids[name] = (table.read(), pair)
     fires = register
     for catalogue, pair in ids.values():
-        fires = R.lookup(fires, catalogue, pair, hot_rows=None)
+        fires = R.lookup(fires, catalogue, pair, spread_by=FIRE_COLUMNS)
     for name, rows in (("incendios", fires), ("danos", register)):
         store.keyed(name).insert(rows.select(*SCHEMAS[name].names))
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from eavcube.operators import skew
 from eavcube.operators.ordered import CHUNK, bounded_list, numbered, positioned
 from eavcube.operators.quantile import EDGES, quantile_list, quantiles
+from eavcube.operators.relational import lookup
 from eavcube.operators.skew import hot_keys, skew_join
 from eavcube.operators.window import (
     above_quantile, canonical_ids, first_n, interpolate_linear, keep_first, minmax_scale, quantile_labels,
@@ -69,6 +70,24 @@ def test_skew_join_spreads_the_hot_key(spark):
     assert skew._SALT in plan
 
 
+def test_a_catalogue_lookup_spreads_every_key(spark, rows):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        fires = spark.range(4000).select("id", F.when(F.col("id") % 10 > 0, "a").when(F.col("id") % 20 > 0, "b").alias("cause"))
+        fires = fires.unionByName(fires.where("id = 1"))
+        causes = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id_cause int, cause string")
+        found = lookup(fires, causes, ["cause"], spread_by=["id"])
+        assert rows(found, "id", "id_cause") == rows(fires.join(causes, "cause"), "id", "id_cause")
+        assert found.count() == 3801 and found.columns == ["cause", "id", "id_cause"]
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) > 4 and max(sizes) < 0.4 * 3801
+        assert rows(lookup(fires, causes, ["cause"], "left", spread_by=["id"])) == rows(fires.join(causes, ["cause"], "left"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_numbering_is_consecutive_over_slices(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v"))
     assert positioned(df, ["v"]).select(CHUNK).distinct().count() > 3
